@@ -282,8 +282,10 @@ def value_counts(df: DataFrame, column: str, *, top_n: int | None = 10, drop_mis
 
 
 def _corr(df: DataFrame, a: str, b: str) -> Column:
-    r = F.corr(_clean(df, a).cast("double"), _clean(df, b).cast("double"))
-    return F.when(~F.isnan(r), r)
+    """Pearson correlation on complete pairs; NULL for a constant side."""
+    x, y = (_clean(df, n).cast("double") for n in (a, b))
+    x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
 def corr_with_label(
