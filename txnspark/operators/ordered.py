@@ -5,16 +5,15 @@
 Everything here is built from two pieces that avoid both:
 
 * :func:`running_totals` - prefix sums over range-partitioned chunks;
-* :func:`key_at_rank` - the k-th row of an order, found with shrinking histograms.
+* :func:`keys_at_ranks` - the k-th row of an order, found with shrinking histograms.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,10 +24,6 @@ ONE_TASK_ROWS = 500_000
 _BUCKETS = 4096
 
 
-def _order_columns(order: Sequence[str], descending: Sequence[str]) -> list[Column]:
-    return [F.col(c).desc() if c in descending else F.col(c).asc() for c in order]
-
-
 def running_totals(
     df: DataFrame,
     *,
@@ -56,18 +51,18 @@ def running_totals(
     """
     totals = dict(totals or {})
     stored, rows = materialize(df, "ordered")
-    columns = _order_columns(order, descending)
-    last = 0 if inclusive else -1
-    group = list(group)
+    place = ", ".join(f"`{c}` {'DESC' if c in descending else 'ASC'}" for c in order)
+    keys = ", ".join(f"`{c}`" for c in group)
+    by_group = f"PARTITION BY {keys}" if group else ""
+    upto = "ROWS BETWEEN UNBOUNDED PRECEDING AND " + ("CURRENT ROW" if inclusive else "1 PRECEDING")
     if rows <= one_task_rows:
-        upto = Window.partitionBy(*group).orderBy(*columns).rowsBetween(Window.unboundedPreceding, last)
-        whole = Window.partitionBy(*group)
-        return stored.select(
+        return stored.selectExpr(
             "*",
-            *[F.coalesce(F.sum(c).over(upto), F.lit(0)).alias(n) for n, c in sums.items()],
-            *[F.sum(c).over(whole).alias(n) for n, c in totals.items()],
+            *[f"coalesce(sum({c}) OVER ({by_group} ORDER BY {place} {upto}), 0) AS {n}" for n, c in sums.items()],
+            *[f"sum({c}) OVER ({by_group}) AS {n}" for n, c in totals.items()],
         )
 
+    columns = [F.col(c).desc() if c in descending else F.col(c).asc() for c in order]
     chunked, _ = materialize(
         stored.repartitionByRange(*[F.col(c) for c in group], *columns).withColumn(
             "_chunk", F.spark_partition_id()
@@ -76,29 +71,24 @@ def running_totals(
     )
     needed = sorted({*sums.values(), *totals.values()})
     per_chunk = chunked.groupBy(*group, "_chunk").agg(*[F.sum(c).alias(f"_t_{c}") for c in needed])
-    earlier = Window.partitionBy(*group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = per_chunk.select(
-        *[F.col(c).alias(f"_g_{c}") for c in group],
-        F.col("_chunk").alias("_c"),
-        F.count(F.lit(1)).over(earlier).alias("_before"),
-        *[F.sum(f"_t_{c}").over(earlier).alias(f"_s_{n}") for n, c in sums.items()],
-        *[F.sum(f"_t_{c}").over(Window.partitionBy(*group)).alias(n) for n, c in totals.items()],
-    )
-    if totals:
-        shifts = shifts if group else F.broadcast(shifts)
-    else:
-        shifts = F.broadcast(shifts.filter("_before > 0"))
-    same = [F.col("_chunk") == F.col("_c")]
-    same += [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in group]
-    inside = (
-        Window.partitionBy(*group, "_chunk").orderBy(*columns).rowsBetween(Window.unboundedPreceding, last)
-    )
-    local = chunked.select(
-        "*", *[F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(f"_l_{n}") for n, c in sums.items()]
+    earlier = f"({by_group} ORDER BY _chunk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    shifts = per_chunk.selectExpr(
+        *[f"`{c}` AS `_g_{c}`" for c in group],
+        "_chunk AS _c",
+        f"count(1) OVER {earlier} AS _before",
+        *[f"sum(_t_{c}) OVER {earlier} AS _s_{n}" for n, c in sums.items()],
+        *[f"sum(_t_{c}) OVER ({by_group}) AS {n}" for n, c in totals.items()],
     )
-    return local.join(shifts, reduce(Column.__and__, same), "left").select(
-        *df.columns,
-        *[(F.col(f"_l_{n}") + F.coalesce(F.col(f"_s_{n}"), F.lit(0))).alias(n) for n in sums],
+    if not totals:
+        shifts = shifts.filter("_before > 0")
+    if not (totals and group):  # at most one row per chunk
+        shifts = F.broadcast(shifts)
+    inside = f"(PARTITION BY {', '.join([*([keys] if group else []), '_chunk'])} ORDER BY {place} {upto})"
+    local = chunked.selectExpr("*", *[f"coalesce(sum({c}) OVER {inside}, 0) AS _l_{n}" for n, c in sums.items()])
+    same = " AND ".join(["_chunk = _c", *[f"`{c}` <=> `_g_{c}`" for c in group]])
+    return local.join(shifts, F.expr(same), "left").selectExpr(
+        *[f"`{c}`" for c in df.columns],
+        *[f"_l_{n} + coalesce(_s_{n}, 0) AS {n}" for n in sums],
         *totals,
     )
 
@@ -137,26 +127,15 @@ def quantiles(
         one_task_rows=one_task_rows,
     )
 
-    def pick(rank: Column) -> Column:
-        here = (F.col("_upto") > rank) & (F.col("_upto") - F.col("_n") <= rank)
-        return F.max(F.when(here, F.col("_v")))
-
-    picked = []
+    picked, out = [], []
     for i, p in enumerate(probs):
-        place = (F.col("_all") - 1) * F.lit(float(p))
-        picked += [
-            pick(F.floor(place)).alias(f"_lo{i}"),
-            pick(F.ceil(place)).alias(f"_hi{i}"),
-            F.max(place - F.floor(place)).alias(f"_f{i}"),
-        ]
-    out = ranked.groupBy(*group).agg(*picked)
-    return out.select(
-        *group,
-        *[
-            (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")).alias(f"q{i}")
-            for i in range(len(probs))
-        ],
-    )
+        place = f"(_all - 1) * {float(p)!r}D"
+        for end in ("floor", "ceil"):
+            here = f"_upto > {end}({place}) AND _upto - _n <= {end}({place})"
+            picked.append(f"max(CASE WHEN {here} THEN _v END) AS _{end}{i}")
+        picked.append(f"max({place} - floor({place})) AS _f{i}")
+        out.append(f"_floor{i} + (_ceil{i} - _floor{i}) * _f{i} AS q{i}")
+    return ranked.groupBy(*group).agg(*[F.expr(e) for e in picked]).selectExpr(*[f"`{c}`" for c in group], *out)
 
 
 @dataclass(frozen=True)
@@ -184,69 +163,83 @@ def _as_number(df: DataFrame, name: str) -> Column | None:
     return None
 
 
-def key_at_rank(df: DataFrame, keys: Sequence[str], rank: int, *, one_task_rows: int = ONE_TASK_ROWS) -> Cut:
-    """Key of the ``rank``-th row (from 1) of ``df`` ordered by ``keys``, NULLs last.
+def keys_at_ranks(
+    df: DataFrame,
+    keys: Sequence[str],
+    ranks: Sequence[int],
+    *,
+    size: int | None = None,
+    one_task_rows: int = ONE_TASK_ROWS,
+) -> list[Cut]:
+    """Keys of the ``ranks``-th rows (from 1) of ``df`` ordered by ``keys``, NULLs last.
 
     No sort of the table: each pass counts rows in at most 4096 buckets of the
     first key and keeps the bucket that holds the rank, until the bucket is small
     enough to sort or has a single value, in which case the next key decides.
-    Only bucket counts and the final key reach the driver.
+    Only bucket counts and the final keys reach the driver.
     """
     part = df.select(*keys)
-    found: list = []
-    left = rank
-    for depth, name in enumerate(keys):
-        number = _as_number(df, name)
-        known = part.filter(F.col(name).isNotNull())
-        size = known.count()
-        if left > size:  # NULLs come last
-            left -= size
-            part = part.filter(F.col(name).isNull())
-            found.append(None)
-            continue
-        part = known
+    size = df.count() if size is None else size
+    if size <= one_task_rows:
+        return _sorted_ranks(part, list(keys), ranks)
+    return [_search(part, list(keys), rank, size, one_task_rows) for rank in ranks]
+
+
+def _sorted_ranks(part: DataFrame, keys: list[str], ranks: Sequence[int]) -> list[Cut]:
+    """Keys at ranks of a frame small enough for one task."""
+    place = ", ".join(f"`{c}` ASC NULLS LAST" for c in keys)
+    counted = part.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hit = " OR ".join(f"({r} > _upto - _n AND {r} <= _upto)" for r in ranks)
+    rows = counted.selectExpr("*", f"sum(_n) OVER (ORDER BY {place}) AS _upto").filter(hit).collect()
+    cuts = []
+    for rank in ranks:
+        row = next(r for r in rows if r["_upto"] - r["_n"] < rank <= r["_upto"])
+        cuts.append(Cut(tuple(row[c] for c in keys), rank - (row["_upto"] - row["_n"]), row["_n"]))
+    return cuts
+
+
+def _search(part: DataFrame, keys: list[str], rank: int, size: int, one_task_rows: int) -> Cut:
+    """Key at a rank of a large frame: settle the first key, then go on with the rest."""
+    if size <= one_task_rows:
+        return _sorted_ranks(part, keys, [rank])[0]
+    name, rest = keys[0], keys[1:]
+    known = part.filter(F.col(name).isNotNull())
+    n = known.count()
+    if rank > n:
+        part, rank, size, value = part.filter(F.col(name).isNull()), rank - n, size - n, None
+    else:
+        part, rank, size = _narrow(known, name, rank, n, one_task_rows)
         if size <= one_task_rows:
-            rest = keys[depth:]
-            counted = part.groupBy(*rest).count()
-            ordered = Window.orderBy(*[F.col(c).asc_nulls_last() for c in rest])
-            hit = (
-                counted.select(*rest, "count", F.sum("count").over(ordered).alias("_upto"))
-                .filter(F.col("_upto") >= left)
-                .orderBy("_upto")
-                .first()
-            )
-            found += [hit[c] for c in rest]
-            return Cut(tuple(found), left - (hit["_upto"] - hit["count"]), hit["count"])
-        if number is None:
-            counted = part.groupBy(name).agg(F.count(F.lit(1)).alias("_n"))
-            totals = running_totals(counted, order=[name], sums={"_upto": "_n"})
-            hit = totals.filter((F.col("_upto") >= left) & (F.col("_upto") - F.col("_n") < left)).first()
-            left -= hit["_upto"] - hit["_n"]
-            size, chosen = hit["_n"], hit[name]
-            part = part.filter(F.col(name) == F.lit(chosen))
-        else:
-            lo, hi = part.agg(F.min(number), F.max(number)).first()
-            while lo != hi and size > one_task_rows:
-                step = (float(hi) - float(lo)) / _BUCKETS
-                bucket = F.least(F.floor((number - F.lit(lo)).cast("double") / F.lit(step)), F.lit(_BUCKETS - 1))
-                counts = sorted(
-                    part.groupBy(bucket.alias("b"))
-                    .agg(F.count(F.lit(1)).alias("n"), F.min(number).alias("lo"), F.max(number).alias("hi"))
-                    .collect(),
-                    key=lambda r: r["b"],
-                )
-                for row in counts:
-                    if left <= row["n"]:
-                        size, lo, hi = row["n"], row["lo"], row["hi"]
-                        break
-                    left -= row["n"]
-                part = part.filter(number.between(F.lit(lo), F.lit(hi)))
-            if size <= one_task_rows and lo != hi:
-                tail = key_at_rank(part, keys[depth:], left, one_task_rows=one_task_rows)
-                return Cut((*found, *tail.key), tail.upto, tail.copies)
-            chosen = part.select(name).first()[0]
-        found.append(chosen)
-    return Cut(tuple(found), left, part.count())
+            return _sorted_ranks(part, keys, [rank])[0]
+        value = part.select(name).first()[0]
+    if not rest:
+        return Cut((value,), rank, size)
+    tail = _search(part, rest, rank, size, one_task_rows)
+    return Cut((value, *tail.key), tail.upto, tail.copies)
+
+
+def _narrow(part: DataFrame, name: str, rank: int, size: int, one_task_rows: int) -> tuple[DataFrame, int, int]:
+    """The rows around a rank of one column: few rows or a single value, the rank and count in them."""
+    number = _as_number(part, name)
+    if number is None:
+        counted = part.groupBy(name).agg(F.count(F.lit(1)).alias("_n"))
+        totals = running_totals(counted, order=[name], sums={"_upto": "_n"}, one_task_rows=one_task_rows)
+        hit = totals.filter((F.col("_upto") >= rank) & (F.col("_upto") - F.col("_n") < rank)).first()
+        return part.filter(F.col(name) == F.lit(hit[name])), rank - (hit["_upto"] - hit["_n"]), hit["_n"]
+    lo, hi = part.agg(F.min(number), F.max(number)).first()
+    while lo != hi and size > one_task_rows:
+        step = (float(hi) - float(lo)) / _BUCKETS
+        bucket = F.least(F.floor((number - F.lit(lo)).cast("double") / F.lit(step)), F.lit(_BUCKETS - 1))
+        counts = part.groupBy(bucket.alias("b")).agg(
+            F.count(F.lit(1)).alias("n"), F.min(number).alias("lo"), F.max(number).alias("hi")
+        )
+        for row in sorted(counts.collect(), key=lambda r: r["b"]):
+            if rank <= row["n"]:
+                size, lo, hi = row["n"], row["lo"], row["hi"]
+                break
+            rank -= row["n"]
+        part = part.filter(number.between(F.lit(lo), F.lit(hi)))
+    return part, rank, size
 
 
 def at_or_before(keys: Sequence[str], cut: Cut) -> Column:
@@ -274,29 +267,29 @@ def first_rows(
         return df
     if n <= one_task_rows:
         return df.orderBy(*[F.col(c).asc_nulls_last() for c in keys]).limit(n)
-    if n >= df.count():
+    size = df.count()
+    if n >= size:
         return df
-    cut = key_at_rank(df, keys, n, one_task_rows=one_task_rows)
-    if cut.splits_copies:
-        df, keys, cut = _with_row_number(df, keys, [n], one_task_rows)[:3]
-        return df.filter(at_or_before(keys, cut[0])).drop("_row")
-    return df.filter(at_or_before(keys, cut))
-
-
-def _with_row_number(df, keys, ranks, one_task_rows):
-    """Fix a number per row so that copies of a key can be cut apart."""
-    stored, _ = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    keys = [*keys, "_row"]
-    return stored, keys, [key_at_rank(stored, keys, r, one_task_rows=one_task_rows) for r in ranks]
+    fixed, (kept,) = cut_by_rank(df, keys, [n], size=size, one_task_rows=one_task_rows)
+    return fixed.filter(kept).select(*df.columns)
 
 
 def cut_by_rank(
-    df: DataFrame, keys: Sequence[str], ranks: Sequence[int], *, one_task_rows: int = ONE_TASK_ROWS
+    df: DataFrame,
+    keys: Sequence[str],
+    ranks: Sequence[int],
+    *,
+    size: int | None = None,
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> tuple[DataFrame, list[Column]]:
-    """The frame and, per rank, a condition that holds for exactly that many first rows."""
-    cuts = [key_at_rank(df, keys, r, one_task_rows=one_task_rows) for r in ranks]
+    """The frame and, per rank, a condition that holds for exactly that many first rows.
+
+    Where a rank falls between copies of one key, the frame is stored once with a
+    number per row, so that every later read cuts the copies at the same place.
+    """
+    cuts = keys_at_ranks(df, keys, ranks, size=size, one_task_rows=one_task_rows)
     if any(c.splits_copies for c in cuts):
-        df, keys, cuts = _with_row_number(df, keys, ranks, one_task_rows)
+        df, size = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
+        keys = [*keys, "_row"]
+        cuts = keys_at_ranks(df, keys, ranks, size=size, one_task_rows=one_task_rows)
     return df, [at_or_before(keys, c) for c in cuts]
-
-

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,20 +31,31 @@ def _numeric_columns(df: DataFrame, drop: Iterable[str] = ()) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType) and f.name not in dropped]
 
 
-def _per_column(df: DataFrame, names: Sequence[str], measures) -> DataFrame:
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _value(df: DataFrame, name: str) -> str:
+    """SQL of a column with NaN as NULL."""
+    is_float = isinstance(df.schema[name].dataType, _FLOATS)
+    return f"nanvl({_quoted(name)}, NULL)" if is_float else _quoted(name)
+
+
+def _per_column(df: DataFrame, names: Sequence[str], measures: Callable[[str], str]) -> DataFrame:
     """One row per column from one aggregation per batch of columns.
 
-    ``measures(name)`` gives the named aggregates of a column.  Each batch reads only
-    its own columns, so every column is read once.
+    ``measures(name)`` is the SQL list of a column's aggregates.  Each batch reads
+    only its own columns, so every column is read once.
     """
-    parts = []
+    out = None
     for batch in _batches(names):
-        rows = [F.struct(F.lit(n).alias("column"), *measures(n)) for n in batch]
-        one = df.agg(F.array(*rows).alias("_rows"))
-        parts.append(one.select(F.inline("_rows")))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
+        rows = ", ".join(f"struct({_text(n)} AS column, {measures(n)})" for n in batch)
+        part = df.agg(F.expr(f"array({rows})").alias("_rows")).select(F.inline("_rows"))
+        out = part if out is None else out.unionByName(part)
     return out
 
 
@@ -55,11 +66,9 @@ def missing_rates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     """Per column: share of missing values in percent, and its column group."""
     names = list(columns if columns is not None else df.columns)
 
-    def measures(name: str) -> list[Column]:
-        return [
-            (F.avg(is_missing(df, name).cast("int")) * 100).alias("pct_missing"),
-            F.lit(group_of(name)).alias("group"),
-        ]
+    def measures(name: str) -> str:
+        missing = f"avg(CASE WHEN {_value(df, name)} IS NULL THEN 1 ELSE 0 END) * 100"
+        return f"{missing} AS pct_missing, {_text(group_of(name))} AS `group`"
 
     return _per_column(df, names, measures)
 
@@ -217,18 +226,16 @@ def describe_by(
 
 def describe_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, deviation, min and max of several numeric columns in one pass."""
-
-    def measures(name: str) -> list[Column]:
-        value = _clean(df, name).cast("double")
-        return [
-            F.count(value).alias("count"),
-            F.avg(value).alias("mean"),
-            F.stddev_samp(value).alias("std"),
-            F.min(value).alias("min"),
-            F.max(value).alias("max"),
-        ]
-
-    return _per_column(df, columns, measures)
+    long = df.selectExpr(*[f"CAST({_value(df, c)} AS DOUBLE) AS {_quoted(c)}" for c in columns]).unpivot(
+        [], list(columns), "column", "_v"
+    )
+    return long.groupBy("column").agg(
+        F.count("_v").alias("count"),
+        F.avg("_v").alias("mean"),
+        F.stddev_samp("_v").alias("std"),
+        F.min("_v").alias("min"),
+        F.max("_v").alias("max"),
+    )
 
 
 def _join_small(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -254,10 +261,8 @@ def cardinality(df: DataFrame, columns: Sequence[str], *, approx_rsd: float | No
         return _per_column(
             df,
             columns,
-            lambda n: [
-                F.approx_count_distinct(_clean(df, n), approx_rsd).alias("n_distinct"),
-                (F.avg(is_missing(df, n).cast("int")) * 100).alias("pct_missing"),
-            ],
+            lambda n: f"approx_count_distinct({_value(df, n)}, {approx_rsd}) AS n_distinct, "
+            f"avg(CASE WHEN {_value(df, n)} IS NULL THEN 1 ELSE 0 END) * 100 AS pct_missing",
         )
     long = df.select(*[_clean(df, c).cast("string").alias(c) for c in columns]).unpivot(
         [], list(columns), "column", "value"
@@ -281,11 +286,27 @@ def value_counts(df: DataFrame, column: str, *, top_n: int | None = 10, drop_mis
 # -------------------------------------------------------------- correlations
 
 
-def _corr(df: DataFrame, a: str, b: str) -> Column:
-    """Pearson correlation on complete pairs; NULL for a constant side."""
-    x, y = (_clean(df, n).cast("double") for n in (a, b))
-    x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+def _correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """Pearson correlation (i, j, r) of column pairs, each on its complete rows.
+
+    Every row is spread into its pairs of numbers and these are aggregated by pair
+    before the shuffle, so the plan stays small for any number of columns.  A
+    constant side gives NULL.
+    """
+
+    def number(name: str) -> str:
+        return f"CAST({_value(df, name)} AS DOUBLE)"
+
+    structs = [
+        f"struct({_text(a)} AS i, {_text(b)} AS j, {number(a)} AS x, {number(b)} AS y)" for a, b in pairs
+    ]
+    long = df.selectExpr(f"inline(array({', '.join(structs)}))").filter("x IS NOT NULL AND y IS NOT NULL")
+    spread = "stddev_pop(x) * stddev_pop(y)"
+    found = long.groupBy("i", "j").agg(F.expr(f"try_divide(covar_pop(x, y), {spread})").alias("r"))
+    # Pairs without a single complete row still get their line.
+    schema = T.StructType([T.StructField("i", T.StringType()), T.StructField("j", T.StringType())])
+    wanted = df.sparkSession.createDataFrame(list(pairs), schema)
+    return wanted.join(found, ["i", "j"], "left")
 
 
 def corr_with_label(
@@ -293,26 +314,16 @@ def corr_with_label(
 ) -> DataFrame:
     """Pearson correlation of numeric columns with the label on complete pairs, strongest first."""
     names = list(columns) if columns is not None else _numeric_columns(df, drop=(label,))
-    found = _per_column(df, names, lambda n: [_corr(df, n, label).alias("r")])
+    found = _correlations(df, [(n, label) for n in names]).select(F.col("i").alias("column"), "r")
     ranked = found.withColumn("abs_r", F.abs("r")).orderBy(F.desc_nulls_last("abs_r"), "column")
     return ranked if top_n is None else ranked.limit(top_n)
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every ordered pair of columns, in long form (i, j, r)."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    parts = None
-    for start in range(0, len(pairs), _BATCH):
-        rows = [
-            F.struct(F.lit(a).alias("i"), F.lit(b).alias("j"), _corr(df, a, b).alias("r"))
-            for a, b in pairs[start : start + _BATCH]
-        ]
-        part = df.agg(F.array(*rows).alias("_rows")).select(F.inline("_rows"))
-        parts = part if parts is None else parts.unionByName(part)
-    both = F.when(F.col("i") == F.col("j"), F.array(F.struct("i", "j"))).otherwise(
-        F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j")))
-    )
-    return parts.select(F.explode(both).alias("p"), "r").select("p.i", "p.j", "r")
+    found = _correlations(df, [(a, b) for k, a in enumerate(columns) for b in columns[k:]])
+    mirrored = F.expr("IF(i = j, array(struct(i, j)), array(struct(i, j), struct(j AS i, i AS j)))")
+    return found.select(F.explode(mirrored).alias("p"), "r").select("p.i", "p.j", "r")
 
 
 # ------------------------------------------------------------- distributions
@@ -453,15 +464,11 @@ def type_advice(df: DataFrame, *, approx_rsd: float | None = None) -> DataFrame:
     text = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
     kinds = {f.name: f.dataType for f in df.schema}
 
-    def bounds(name: str) -> list[Column]:
+    def bounds(name: str) -> str:
         integral = isinstance(kinds[name], T.IntegralType)
-        value = F.col(f"`{name}`").cast("bigint") if integral else F.lit(None).cast("bigint")
-        return [
-            F.lit(kinds[name].simpleString()).alias("current"),
-            F.count(F.lit(1)).alias("_rows"),
-            F.min(value).alias("lo"),
-            F.max(value).alias("hi"),
-        ]
+        value = f"CAST({_quoted(name)} AS BIGINT)" if integral else "CAST(NULL AS BIGINT)"
+        kind = _text(kinds[name].simpleString())
+        return f"{kind} AS current, count(1) AS _rows, min({value}) AS lo, max({value}) AS hi"
 
     table = _per_column(df, names, bounds)
     if text:

@@ -26,9 +26,10 @@ FRAME_ROWS = 1_024
 # An entity above this size, and above its share of MAX_HOT, is spread over chunks.
 HOT_ROWS = 1_000_000
 MAX_HOT = 10_000
+_INLINE_KEYS = 100
 # Request batches up to this size carry their entity list to the history scan.
 PRUNE_REQUESTS = 1_000_000
-_EXACT = T.DecimalType(38, 18)
+_EXACT = "DECIMAL(38, 18)"
 
 
 @dataclass(frozen=True)
@@ -80,12 +81,6 @@ def micros(df: DataFrame, name: str) -> Column:
     return F.unix_micros(name)
 
 
-def _exact(amount: Column) -> Column:
-    """Amount as a decimal, so that adding and later subtracting it leaves no residue."""
-    number = amount.cast("double")
-    return F.when(~F.isnan(number), number).cast(_EXACT)
-
-
 def _finish(spec: RollingSpec, count: Column, total: Column, own: Column) -> Column:
     """Feature value from the prior count, the prior sum and the own amount."""
     if spec.agg == "count":
@@ -130,6 +125,9 @@ def entity_sizes(df: DataFrame, entity: str, *, hot_rows: int = HOT_ROWS) -> Ent
 
 def _split_hot(df: DataFrame, entity: str, hot: tuple) -> tuple[DataFrame, DataFrame]:
     """Rows of ordinary and of hot entities; the key list is at most MAX_HOT rows."""
+    if len(hot) <= _INLINE_KEYS:
+        is_hot = F.col(entity).isin(*hot)
+        return df.filter(~is_hot), df.filter(is_hot)
     schema = T.StructType([T.StructField(entity, df.schema[entity].dataType)])
     keys = F.broadcast(df.sparkSession.createDataFrame([(k,) for k in hot], schema))
     return df.join(keys, entity, "left_anti"), df.join(keys, entity, "left_semi")
@@ -167,7 +165,8 @@ def _by_frames(df: DataFrame, specs: Sequence[RollingSpec]) -> list[Column]:
 # Every history row enters its entity's running state at its own time and leaves
 # each window one microsecond after the window's width has passed.  A probe reads
 # the state.  Within a microsecond rows leave first; then ids decide, and a probe
-# comes before the entry of the same id.
+# comes before the entry of the same id.  Amounts are added as decimals, so that a
+# row that entered and left leaves no residue.
 
 _ENTER, _PROBE = -1, -2
 
@@ -192,43 +191,31 @@ def _moves(df: DataFrame, specs: Sequence[RollingSpec]) -> DataFrame:
     the payload, and one column per running sum its change.
     """
     widths, needed = _state_columns(specs)
-    payload = df.schema["_row"].dataType
-
-    def move(us: Column, order: int, tie: Column, sub: int, kind: int, row: Column) -> Column:
-        return F.struct(
-            us.alias("_us"),
-            F.lit(order).alias("_ord"),
-            tie.alias("_tie"),
-            F.lit(sub).alias("_sub"),
-            F.lit(kind).alias("_kind"),
-            row.alias("_row"),
+
+    def move(us: str, order: int, sub: int, kind: int, row: str) -> str:
+        return (
+            f"struct({us} AS _us, {order} AS _ord, _id AS _tie, {sub} AS _sub, {kind} AS _kind, {row} AS _row)"
         )
 
-    us, tie, nothing = F.col("_us"), F.col("_id"), F.lit(None).cast(payload)
-    probe = move(us, 1, tie, 0, _PROBE, F.col("_row"))
-    enter = move(us, 1, tie, 1, _ENTER, nothing)
-    leaves = [move(us + F.lit(w + 1), 0, tie, 0, i, nothing) for i, w in enumerate(widths)]
-    both = F.array(probe, enter, *leaves)
-    moves = (
-        F.when(F.col("_probes") & F.col("_counts"), both)
-        .when(F.col("_counts"), F.array(enter, *leaves))
-        .otherwise(F.array(probe))
-    )
-    spread = df.select("_entity", F.col("_amt").cast(_EXACT).alias("_amt"), F.explode(moves).alias("_m"))
-    kind = F.col("_m._kind")
-    zero = F.lit(0).cast(_EXACT)
+    nothing = "CASE WHEN false THEN _row END"
+    probe = move("_us", 1, 0, _PROBE, "_row")
+    enter = move("_us", 1, 1, _ENTER, nothing)
+    leaves = [move(f"_us + {w + 1}", 0, 0, i, nothing) for i, w in enumerate(widths)]
+    history = ", ".join([enter, *leaves])
+    moves = f"""CASE WHEN _probes AND _counts THEN array({probe}, {history})
+        WHEN _counts THEN array({history}) ELSE array({probe}) END"""
+    spread = df.selectExpr("_entity", f"CAST(_amt AS {_EXACT}) AS _amt", f"explode({moves}) AS _m")
     changes = []
     for name, (what, w) in needed.items():
-        sign = F.when(kind == _ENTER, 1).when(kind == w, -1).otherwise(0)
+        step = f"CASE _m._kind WHEN {_ENTER} THEN {{0}} WHEN {w} THEN -{{0}} ELSE {{1}} END"
         if what == "rows":
-            change = sign.cast("long")
+            change = f"CAST({step.format('1', '0')} AS BIGINT)"
         elif what == "known":
-            change = F.when(F.col("_amt").isNull(), 0).otherwise(sign).cast("long")
+            change = f"CAST({step.format('int(_amt IS NOT NULL)', '0')} AS BIGINT)"
         else:
-            amount = F.coalesce("_amt", zero)
-            change = F.when(kind == _ENTER, amount).when(kind == w, -amount).otherwise(zero)
-        changes.append(change.cast(_EXACT if what == "sum" else "long").alias(f"_d{name}"))
-    return spread.select("_entity", "_m.*", *changes)
+            change = step.format(f"coalesce(_amt, CAST(0 AS {_EXACT}))", f"CAST(0 AS {_EXACT})")
+        changes.append(f"{change} AS _d{name}")
+    return spread.selectExpr("_entity", "_m.*", *changes)
 
 
 _SWEEP_ORDER = ["_us", "_ord", "_tie", "_sub"]
@@ -250,12 +237,8 @@ def _by_sweep(df: DataFrame, specs: Sequence[RollingSpec]) -> DataFrame:
     """Sweep with one window per entity: linear in its rows, one exchange of compact rows."""
     _, needed = _state_columns(specs)
     moves = _moves(df.repartition("_entity"), specs)
-    upto = (
-        Window.partitionBy("_entity")
-        .orderBy(*_SWEEP_ORDER)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    state = moves.select("_kind", "_row", *[F.sum(f"_d{c}").over(upto).alias(c) for c in needed])
+    upto = f"(PARTITION BY _entity ORDER BY {', '.join(_SWEEP_ORDER)} ROWS UNBOUNDED PRECEDING)"
+    state = moves.selectExpr("_kind", "_row", *[f"sum(_d{c}) OVER {upto} AS {c}" for c in needed])
     own = F.col("_row._own")
     return state.filter(F.col("_kind") == _PROBE).select("_row", *_features_from_state(specs, own))
 
@@ -272,7 +255,7 @@ def _by_chunked_sweep(df: DataFrame, specs: Sequence[RollingSpec], one_task_rows
     moves = (
         _moves(df, specs)
         .groupBy("_entity", *_SWEEP_ORDER)
-        .agg(*[F.sum(f"_d{c}").cast(_EXACT if c[1] == "s" else "long").alias(f"_d{c}") for c in needed])
+        .agg(*[F.sum(f"_d{c}").alias(f"_d{c}") for c in needed])
     )
     state = running_totals(
         moves,
