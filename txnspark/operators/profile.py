@@ -301,8 +301,10 @@ def _correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
         f"struct({_text(a)} AS i, {_text(b)} AS j, {number(a)} AS x, {number(b)} AS y)" for a, b in pairs
     ]
     long = df.selectExpr(f"inline(array({', '.join(structs)}))").filter("x IS NOT NULL AND y IS NOT NULL")
-    spread = "stddev_pop(x) * stddev_pop(y)"
-    found = long.groupBy("i", "j").agg(F.expr(f"try_divide(covar_pop(x, y), {spread})").alias("r"))
+    # Merged deviations of a constant can come out as a tiny number, hence the range test.
+    varies = "min(x) < max(x) AND min(y) < max(y)"
+    r = f"CASE WHEN {varies} THEN covar_pop(x, y) / (stddev_pop(x) * stddev_pop(y)) END"
+    found = long.groupBy("i", "j").agg(F.expr(r).alias("r"))
     # Pairs without a single complete row still get their line.
     schema = T.StructType([T.StructField("i", T.StringType()), T.StructField("j", T.StringType())])
     wanted = df.sparkSession.createDataFrame(list(pairs), schema)
