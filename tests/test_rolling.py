@@ -159,6 +159,28 @@ def test_copies_of_a_row_do_not_see_each_other(spark, strategy):
     assert got == [(0, 0.0)] * 3 + [(3, 15.0)]
 
 
+@pytest.mark.parametrize("strategy", ["sweep", "chunked"])
+def test_amounts_that_are_not_whole_millionths(spark, strategy):
+    """Such amounts are added as decimals; whole millionths as longs."""
+    data = [(i, u, at, None if v is None else v / 7) for i, u, at, v in random_history(400)]
+    df = frame(spark, data)
+    assert not entity_sizes(df, "derived_user_id", "transaction_amt").whole_micros
+    assert entity_sizes(frame(spark, random_history(400)), "derived_user_id", "transaction_amt").whole_micros
+    got, want = by_id(rolling_features(df, strategy=strategy)), brute(data)
+    assert [k for k in want if not same(got[k], want[k])] == []
+
+
+@pytest.mark.parametrize("one_task_rows", [500_000, 40])
+def test_many_copies_of_a_hot_row(spark, one_task_rows):
+    """A third of the rows are copies of one row; none of them sees another."""
+    data = random_history(400) + [(77_777, "hot", T + timedelta(days=30), 2.5)] * 200
+    df = frame(spark, data)
+    got = rolling_features(df, strategy="chunked", one_task_rows=one_task_rows)
+    assert got.count() == 600
+    copies = got.filter("transaction_id = 77777").select(*NAMES).distinct().collect()
+    assert len(copies) == 1 and same(tuple(copies[0]), brute(data)[77_777])
+
+
 def test_custom_specs(spark):
     specs = [
         RollingSpec("n", "count", timedelta(hours=6)),

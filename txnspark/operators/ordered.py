@@ -33,6 +33,7 @@ def running_totals(
     descending: Sequence[str] = (),
     inclusive: bool = True,
     totals: Mapping[str, str] | None = None,
+    size: int | None = None,
     one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Add running sums along ``order`` within ``group``, without a skewed task.
@@ -42,15 +43,15 @@ def running_totals(
     the current row counts, otherwise only the rows before it.  Ties in
     ``order`` are summed in no particular order, so callers make it unique.
 
-    The input is stored once.  A small frame is ordered directly.  A large one is
-    range-partitioned on (group, order), which also cuts through a hot group, and
+    The input is stored once to learn its size, unless ``size`` gives it.  A small
+    frame is ordered directly.  A large one is range-partitioned on (group, order), which also cuts through a hot group, and
     stored again with its chunk number; each chunk is then summed on its own and
     shifted by the sum of the chunks before it.  At most one group per chunk
     started in an earlier chunk, so the table of shifts has no more rows than
     there are chunks and is safe to broadcast.
     """
     totals = dict(totals or {})
-    stored, rows = materialize(df, "ordered")
+    stored, rows = materialize(df, "ordered") if size is None else (df, size)
     place = ", ".join(f"`{c}` {'DESC' if c in descending else 'ASC'}" for c in order)
     keys = ", ".join(f"`{c}`" for c in group)
     by_group = f"PARTITION BY {keys}" if group else ""
@@ -255,6 +256,15 @@ def at_or_before(keys: Sequence[str], cut: Cut) -> Column:
     return result
 
 
+def with_position(
+    df: DataFrame, keys: Sequence[str], name: str = "position", *, one_task_rows: int = ONE_TASK_ROWS
+) -> DataFrame:
+    """Add each row's place (from 1) in the order of unique ``keys``."""
+    counted = df.withColumn("_one", F.lit(1).cast("long"))
+    placed = running_totals(counted, order=keys, sums={name: "_one"}, one_task_rows=one_task_rows)
+    return placed.drop("_one")
+
+
 def first_rows(
     df: DataFrame, n: int | None, keys: Sequence[str], *, one_task_rows: int = ONE_TASK_ROWS
 ) -> DataFrame:

@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txnspark.functions.columns import event_day, is_missing
 from txnspark.functions.groups import column_groups, group_of
-from txnspark.operators.ordered import quantiles
+from txnspark.operators.ordered import first_rows, quantiles
+from txnspark.scratch import materialize
 
 # Expressions per aggregation, to stay within generated-code limits on wide tables.
 _BATCH = 100
+# A counted table of at most this many narrow rows may be broadcast.
+BROADCAST_ROWS = 1_000_000
 _FLOATS = (T.FloatType, T.DoubleType)
 
 
@@ -164,7 +167,7 @@ def coverage_rate(df: DataFrame, side_column: str, label: str) -> DataFrame:
     """Rows, share and label rate with and without a value in an optional column."""
     has = (~is_missing(df, side_column)).alias("present")
     counts = df.groupBy(has).agg(F.count(F.lit(1)).alias("rows"), F.avg(label).alias("rate"))
-    share = F.col("rows") * 100.0 / counts.agg(F.sum("rows")).scalar()
+    share = F.col("rows") * 100.0 / df.agg(F.count(F.lit(1))).scalar()
     return counts.select("present", "rows", share.alias("pct_rows"), "rate")
 
 
@@ -278,7 +281,7 @@ def value_counts(df: DataFrame, column: str, *, top_n: int | None = 10, drop_mis
     """Rows and share per value, most frequent first; ties by value, missing values counted."""
     rows = df.filter(~is_missing(df, column)) if drop_missing else df
     counts = rows.groupBy(_clean(df, column).alias("value")).agg(F.count(F.lit(1)).alias("count"))
-    share = F.col("count") / counts.agg(F.sum("count")).scalar()
+    share = F.col("count") / rows.agg(F.count(F.lit(1))).scalar()
     ranked = counts.select("value", "count", share.alias("share")).orderBy(F.desc("count"), F.asc_nulls_last("value"))
     return ranked if top_n is None else ranked.limit(top_n)
 
@@ -303,7 +306,7 @@ def _correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     long = df.selectExpr(f"inline(array({', '.join(structs)}))").filter("x IS NOT NULL AND y IS NOT NULL")
     # Merged deviations of a constant can come out as a tiny number, hence the range test.
     varies = "min(x) < max(x) AND min(y) < max(y)"
-    r = f"CASE WHEN {varies} THEN covar_pop(x, y) / (stddev_pop(x) * stddev_pop(y)) END"
+    r = f"CASE WHEN {varies} THEN try_divide(covar_pop(x, y), stddev_pop(x) * stddev_pop(y)) END"
     found = long.groupBy("i", "j").agg(F.expr(r).alias("r"))
     # Pairs without a single complete row still get their line.
     schema = T.StructType([T.StructField("i", T.StringType()), T.StructField("j", T.StringType())])
@@ -363,13 +366,13 @@ def histogram_by_class(
         .groupBy(F.col("_c").alias(by), number.alias("bin"))
         .agg(F.count(F.lit(1)).alias("count"))
     )
-    per_class = counts.groupBy(by).agg(F.sum("count").alias("_all"))
-    return counts.join(per_class, by).select(
+    of_class = F.sum("count").over(Window.partitionBy(by))  # at most one row per bin
+    return counts.select(
         by,
         "bin",
         (F.lit(lo) + F.col("bin") * F.lit(width)).alias("lo"),
         "count",
-        (F.col("count") / (F.col("_all") * F.lit(width))).alias("density"),
+        (F.col("count") / (of_class * F.lit(width))).alias("density"),
     )
 
 
@@ -378,6 +381,9 @@ def boxplot_stats(df: DataFrame, column: str, by: str, *, accuracy: int | None =
     values = df.select(F.col(by), _clean(df, column).cast("double").alias("_v"))
     values = values.filter(F.col("_v").isNotNull() & F.col(by).isNotNull())
     quarts = quantiles(values, "_v", [0.25, 0.5, 0.75], group=[by], accuracy=accuracy).toDF(by, "q1", "q2", "q3")
+    quarts, classes = materialize(quarts, "quartiles")
+    if classes <= BROADCAST_ROWS:
+        quarts = F.broadcast(quarts)
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = F.col("_v").between(F.col("q1") - reach, F.col("q3") + reach)
     return (
@@ -446,10 +452,10 @@ def preview(df: DataFrame, n: int = 5) -> DataFrame:
 def hash_sample(df: DataFrame, n: int, key: str, *, seed: int = 42) -> DataFrame:
     """``min(n, rows)`` rows by a hash of the key and the seed.
 
-    The same rows whatever the partitioning; each task keeps only its own top n.
+    The same rows whatever the partitioning.
     """
     place = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
-    return df.withColumn("_place", place).orderBy("_place", key).limit(n).drop("_place")
+    return first_rows(df.withColumn("_place", place), n, ["_place", key]).drop("_place")
 
 
 # --------------------------------------------------------------- type advice

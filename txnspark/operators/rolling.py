@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txnspark.operators.ordered import first_rows, running_totals
+from txnspark.operators.ordered import ONE_TASK_ROWS, first_rows, running_totals
 
 MICROS = 1_000_000
 # A window frame re-reads its rows for every row, so it is kept for short histories.
@@ -104,23 +104,43 @@ def _without_history(spec: RollingSpec) -> Column:
 
 @dataclass(frozen=True)
 class EntitySizes:
+    """What the sweep needs to know about a table before it is planned."""
+
     largest: int
-    hot: tuple
+    hot: tuple = ()
+    hot_rows: int = 0
+    whole_micros: bool = False
 
 
-def entity_sizes(df: DataFrame, entity: str, *, hot_rows: int = HOT_ROWS) -> EntitySizes:
-    """Largest entity, and the entities too large for one task.
+def entity_sizes(
+    df: DataFrame, entity: str, amount: str | None = None, *, hot_rows: int = HOT_ROWS
+) -> EntitySizes:
+    """Largest entity, the entities too large for one task, and how amounts can be added.
 
     An entity is hot above ``hot_rows`` and above 1/10,000 of the table, so at most
-    10,000 keys ever reach the driver.
+    10,000 keys ever reach the driver.  ``whole_micros`` tells that every amount is a
+    whole number of millionths and that no entity's absolute sum leaves the range of
+    a long.
     """
-    counts = df.filter(F.col(entity).isNotNull()).groupBy(entity).agg(F.count(F.lit(1)).alias("n"))
-    largest, total = counts.agg(F.max("n"), F.sum("n")).first()
-    limit = max(hot_rows, (total or 0) // MAX_HOT)
-    if not largest or largest <= limit:
-        return EntitySizes(largest or 0, ())
-    hot = counts.filter(F.col("n") > limit).select(entity).collect()
-    return EntitySizes(largest, tuple(row[0] for row in hot))
+    value = "CAST(NULL AS DOUBLE)" if amount is None else f"nanvl(CAST(`{amount}` AS DOUBLE), NULL)"
+    whole = f"coalesce(rint({value} * 1e6D) / 1e6D = {value} AND abs({value}) < 1e9D, true)"
+    counts = (
+        df.filter(F.col(entity).isNotNull())
+        .groupBy(entity)
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.expr(f"sum(abs({value}))").alias("size"),
+            F.expr(f"bool_and({whole})").alias("whole"),
+        )
+    )
+    row = counts.agg(F.max("n"), F.sum("n"), F.max("size"), F.bool_and("whole")).first()
+    largest, total, size, whole = row[0] or 0, row[1] or 0, row[2] or 0.0, bool(row[3])
+    whole = whole and size * 1e6 < 4e18
+    limit = max(hot_rows, total // MAX_HOT)
+    if largest <= limit:
+        return EntitySizes(largest, whole_micros=whole)
+    hot = counts.filter(F.col("n") > limit).select(entity, "n").collect()
+    return EntitySizes(largest, tuple(r[entity] for r in hot), sum(r["n"] for r in hot), whole)
 
 
 def _split_hot(df: DataFrame, entity: str, hot: tuple) -> tuple[DataFrame, DataFrame]:
@@ -165,115 +185,149 @@ def _by_frames(df: DataFrame, specs: Sequence[RollingSpec]) -> list[Column]:
 # Every history row enters its entity's running state at its own time and leaves
 # each window one microsecond after the window's width has passed.  A probe reads
 # the state.  Within a microsecond rows leave first; then ids decide, and a probe
-# comes before the entry of the same id.  Amounts are added as decimals, so that a
-# row that entered and left leaves no residue.
+# comes before the entry of the same id.
+#
+# Amounts are added exactly, so that a row that entered and left leaves no residue:
+# as longs counting millionths where all amounts allow it, else as decimals.
 
 _ENTER, _PROBE = -1, -2
 
 
+@dataclass(frozen=True)
+class _Adder:
+    """SQL of an exact amount, of nothing, and of the number a total stands for."""
+
+    kind: str
+    exact: str
+    number: str
+
+    @property
+    def zero(self) -> str:
+        return f"CAST(0 AS {self.kind})"
+
+
+_MILLIONTHS = _Adder("BIGINT", "CAST(rint({0} * 1e6D) AS BIGINT)", "CAST({0} AS DOUBLE) / 1e6D")
+_DECIMALS = _Adder("DECIMAL(38, 18)", "CAST({0} AS DECIMAL(38, 18))", "CAST({0} AS DOUBLE)")
+
+
+def _adder(sizes: EntitySizes) -> _Adder:
+    return _MILLIONTHS if sizes.whole_micros else _DECIMALS
+
+
 def _state_columns(specs: Sequence[RollingSpec]) -> tuple[list[int], dict[str, tuple[str, int]]]:
+    """Window widths, and per running sum what it adds and for which width."""
     widths = sorted({s.micros for s in specs})
     needed: dict[str, tuple[str, int]] = {}
     for spec in specs:
         w = widths.index(spec.micros)
         if spec.agg == "count":
-            needed[f"_n{w}"] = ("rows", w)
+            needed[f"_n{w}"] = ("_rows", w)
         else:
-            needed[f"_s{w}"] = ("sum", w)
-            needed[f"_k{w}"] = ("known", w)
+            needed[f"_s{w}"] = ("_sum", w)
+            needed[f"_k{w}"] = ("_known", w)
     return widths, needed
 
 
-def _moves(df: DataFrame, specs: Sequence[RollingSpec]) -> DataFrame:
-    """Explode rows into their enter, leave and probe moves.
+def _moves(df: DataFrame, specs: Sequence[RollingSpec], adder: _Adder, first: str, carried: str) -> DataFrame:
+    """Explode rows into moves: ``first`` (SQL of an array of moves), then the leaves.
 
-    Columns ``_entity _us _ord _tie _sub`` give the order, ``_row`` (probes only)
-    the payload, and one column per running sum its change.
+    Input columns ``_rows _known _sum`` say what a row adds.  Output columns
+    ``_at _tie _sub`` give the order, and one column per running sum its change.
     """
     widths, needed = _state_columns(specs)
-
-    def move(us: str, order: int, sub: int, kind: int, row: str) -> str:
-        return (
-            f"struct({us} AS _us, {order} AS _ord, _id AS _tie, {sub} AS _sub, {kind} AS _kind, {row} AS _row)"
-        )
-
-    nothing = "CASE WHEN false THEN _row END"
-    probe = move("_us", 1, 0, _PROBE, "_row")
-    enter = move("_us", 1, 1, _ENTER, nothing)
-    leaves = [move(f"_us + {w + 1}", 0, 0, i, nothing) for i, w in enumerate(widths)]
-    history = ", ".join([enter, *leaves])
-    moves = f"""CASE WHEN _probes AND _counts THEN array({probe}, {history})
-        WHEN _counts THEN array({history}) ELSE array({probe}) END"""
-    spread = df.selectExpr("_entity", f"CAST(_amt AS {_EXACT}) AS _amt", f"explode({moves}) AS _m")
+    leaves = ", ".join(_move(f"(_us + {w + 1}) * 2", 0, i, carried) for i, w in enumerate(widths))
+    moves = f"CASE WHEN _rows > 0 THEN concat({first}, array({leaves})) ELSE {first} END"
+    spread = df.selectExpr("_entity", "_rows", "_known", "_sum", f"explode({moves}) AS _m")
     changes = []
     for name, (what, w) in needed.items():
-        step = f"CASE _m._kind WHEN {_ENTER} THEN {{0}} WHEN {w} THEN -{{0}} ELSE {{1}} END"
-        if what == "rows":
-            change = f"CAST({step.format('1', '0')} AS BIGINT)"
-        elif what == "known":
-            change = f"CAST({step.format('int(_amt IS NOT NULL)', '0')} AS BIGINT)"
-        else:
-            change = step.format(f"coalesce(_amt, CAST(0 AS {_EXACT}))", f"CAST(0 AS {_EXACT})")
-        changes.append(f"{change} AS _d{name}")
+        zero = adder.zero if what == "_sum" else "0L"
+        changes.append(
+            f"CASE _m._kind WHEN {_ENTER} THEN {what} WHEN {w} THEN -{what} ELSE {zero} END AS _d{name}"
+        )
     return spread.selectExpr("_entity", "_m.*", *changes)
 
 
-_SWEEP_ORDER = ["_us", "_ord", "_tie", "_sub"]
+def _move(at: str, sub: int, kind: int, more: str = "") -> str:
+    return f"struct({at} AS _at, _id AS _tie, {sub} AS _sub, {kind} AS _kind{more})"
+
 
+# Twice the microsecond, plus one for rows that enter: leaves come first.
+_HERE = "_us * 2 + 1"
 
-def _features_from_state(specs: Sequence[RollingSpec], own: Column) -> list[Column]:
+
+def _features_from_state(specs: Sequence[RollingSpec], adder: _Adder) -> list[Column]:
     widths, _ = _state_columns(specs)
-    out = []
+    own, out = F.col("_row._own"), []
     for spec in specs:
         w = widths.index(spec.micros)
         if spec.agg == "count":
             out.append(_finish(spec, F.col(f"_n{w}"), F.lit(None), own))
         else:
-            out.append(_finish(spec, F.col(f"_k{w}"), F.col(f"_s{w}"), own))
+            out.append(_finish(spec, F.col(f"_k{w}"), F.expr(adder.number.format(f"_s{w}")), own))
     return out
 
 
-def _by_sweep(df: DataFrame, specs: Sequence[RollingSpec]) -> DataFrame:
-    """Sweep with one window per entity: linear in its rows, one exchange of compact rows."""
+def _amounts(df: DataFrame, adder: _Adder, *keep: str) -> DataFrame:
+    """What each row adds to the state."""
+    return df.selectExpr(
+        *keep,
+        "IF(_counts, 1L, 0L) AS _rows",
+        "IF(_counts AND _amt IS NOT NULL, 1L, 0L) AS _known",
+        f"IF(_counts, coalesce({adder.exact.format('_amt')}, {adder.zero}), {adder.zero}) AS _sum",
+    )
+
+
+def _by_sweep(df: DataFrame, specs: Sequence[RollingSpec], sizes: EntitySizes) -> DataFrame:
+    """Sweep with one window per entity: linear in its rows, one exchange of compact rows.
+
+    A row's probe and its entry are separate moves, so that copies of a row do not
+    see each other.
+    """
+    adder = _adder(sizes)
     _, needed = _state_columns(specs)
-    moves = _moves(df.repartition("_entity"), specs)
-    upto = f"(PARTITION BY _entity ORDER BY {', '.join(_SWEEP_ORDER)} ROWS UNBOUNDED PRECEDING)"
+    rows = _amounts(df.repartition("_entity"), adder, "_entity", "_us", "_id", "_probes", "_row")
+    nothing = ", CASE WHEN false THEN _row END AS _row"
+    probe, enter = _move(_HERE, 0, _PROBE, ", _row AS _row"), _move(_HERE, 1, _ENTER, nothing)
+    first = f"CASE WHEN _probes AND _rows > 0 THEN array({probe}, {enter}) WHEN _probes THEN array({probe}) ELSE array({enter}) END"
+    moves = _moves(rows, specs, adder, first, nothing)
+    upto = "(PARTITION BY _entity ORDER BY _at, _tie, _sub ROWS UNBOUNDED PRECEDING)"
     state = moves.selectExpr("_kind", "_row", *[f"sum(_d{c}) OVER {upto} AS {c}" for c in needed])
-    own = F.col("_row._own")
-    return state.filter(F.col("_kind") == _PROBE).select("_row", *_features_from_state(specs, own))
+    return state.filter(F.col("_kind") == _PROBE).select("_row", *_features_from_state(specs, adder))
 
 
-def _by_chunked_sweep(df: DataFrame, specs: Sequence[RollingSpec], one_task_rows: int) -> DataFrame:
+def _by_chunked_sweep(
+    df: DataFrame, specs: Sequence[RollingSpec], sizes: EntitySizes, one_task_rows: int
+) -> DataFrame:
     """Sweep for entities that do not fit one task.
 
-    Moves with the same place in the order are added up first, so copies of a row
-    collapse in the map-side combine; the running sums then go over chunks that
-    cut through an entity.  The state is joined back to the rows by its place.
+    Rows with the same entity, time and id are added up first, with a map-side
+    combine, so a large group of copies collapses; each group then reads the state
+    just before its own single entry.  The running sums go over chunks that cut
+    through an entity, and the state is joined back to the rows.
     """
-    _, needed = _state_columns(specs)
-    place = ["_entity", "_us", "_tie"]
-    moves = (
-        _moves(df, specs)
-        .groupBy("_entity", *_SWEEP_ORDER)
-        .agg(*[F.sum(f"_d{c}").alias(f"_d{c}") for c in needed])
+    adder = _adder(sizes)
+    widths, needed = _state_columns(specs)
+    place = ("_entity", "_us", "_id")
+    groups = (
+        _amounts(df, adder, *place)
+        .groupBy(*place)
+        .agg(*[F.sum(c).alias(c) for c in ("_rows", "_known", "_sum")])
     )
+    moves = _moves(groups, specs, adder, f"array({_move(_HERE, 0, _ENTER)})", "")
     state = running_totals(
         moves,
         group=["_entity"],
-        order=_SWEEP_ORDER,
+        order=["_at", "_tie"],
         sums={c: f"_d{c}" for c in needed},
+        inclusive=False,
+        size=sizes.hot_rows * (len(widths) + 1) or None,
         one_task_rows=one_task_rows,
     )
-    state = state.filter("_ord = 1 and _sub = 0").select(
-        *[F.col(c).alias(f"_p{c}") for c in place], *needed
-    )
-    probes = df.filter("_probes").alias("p")
-    same = (
-        (F.col("_entity") == F.col("_p_entity"))
-        & (F.col("_us") == F.col("_p_us"))
-        & F.col("_id").eqNullSafe(F.col("_p_tie"))
+    state = state.filter(F.col("_kind") == _ENTER).selectExpr(
+        "_entity AS _p_entity", "(_at - 1) div 2 AS _p_us", "_tie AS _p_id", *needed
     )
-    return probes.join(state, same).select("_row", *_features_from_state(specs, F.col("_row._own")))
+    same = F.expr("_entity = _p_entity AND _us = _p_us AND _id <=> _p_id")
+    return df.filter("_probes").join(state, same).select("_row", *_features_from_state(specs, adder))
 
 
 # ---------------------------------------------------------------- operators
@@ -314,7 +368,7 @@ def rolling_features(
     columns: HistoryColumns = DEFAULT_COLUMNS,
     strategy: str = "auto",
     hot_rows: int = HOT_ROWS,
-    one_task_rows: int | None = None,
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Add one column per spec to every row of ``df``.
 
@@ -330,14 +384,14 @@ def rolling_features(
     names = [s.name for s in specs]
     if clash := [n for n in names if n in df.columns]:
         raise ValueError(f"columns already present: {clash}")
-    hot: tuple = ()
+    if strategy not in ("auto", "frames", "sweep", "chunked"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    if strategy != "frames":
+        sizes = entity_sizes(df, columns.entity, columns.amount, hot_rows=hot_rows)
     if strategy == "auto":
-        sizes = entity_sizes(df, columns.entity, hot_rows=hot_rows)
-        hot = sizes.hot
-        strategy = "frames" if sizes.largest <= FRAME_ROWS else "sweep"
+        strategy = "frames" if sizes.largest <= FRAME_ROWS else "hybrid"
     usable = df.filter(_usable(columns))
     rest = df.filter(~_usable(columns)).select("*", *[_without_history(s) for s in specs])
-    task_rows = {} if one_task_rows is None else {"one_task_rows": one_task_rows}
 
     def prepared(rows: DataFrame) -> DataFrame:
         return _prepared(rows, columns, counts=True, probes=True, keep=df.columns)
@@ -346,21 +400,20 @@ def rolling_features(
         ready = prepared(usable)
         result = ready.select("_row", *_by_frames(ready, specs))
     elif strategy == "sweep":
-        normal, heavy = _split_hot(usable, columns.entity, hot) if hot else (usable, None)
-        result = _by_sweep(prepared(normal), specs)
-        if heavy is not None:
-            result = result.unionByName(_chunked(prepared(heavy), specs, task_rows))
+        result = _by_sweep(prepared(usable), specs, sizes)
     elif strategy == "chunked":
-        result = _chunked(prepared(usable), specs, task_rows)
+        result = _by_chunked_sweep(prepared(usable), specs, sizes, one_task_rows)
     else:
-        raise ValueError(f"unknown strategy {strategy!r}")
+        result = _by_size(prepared(usable), specs, sizes, one_task_rows)
     return result.select("_row.*", *names).drop("_own").unionByName(rest)
 
 
-def _chunked(df: DataFrame, specs: Sequence[RollingSpec], task_rows: dict) -> DataFrame:
-    from txnspark.operators.ordered import ONE_TASK_ROWS
-
-    return _by_chunked_sweep(df, specs, task_rows.get("one_task_rows", ONE_TASK_ROWS))
+def _by_size(df: DataFrame, specs: Sequence[RollingSpec], sizes: EntitySizes, one_task_rows: int) -> DataFrame:
+    """Sweep, with hot entities chunked."""
+    if not sizes.hot:
+        return _by_sweep(df, specs, sizes)
+    normal, heavy = _split_hot(df, "_entity", sizes.hot)
+    return _by_sweep(normal, specs, sizes).unionByName(_by_chunked_sweep(heavy, specs, sizes, one_task_rows))
 
 
 def behavioral_features(
@@ -412,7 +465,7 @@ def score_requests(
     *,
     columns: HistoryColumns = DEFAULT_COLUMNS,
     hot_rows: int = HOT_ROWS,
-    one_task_rows: int | None = None,
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Features of requests that need not be in the history table.
 
@@ -438,12 +491,9 @@ def score_requests(
     payload = asked.schema["_row"].dataType
     known = _prepared(past, columns, counts=True, probes=False, keep=[columns.entity])
     both = asked.unionByName(known.withColumn("_row", F.lit(None).cast(payload)))
-    hot = entity_sizes(both, "_entity", hot_rows=hot_rows).hot
-    normal, heavy = _split_hot(both, "_entity", hot) if hot else (both, None)
-    result = _by_sweep(normal, specs)
-    if heavy is not None:
-        task_rows = {} if one_task_rows is None else {"one_task_rows": one_task_rows}
-        result = result.unionByName(_chunked(heavy, specs, task_rows))
+    added = both.withColumn("_added", F.when(F.col("_counts"), F.col("_amt")))
+    sizes = entity_sizes(added, "_entity", "_added", hot_rows=hot_rows)
+    result = _by_size(both, specs, sizes, one_task_rows)
     return result.select("_row.*", *[s.name for s in specs]).drop("_own").unionByName(rest)
 
 

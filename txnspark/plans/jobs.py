@@ -77,13 +77,16 @@ def ingest(
     feature_rows = transactions = identities = 0
     promoted = PromoteResult(0, 0)
     if not skip_features:
-        feature_rows = write_features(static_features(merged), features_table, evolve=evolve)
+        feature_rows = write_features(static_features(merged), features_table, evolve=evolve, stored=True)
     if not skip_tables:
         transactions = upsert_table(
-            normalize_transactions(merged), lake.table("bronze", "transactions"), "transaction_id"
+            normalize_transactions(merged), lake.table("bronze", "transactions"), "transaction_id", stored=True
         )
         identities = upsert_table(
-            normalize_identities(merged), lake.table("bronze", "transaction_identities"), "transaction_id"
+            normalize_identities(merged),
+            lake.table("bronze", "transaction_identities"),
+            "transaction_id",
+            stored=True,
         )
         if promote_silver:
             promoted = promote(spark, lake, ensure=ensure)
@@ -146,13 +149,23 @@ def write_behavioral(
 
 
 def training_set(
-    spark: SparkSession, lake: Lake | None = None, *, limit: int | None = 10_000, features_table: str | None = None
+    spark: SparkSession,
+    lake: Lake | None = None,
+    *,
+    limit: int | None = 10_000,
+    features_table: str | None = None,
+    store: bool = False,
 ) -> DataFrame:
-    """Training frame from the layered tables."""
+    """Training frame from the layered tables.
+
+    ``store`` writes it to scratch once, for callers that go on to split, encode and
+    fit: these read the frame several times.
+    """
     lake = lake or Lake()
-    return training_frame(
+    frame = training_frame(
         spark.table(features_table or lake.table("bronze", "train_features")),
         spark.table(lake.table("silver", "transactions")),
         spark.table(lake.table("silver", "transaction_identities")),
         limit=limit,
     )
+    return materialize(frame, "training")[0] if store else frame

@@ -87,37 +87,41 @@ def upsert_table(
     *,
     evolve: bool = False,
     keep_latest_by: str | None = None,
+    stored: bool = False,
 ) -> int:
     """Keyed merge of ``source`` into a table; returns the source row count.
 
     Duplicate non-NULL source keys are an error, or the row with the largest
-    ``keep_latest_by`` wins.  An empty source changes nothing.
+    ``keep_latest_by`` wins.  An empty source changes nothing.  The source is read
+    several times, so it is stored first unless the caller says that it is cheap.
     """
     spark = source.sparkSession
     listed = list(columns if columns is not None else source.columns)
     if keep_latest_by is not None:
         source = latest_per_key(source, key, keep_latest_by)
-    stored, rows = materialize(source, "upsert")
+    batch, rows = (source, source.count()) if stored else materialize(source, "upsert")
     if rows == 0:
         return 0
     if keep_latest_by is None:
-        copies = duplicate_keys(stored, key).limit(5).collect()
+        copies = duplicate_keys(batch, key).limit(5).collect()
         if copies:
             raise ValueError(f"source has duplicate keys in {key}: {[r[key] for r in copies]}")
     provider = _details(spark, table)["Provider"].lower()
     if provider in ROW_LEVEL:
         changed = {c: F.col(f"s.{c}") for c in listed if c != key}
-        merge = stored.alias("s").mergeInto(table, F.expr(f"{table}.{key} = s.{key}"))
+        merge = batch.alias("s").mergeInto(table, F.expr(f"{table}.{key} = s.{key}"))
         merge = merge.whenMatched().update(changed)
         merge = merge.whenNotMatched().insert({key: F.col(f"s.{key}"), **changed})
         (merge.withSchemaEvolution() if evolve else merge).merge()
         return rows
-    overwrite_table(upsert(spark.table(table), stored, key, listed, evolve=evolve), table)
+    overwrite_table(upsert(spark.table(table), batch, key, listed, evolve=evolve), table)
     return rows
 
 
-def write_features(features: DataFrame, table: str, key: str = "TransactionID", *, evolve: bool = False) -> int:
+def write_features(
+    features: DataFrame, table: str, key: str = "TransactionID", *, evolve: bool = False, stored: bool = False
+) -> int:
     """Wide features: the first load adds its columns to the table, later loads merge by key."""
     spark = features.sparkSession
     first = spark.table(table).isEmpty()
-    return upsert_table(features, table, key, evolve=first or evolve)
+    return upsert_table(features, table, key, evolve=first or evolve, stored=stored)

@@ -87,6 +87,8 @@ ORACLES: dict[str, str] = {
     "chronological_order": """
         SELECT event_id AS transaction_id, strftime(ts, '%Y-%m-%d') AS event_day, round(ln(1 + value), 6) AS log_amt
         FROM events ORDER BY date_trunc('day', ts), event_id LIMIT 500""",
+    "time_position": """SELECT o_orderkey AS transaction_id,
+        row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS position FROM orders""",
     "score_requests_later": _rolling(_LATER, requests="r", key="request_id"),
     "score_requests_no_id": _rolling(EVENTS_BY_DAY_CTE, prior=_STRICT, key="request_id"),
 }

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from txnspark.functions.columns import entity_id, event_day, event_time, log_amount
 from txnspark.operators import dataset, drift, encode, joins, metrics, normalize, profile
 from txnspark.operators import model as trees
-from txnspark.operators.ordered import first_rows
+from txnspark.operators.ordered import first_rows, with_position
 from txnspark.operators.rolling import (
     BEHAVIORAL_SPECS,
     RollingSpec,
@@ -21,7 +21,7 @@ from txnspark.operators.rolling import (
     score_requests,
 )
 from txnspark.operators.split import split_report, time_split
-from txnspark.scratch import scratch_path
+from txnspark.scratch import materialize, scratch_path
 from txnspark.sources import files, tables
 from workload.inputs import events, orders, raw, side, table
 
@@ -153,6 +153,12 @@ def chronological_order(spark, sf):
     )
 
 
+@query
+def time_position(spark, sf):
+    """Place of every order in time."""
+    return with_position(orders(spark, sf), ["transaction_at", "transaction_id"]).select("transaction_id", "position")
+
+
 def _scored(requests: DataFrame, history: DataFrame) -> DataFrame:
     out = score_requests(requests, history).select("request_id", *_SPECS)
     return rounded(out, *_FEATURES)
@@ -613,7 +619,7 @@ def _model_split(spark, sf):
     frame = dataset.training_frame(*_layers(spark, sf), limit=None)
     # The label follows the order status, so columns derived from it are left out.
     hidden = ("card2", "card4", "p_emaildomain", "r_emaildomain", "D1", "M1")
-    return time_split(frame.drop(*hidden))
+    return time_split(materialize(frame.drop(*hidden), "training")[0])
 
 
 @query
