@@ -19,14 +19,15 @@ from txnspark.settings import Lake  # noqa: E402
 def spark(tmp_path_factory):
     base = tmp_path_factory.mktemp("spark")
     session = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master("local[4]")
         .appName("txnspark-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "6g")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(base / "warehouse"))
+        .config("spark.sql.codegen.wholeStage", "false")
         .config("spark.checkpoint.dir", str(base / "checkpoint"))
         .getOrCreate()
     )

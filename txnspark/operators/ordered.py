@@ -21,6 +21,8 @@ from txnspark.scratch import materialize
 
 # A frame of at most this many rows may be ordered inside one task.
 ONE_TASK_ROWS = 500_000
+# A top-n gathers whole rows, so it is used for fewer of them.
+TOP_ROWS = 100_000
 _BUCKETS = 4096
 
 
@@ -275,7 +277,7 @@ def first_rows(
     """
     if n is None or n < 0:
         return df
-    if n <= one_task_rows:
+    if n <= min(TOP_ROWS, one_task_rows):
         return df.orderBy(*[F.col(c).asc_nulls_last() for c in keys]).limit(n)
     size = df.count()
     if n >= size:

@@ -25,10 +25,10 @@ MICROS = 1_000_000
 FRAME_ROWS = 1_024
 # An entity above this size, and above its share of MAX_HOT, is spread over chunks.
 HOT_ROWS = 1_000_000
-MAX_HOT = 10_000
+MAX_HOT = 100_000
 _INLINE_KEYS = 100
 # Request batches up to this size carry their entity list to the history scan.
-PRUNE_REQUESTS = 1_000_000
+PRUNE_REQUESTS = 250_000
 _EXACT = "DECIMAL(38, 18)"
 
 
@@ -117,8 +117,8 @@ def entity_sizes(
 ) -> EntitySizes:
     """Largest entity, the entities too large for one task, and how amounts can be added.
 
-    An entity is hot above ``hot_rows`` and above 1/10,000 of the table, so at most
-    10,000 keys ever reach the driver.  ``whole_micros`` tells that every amount is a
+    An entity is hot above ``hot_rows`` and above 1/100,000 of the table, so at most
+    100,000 keys ever reach the driver.  ``whole_micros`` tells that every amount is a
     whole number of millionths and that no entity's absolute sum leaves the range of
     a long.
     """
@@ -473,7 +473,7 @@ def score_requests(
     Requests read the same running state as :func:`rolling_features`, so the cost is
     linear in requests plus history and no request-history pairs are formed.
     History outside the time span the windows can reach is not read; for a batch of
-    at most a million requests, nor are other entities.
+    at most 250,000 requests, nor are other entities.
     """
     specs = list(specs)
     usable = requests.filter(_usable(columns))
