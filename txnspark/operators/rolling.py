@@ -21,8 +21,11 @@ from pyspark.sql import types as T
 from txnspark.operators.ordered import ONE_TASK_ROWS, first_rows, running_totals
 
 MICROS = 1_000_000
-# A window frame re-reads its rows for every row, so it is kept for short histories.
-FRAME_ROWS = 1_024
+# A window frame re-reads its rows for every row, so frames are for short histories: by
+# measurement they beat the sweep while a row's entity has some 200 rows, and no single
+# entity may be so long that its task lags behind.
+FRAME_ROWS = 200
+FRAME_LONGEST = 2_000
 # An entity above this size, and above its share of MAX_HOT, is spread over chunks.
 HOT_ROWS = 1_000_000
 MAX_HOT = 100_000
@@ -107,16 +110,22 @@ class EntitySizes:
     """What the sweep needs to know about a table before it is planned."""
 
     largest: int
+    typical: float = 0.0
     hot: tuple = ()
     hot_rows: int = 0
     whole_micros: bool = False
 
+    @property
+    def suits_frames(self) -> bool:
+        return self.typical <= FRAME_ROWS and self.largest <= FRAME_LONGEST
+
 
 def entity_sizes(
     df: DataFrame, entity: str, amount: str | None = None, *, hot_rows: int = HOT_ROWS
 ) -> EntitySizes:
     """Largest entity, the entities too large for one task, and how amounts can be added.
 
+    ``typical`` is the size of the entity that a row belongs to, averaged over rows.
     An entity is hot above ``hot_rows`` and above 1/100,000 of the table, so at most
     100,000 keys ever reach the driver.  ``whole_micros`` tells that every amount is a
     whole number of millionths and that no entity's absolute sum leaves the range of
@@ -133,14 +142,16 @@ def entity_sizes(
             F.expr(f"bool_and({whole})").alias("whole"),
         )
     )
-    row = counts.agg(F.max("n"), F.sum("n"), F.max("size"), F.bool_and("whole")).first()
+    squares = F.sum(F.col("n").cast("double") * F.col("n"))
+    row = counts.agg(F.max("n"), F.sum("n"), F.max("size"), F.bool_and("whole"), squares).first()
     largest, total, size, whole = row[0] or 0, row[1] or 0, row[2] or 0.0, bool(row[3])
+    typical = (row[4] or 0.0) / max(total, 1)
     whole = whole and size * 1e6 < 4e18
     limit = max(hot_rows, total // MAX_HOT)
     if largest <= limit:
-        return EntitySizes(largest, whole_micros=whole)
+        return EntitySizes(largest, typical, whole_micros=whole)
     hot = counts.filter(F.col("n") > limit).select(entity, "n").collect()
-    return EntitySizes(largest, tuple(r[entity] for r in hot), sum(r["n"] for r in hot), whole)
+    return EntitySizes(largest, typical, tuple(r[entity] for r in hot), sum(r["n"] for r in hot), whole)
 
 
 def _split_hot(df: DataFrame, entity: str, hot: tuple) -> tuple[DataFrame, DataFrame]:
@@ -374,8 +385,8 @@ def rolling_features(
 
     Strategies give equal results: ``frames`` (time-range window frames, for short
     histories), ``sweep`` (linear, any ordinary entity) and ``chunked`` (entities
-    spread over several tasks).  ``auto`` looks at entity sizes: frames while the
-    largest has at most 1,024 rows, otherwise the sweep, with hot entities chunked.
+    spread over several tasks).  ``auto`` looks at entity sizes: frames for short
+    histories, otherwise the sweep, with hot entities chunked.
 
     Rows without entity or time get the empty-history value and never meet in a
     window.  NULL amounts count as rows but not in sums and averages.
@@ -389,7 +400,7 @@ def rolling_features(
     if strategy != "frames":
         sizes = entity_sizes(df, columns.entity, columns.amount, hot_rows=hot_rows)
     if strategy == "auto":
-        strategy = "frames" if sizes.largest <= FRAME_ROWS else "hybrid"
+        strategy = "frames" if sizes.suits_frames else "by size"
     usable = df.filter(_usable(columns))
     rest = df.filter(~_usable(columns)).select("*", *[_without_history(s) for s in specs])
 
