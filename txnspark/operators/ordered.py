@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from txnspark.scratch import materialize
 
 # A frame of at most this many rows may be ordered inside one task.
-ONE_TASK_ROWS = 500_000
+ONE_TASK_ROWS = 1_000_000
 # A top-n gathers whole rows, so it is used for fewer of them.
 TOP_ROWS = 100_000
 _BUCKETS = 4096
