@@ -1,0 +1,63 @@
+import random
+
+import pytest
+from tokenizers import Tokenizer, models, pre_tokenizers
+
+from txnspark.llm import tokens as T
+
+
+def tokenizer(pieces, byte_fallback):
+    vocabulary = [("<unk>", 0.0), *pieces]
+    if byte_fallback:
+        vocabulary += [(f"<0x{b:02X}>", 0.0) for b in range(256)]
+    made = Tokenizer(models.Unigram(vocabulary, 0, byte_fallback))
+    made.pre_tokenizer = pre_tokenizers.Metaspace(replacement=T.MARK, prepend_scheme="always", split=True)
+    return made
+
+
+def texts(rng):
+    out = ["", " ", "  ", "a", " a", "a  b ", "\n\n", "漢字かな", "😀😀 é", "the THE tHe", T.MARK, f"a{T.MARK}b", "x" * 3000]
+    alphabet = "abcdethinrst .,\n漢é😀가"
+    return out + ["".join(rng.choices(alphabet, k=rng.randint(0, 200))) for _ in range(300)]
+
+
+def test_counts_equal_the_tokenizer(spark):
+    pieces, byte_fallback = T.read_vocabulary(T.VOCABULARY)
+    made = tokenizer(pieces, byte_fallback)
+    every = texts(random.Random(1))
+    df = spark.createDataFrame([(k, t, "x") for k, t in enumerate(every)], "doc_id long, text string, n_tokens string")
+    got = {r.doc_id: r.n_tokens for r in T.count_tokens(df, keep=["doc_id"]).collect()}
+    assert got == {k: len(made.encode(t, add_special_tokens=False).ids) for k, t in enumerate(every)}
+
+
+@pytest.mark.parametrize("byte_fallback", [False, True])
+def test_ties(byte_fallback):
+    """Few scores, so that most segmentations tie."""
+    rng = random.Random(2)
+    letters = "abc" + T.MARK
+    names = {"".join(rng.choices("abc", k=rng.randint(2, 4))) for _ in range(25)}
+    names |= {T.MARK + n for n in list(names)[:10]} | set(letters) - {"c"}
+    for _ in range(20):
+        pieces = [(n, float(-rng.randint(1, 3))) for n in sorted(names)]
+        made, own = tokenizer(pieces, byte_fallback), T.Segmenter(pieces, byte_fallback)
+        for _ in range(100):
+            text = "".join(rng.choices("abcd ", k=rng.randint(1, 14)))
+            count = sum(own.count(w)[0] for w in T.split_words(text))
+            assert count == len(made.encode(text, add_special_tokens=False).ids), (text, pieces)
+
+
+def test_memory_is_bounded(monkeypatch):
+    monkeypatch.setattr(T, "MEMORY", 4)
+    own = T.Segmenter([("a", -1.0), ("b", -1.0)], True)
+    for k in range(50):
+        own.count("ab" * k)
+    assert len(own.memory) <= 4
+
+
+def test_odd_rows(spark):
+    df = spark.createDataFrame([(1, None), (1, ""), (None, "a b"), (None, "a b")], "doc_id long, text string")
+    got = sorted((r.doc_id or 0, r.n_tokens) for r in T.count_tokens(df).collect())
+    assert [n for _, n in got] == [2, 2, 0, 0]
+    assert T.count_tokens(df.limit(0)).collect() == []
+    with pytest.raises(ValueError):
+        T.Segmenter([(f"a{T.MARK}b", -1.0)], True)

@@ -26,6 +26,7 @@ from txnspark.scratch import materialize
 
 from .graph import components
 from .store import stored
+from .text import small_batches
 
 SIMILARITY = 0.93
 #: Chance to lose a pair whose similarity is just at the bound.
@@ -145,7 +146,7 @@ def link_vectors(
     have a null component and are kept.  Rows that share an id are other vectors.  Other
     columns are ignored.
     """
-    spark = vectors.sparkSession
+    small_batches(vectors.sparkSession)
     rows = vectors.select(
         F.col(id_col).cast("long").alias("vec_id"),
         F.col(vector_col).cast("array<double>").alias("vec"),

@@ -89,11 +89,13 @@ def fit(rows: DataFrame, text_col: str, lang_col: str) -> tuple[list[str], np.nd
     return langs, np.log(smoothed / smoothed.sum(axis=0)).astype(np.float32), np.log(texts / texts.sum())
 
 
-def _predict(model):
+def _predict(model, text: int, width: int):
+    """Appends the prediction for column ``text`` to the first ``width`` columns."""
+
     def run(batches):
         langs, logs, prior = model.value
         for batch in batches:
-            for first, points, bounds in texts_of(batch.column(batch.num_columns - 1)):
+            for first, points, bounds in texts_of(batch.column(text)):
                 docs = len(bounds) - 1
                 total, grams = np.zeros((docs, len(langs))), np.zeros(docs)
                 for at, slots in _grams(points):
@@ -110,14 +112,14 @@ def _predict(model):
                 score = np.zeros(docs)
                 if langs:
                     score = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
-                rest = [c.slice(first, docs) for c in batch.columns[:-1]]
+                rest = [c.slice(first, docs) for c in batch.columns[:width]]
                 yield pa.record_batch(
                     [
                         *rest,
                         pa.array([langs[b] if k else UNKNOWN for b, k in zip(best, known)], pa.string()),
                         pa.array(np.where(known, score, 0.0)),
                     ],
-                    names=[*batch.schema.names[:-1], "lang_pred", "score"],
+                    names=[*batch.schema.names[:width], "lang_pred", "score"],
                 )
 
     return run
@@ -138,11 +140,14 @@ def identify(
     """
     small_batches(docs.sparkSession)
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
-    chosen = docs.select(*keep, F.col(text_col).cast("string").alias("_scored_text"))
+    at, extra = len(keep), [F.col(text_col).cast("string").alias("_scored_text")]
+    if text_col in keep and docs.schema[text_col].dataType.simpleString() == "string":
+        at, extra = keep.index(text_col), []
+    chosen = docs.select(*keep, *extra)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
     value = docs.sparkSession.sparkContext.broadcast(model)
     schema += ", " * bool(schema) + "lang_pred string, score double"
-    return chosen.mapInArrow(_predict(value), schema)
+    return chosen.mapInArrow(_predict(value, at, len(keep)), schema)
 
 
 def identify_held_out(

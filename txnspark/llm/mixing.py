@@ -97,15 +97,15 @@ def mix(
     seed: str = SEED,
     keep: list[str] | None = None,
 ) -> DataFrame:
-    """Columns ``keep`` (all by default) with size, source_size, target and taken, one row per input row.
+    """Columns ``keep`` (all by default) with size, source_size, target, copies and taken, one row per input row.
 
-    ``taken`` is a multiple of ``size``: the words that the mix takes, repeats counted.
+    ``copies`` says how often the mix takes the row, ``taken`` is copies * size: the words it takes.
     Sources are weighed in code point order, a null source last and as a source of its
-    own.  Null, empty and blank texts have size 0.  Rows with equal ids share a hash and
+    own.  Null, empty and blank texts have size 0 and are not taken.  Rows with equal ids share a hash and
     are taken alike; a null id counts as an empty one.  Columns of ``docs`` named like a
     result are replaced.
     """
-    names = ["size", "source_size", "target", "taken"]
+    names = ["size", "source_size", "target", "copies", "taken"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in names]
     key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit(""))).cast("binary"))
     rows = stored(
@@ -126,7 +126,8 @@ def mix(
         F.broadcast(targets) if n <= BROADCAST_SOURCES else targets, F.col("_from").eqNullSafe(F.col("_source")), "left"
     )
     times = F.col("_whole") + F.coalesce((F.col("_hash") <= F.col("_last")).cast("long"), F.lit(0))
-    return full.withColumn("taken", F.col("size") * times).select(*keep, *names)
+    full = full.withColumn("copies", F.when(F.col("size") > 0, times).otherwise(0))
+    return full.withColumn("taken", F.col("size") * F.col("copies")).select(*keep, *names)
 
 
 ORACLE = f"""

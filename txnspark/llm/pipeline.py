@@ -1,11 +1,108 @@
-"""Stages of the corpus pipeline."""
+"""Stages of the corpus pipeline.
 
-STAGES: list = []
+Every stage works on all rows its predecessor kept and returns the columns of
+``documents``; the last adds ``copy``, the number of a repetition.  Rows with a null id
+pass every stage by their own text.  An empty table gives empty tables.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from txnspark.scratch import materialize
+
+from . import langid
+from .decontaminate import find_benchmark
+from .minhash import near_duplicates
+from .mixing import mix
+from .secret_scan import redact, scan_secrets
+from .store import stored
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Probability that the best language must have.
+LEAST_SCORE = 0.5
+#: Ids of 8 bytes that may be broadcast to drop rows; more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose doc_id is among ``ids``."""
+    ids, n = materialize(ids.distinct(), "dropped")
+    if not n:
+        return docs
+    return docs.join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, "doc_id", "left_anti")
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Learns from all rows with a language; texts without a letter or without a clear language go.
+
+    The language found does not replace the one given, and a difference between them is no
+    reason to drop a text.
+    """
+    model = langid.fit(docs.select("text", "lang"), "text", "lang")
+    found = langid.identify(docs.select(*COLUMNS), model)
+    return found.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*COLUMNS)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group linked by 80 % of shingles of five words, the row with the least id stays.
+
+    Of repeated rows with that id one stays: the least by all columns.
+    """
+    groups = stored(near_duplicates(docs, width=5).select("doc_id", "kept"), "groups")
+    left = _without(docs.select(*COLUMNS), groups.filter("NOT kept").select("doc_id"))
+    known = groups.filter("kept AND doc_id IS NOT NULL")
+    repeated = known.groupBy("doc_id").count().filter("count > 1")
+    if repeated.isEmpty():
+        return left
+    again = left.join(repeated.select("doc_id"), "doc_id", "left_semi").select(F.struct(*COLUMNS).alias("row"))
+    one = again.groupBy("row.doc_id").agg(F.min("row").alias("row")).select("row.*")
+    return _without(left, repeated.select("doc_id")).select(*COLUMNS).union(one.select(*COLUMNS))
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark go; a row without an id goes by its text."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    named, nameless = docs.filter("doc_id IS NOT NULL"), docs.filter("doc_id IS NULL")
+    left = _without(named.select(*COLUMNS), find_benchmark(named, benchmark).select("doc_id"))
+    if nameless.isEmpty():
+        return left.select(*COLUMNS)
+    hashed = nameless.select(F.xxhash64("text").alias("doc_id"), "text", "lang", "source", "n_chars")
+    clean = _without(hashed, find_benchmark(hashed, benchmark).select("doc_id"))
+    clean = clean.withColumn("doc_id", F.lit(None).cast(docs.schema["doc_id"].dataType))
+    return left.select(*COLUMNS).union(clean.select(*COLUMNS))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every secret found is replaced in its text; n_chars follows the text where it changed."""
+    found = scan_secrets(docs.select(*COLUMNS))
+    found = found.withColumn("text", redact(F.col("text"), F.col("secrets")))
+    size: Column = F.when(F.size("secrets") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return found.withColumn("n_chars", size).select(*COLUMNS)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows repeated as the mix takes them, numbered from 1 in ``copy``; rows not taken go."""
+    taken = mix(docs.select(*COLUMNS)).filter("copies > 0")
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")
+    return taken.select(*COLUMNS, copies)
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_benchmark),
+    ("secrets", mask_secrets),
+    ("mixing", mix_sources),
+]
+#: The language model and the near-duplicates cannot be stated in SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), name)
     return docs

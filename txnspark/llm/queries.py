@@ -53,7 +53,7 @@ def op7_language_id(spark, sf):
 @query
 def op3_mixing(spark, sf):
     """Documents mixed to target weights of their sources."""
-    return mix(table(spark, sf, "documents"), keep=["doc_id"])
+    return mix(table(spark, sf, "documents"), keep=["doc_id"]).drop("copies")
 
 
 @query

@@ -204,8 +204,11 @@ def report(scanned: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     def told(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
+    def size(kind):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+
     base = [r.kind for r in rules if r.base]
-    counts = [F.size(F.filter("secrets", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in base]
+    counts = [size(k).alias(f"n_{k}") for k in base]
     own = F.filter("secrets", lambda s: s["kind"].isin(base))
     return scanned.select(
         "doc_id", *counts, F.sha2(told(own).cast("binary"), 256).alias("base_sha256"), told(F.col("secrets")).alias("spans")

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from pathlib import Path
 from typing import NamedTuple
 
 import numpy as np
@@ -30,7 +31,8 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Hand texts to Python a few hundred at a time."""
+    """Hand texts to Python a few hundred at a time, to workers that find this package where the driver does."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 

@@ -6,8 +6,10 @@ capped, and obfuscated spellings share most of their n-grams.  Each class has it
 counts of the highest order; what they discount goes to continuation counts shared by
 both classes, so an expression too rare to be known in either class says nothing.
 
-A text's evidence is the difference of its two log-likelihoods per symbol.  A logistic
-curve, fitted on labelled rows that the counts have not seen, turns it into a score.
+A text's evidence is the difference of its two log-likelihoods per symbol, where what a
+symbol says beyond ``CLEAR`` counts ``WEIGHT`` times more: a few clear words in a long
+text are evidence, many faint differences are not.  A logistic curve, fitted on labelled
+rows that the counts have not seen, turns it into a score.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from .text import small_batches
 
 ORDER, BITS = 4, 5
 CELLS = 1 << (ORDER * BITS)
+CLEAR, WEIGHT = 2.0, 4.0
 #: Labels (16 bytes each) that may be broadcast; more are joined by a shuffle.
 BROADCAST_LABELS = 2_000_000
 #: The curve is fitted on a histogram of the evidence with so many bins.
@@ -77,7 +80,7 @@ def _level(counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
 
 
 def log_ratios(counts: np.ndarray) -> np.ndarray:
-    """log P(symbol | context, class 1) - log P(symbol | context, class 0), by cell."""
+    """log P(symbol | context, class 1) - log P(symbol | context, class 0), by cell, stretched beyond CLEAR."""
     lower = np.full((1, 1 << BITS), 1 / (1 << BITS))
     # Continuation counts: before how many symbols an n-gram of a lower order stands.
     kinds = [counts.sum(axis=0)]
@@ -86,7 +89,8 @@ def log_ratios(counts: np.ndarray) -> np.ndarray:
     for shared in reversed(kinds[1:]):
         lower = _level(shared, lower)
     one, zero = (np.log(_level(counts[c], lower)) for c in (1, 0))
-    return (one - zero).ravel().astype(np.float32)
+    ratio = (one - zero).ravel()
+    return (ratio + WEIGHT * np.maximum(ratio - CLEAR, 0)).astype(np.float32)
 
 
 def labelled(docs: DataFrame, labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
