@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 from datetime import datetime, timezone
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -235,6 +237,25 @@ def test_overwrite_from_itself_and_with_new_columns(spark, lake):
     assert spark.table(name).columns[-1] == "more" and spark.table(name).count() == 4
     assert overwrite_table(spark.table(name).select("more", "id_30"), name) == 4
     assert spark.table(name).columns == ["more", "id_30"]
+    kind = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Type'").first()["data_type"]
+    assert kind == "MANAGED"
+
+
+def test_overwrites_leave_no_old_files(spark, lake):
+    ensure_tables(spark, lake, ["bronze"])
+    name = lake.table("bronze", "transaction_identities")
+    df = spark.range(10).selectExpr("id as transaction_id", *[f"'x' as {c}" for c in IDENTITIES.names[1:]])
+    df.repartition(3).write.mode("append").saveAsTable(name)
+    for _ in range(3):
+        overwrite_table(df, name)
+    location = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()["data_type"]
+    root = Path(location.removeprefix("file:")).parent
+    assert len([p for p in root.iterdir() if p.is_dir()]) == 2  # this one and the last
+    assert not Path(str(root).removesuffix("_snapshots")).exists()
+    others = {p.name for p in root.parent.iterdir()}
+    assert {"transactions", "train_features"} <= others  # other tables keep their folders
+    overwrite_table(spark.table(name).select("id_30"), name)
+    assert {"transactions", "train_features"} <= {p.name for p in root.parent.iterdir()}
 
 
 def test_upsert_table(spark, lake, rows):
@@ -339,14 +360,15 @@ def test_names(monkeypatch):
         monkeypatch.delenv(f"FRAUD_{name}", raising=False)
     lake = Lake()
     assert lake.table("bronze", "transactions") == "fraud_dev.bronze.transactions"
-    assert lake.raw_dir == "/Volumes/fraud_dev/bronze/data/raw"
+    with pytest.raises(ValueError, match="FRAUD_VOLUME"):
+        lake.raw_files()
     monkeypatch.setenv("FRAUD_SCHEMA", "legacy")
     assert Lake().bronze == "legacy"
     monkeypatch.setenv("FRAUD_BRONZE_SCHEMA", "new")
     monkeypatch.setenv("FRAUD_CATALOG", "prod")
     assert Lake().table("bronze", "x") == "prod.new.x" and Lake(catalog="c").schema("gold") == "c.gold"
     assert Lake().raw_files("/data/")["transaction"] == "/data/train_transaction.csv"
-    assert Lake().raw_files()["identity"].endswith("/raw/train_identity.csv")
+    assert Lake(volume="/landing/").raw_files()["identity"] == "/landing/raw/train_identity.csv"
     with pytest.raises(ValueError):
         Lake().schema("iron")
 

@@ -4,12 +4,21 @@ from __future__ import annotations
 
 import itertools
 import random
+from datetime import date
+from decimal import Decimal
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from txnspark.operators.ordered import cut_by_rank, first_rows, keys_at_ranks, quantiles, running_totals
+from txnspark.operators.ordered import (
+    at_or_before,
+    cut_by_rank,
+    first_rows,
+    keys_at_ranks,
+    quantiles,
+    running_totals,
+)
 from txnspark.operators.split import split_report, time_split
 
 
@@ -128,7 +137,7 @@ def test_split_errors(spark):
         time_split(df, time_col="when")
     with pytest.raises(ValueError, match="sum to 1"):
         time_split(df, ratios=(0.5, 0.2, 0.2))
-    with pytest.raises(ValueError, match="3 split ratios"):
+    with pytest.raises(ValueError, match="3 positive"):
         time_split(df, ratios=(0.5, 0.5))
     with pytest.raises(ValueError, match="positive"):
         time_split(df, ratios=(1.2, -0.1, -0.1))
@@ -142,3 +151,28 @@ def test_report(spark):
     out = time_split(split_frame(spark, [(i, i) for i in range(20)]))
     got = {r["split"]: tuple(r)[1:] for r in split_report(out.labelled).collect()}
     assert got == {"train": (14, 7, 0.5, 0, 13), "val": (3, 1, 1 / 3, 14, 16), "test": (3, 2, 2 / 3, 17, 19)}
+
+
+@pytest.mark.parametrize(
+    "kind, values",
+    [
+        ("double", [float("nan")] * 5 + [float("inf"), float("-inf")] * 6 + [1e308, -1e308, 0.0, -0.0, 5e-324] * 8 + [None] * 7),
+        ("double", [10.0**k for k in range(-300, 300, 5)] + [-(10.0**k) for k in range(-300, 300, 7)]),
+        ("long", [10**18] * 90 + [10**18 + 1] * 30 + [-(2**63), 2**63 - 1, 0, -1, 1]),
+        ("decimal(12,3)", [Decimal(k) / 8 for k in range(-60, 60)] + [Decimal("0.125")] * 40),
+        ("date", [date(1600 + 3 * (k % 90), 1, 1) for k in range(150)]),
+        ("string", [f"{k % 37:03d}" for k in range(150)]),
+    ],
+)
+def test_ranks_beyond_one_task(spark, kind, values):
+    """The search ends and agrees with a sort, whatever the values."""
+    df = spark.createDataFrame([(v, k) for k, v in enumerate(values)], f"v {kind}, id long")
+    df = df.repartition(5)
+    placed = df.orderBy(F.col("v").asc_nulls_last(), "id").collect()
+    ranks = [1, 13, len(values) // 2, len(values) - 1, len(values)]
+    cuts = keys_at_ranks(df, ["v", "id"], ranks, one_task_rows=10)
+    for rank, cut in zip(ranks, cuts):
+        row = placed[rank - 1]
+        assert cut.key[1] == row.id
+        assert cut.key[0] == row.v or (row.v != row.v and cut.key[0] != cut.key[0])
+        assert df.filter(at_or_before(["v", "id"], cut)).count() == rank

@@ -13,7 +13,7 @@ from txnspark.operators.rolling import (
     BEHAVIORAL_SPECS,
     RollingSpec,
     behavioral_features,
-    entity_sizes,
+    hot_entities,
     point_features,
     prior_rows,
     rolling_features,
@@ -24,7 +24,7 @@ T = datetime(2017, 12, 1, 12, tzinfo=timezone.utc)
 A, B = "a" * 32, "b" * 32
 NAMES = [s.name for s in BEHAVIORAL_SPECS]
 SCHEMA = "transaction_id long, is_fraud int, derived_user_id string, transaction_at timestamp, transaction_amt double"
-STRATEGIES = ["frames", "sweep", "chunked"]
+STRATEGIES = ["auto", "sweep", "chunked"]
 
 
 def frame(spark, data):
@@ -126,7 +126,6 @@ def random_history(n=1200, seed=3):
 @pytest.mark.parametrize(
     "options",
     [
-        {"strategy": "frames"},
         {"strategy": "sweep"},
         {"strategy": "chunked"},
         {"strategy": "chunked", "one_task_rows": 100},
@@ -140,13 +139,11 @@ def test_random_history_equals_definition(spark, options):
     assert [k for k in want if not same(got[k], want[k])] == []
 
 
-def test_hot_entity_is_split_off(spark, monkeypatch):
-    from txnspark.operators import rolling
-
-    monkeypatch.setattr(rolling, "FRAME_ROWS", 50)
+def test_hot_entity_is_split_off(spark):
     data = random_history()
     df = frame(spark, data)
-    assert entity_sizes(df, "derived_user_id", hot_rows=300).hot == ("hot",)
+    hot, rows = hot_entities(df, "derived_user_id", 300)
+    assert [r[0] for r in hot.collect()] == ["hot"] and rows == sum(u == "hot" for _, u, _, _ in data)
     got = by_id(rolling_features(df, hot_rows=300, one_task_rows=200))
     want = brute(data)
     assert [k for k in want if not same(got[k], want[k])] == []
@@ -160,12 +157,9 @@ def test_copies_of_a_row_do_not_see_each_other(spark, strategy):
 
 
 @pytest.mark.parametrize("strategy", ["sweep", "chunked"])
-def test_amounts_that_are_not_whole_millionths(spark, strategy):
-    """Such amounts are added as decimals; whole millionths as longs."""
-    data = [(i, u, at, None if v is None else v / 7) for i, u, at, v in random_history(400)]
+def test_amounts_with_many_digits(spark, strategy):
+    data = [(i, u, at, None if v is None else round(v / 7, 8)) for i, u, at, v in random_history(400)]
     df = frame(spark, data)
-    assert not entity_sizes(df, "derived_user_id", "transaction_amt").whole_micros
-    assert entity_sizes(frame(spark, random_history(400)), "derived_user_id", "transaction_amt").whole_micros
     got, want = by_id(rolling_features(df, strategy=strategy)), brute(data)
     assert [k for k in want if not same(got[k], want[k])] == []
 
@@ -275,6 +269,37 @@ def test_empty_inputs(spark, history):
 def test_one_exchange_per_sweep(history):
     plan = rolling_features(history, strategy="sweep")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
-    plan = rolling_features(history, strategy="frames")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("Scan") == 1
     assert "Python" not in plan
+
+
+ODD = [float("inf"), float("-inf"), float("nan"), 3e20, 1e-19, None, *[0.1] * 12, 5.0]
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+@pytest.mark.parametrize("hot_rows", [1_000_000, 5])
+def test_odd_amounts_and_null_ids_have_one_answer(spark, strategy, hot_rows):
+    """Amounts that are not finite or too large are NULL; rows without an id are seen from later times only."""
+    data = [(None if k % 4 == 3 else k, A, T + timedelta(seconds=k // 3), v) for k, v in enumerate(ODD)]
+    data += [(None, A, T, 7.0), (None, None, T, 1.0), (90, A, None, 1.0), (91, B, T, 0.1)]
+    df = frame(spark, data).withColumn("row", F.monotonically_increasing_id())
+    features = rolling_features(df, strategy=strategy, hot_rows=hot_rows, one_task_rows=20).collect()
+    assert len(features) == len(data)
+    for r in features:
+        if r.derived_user_id is None or r.transaction_at is None:
+            assert tuple(r[n] for n in NAMES) == (0, 0.0, None, None)
+            continue
+        one = point_features(
+            df, entity=r.derived_user_id, at=r.transaction_at.replace(tzinfo=timezone.utc), amount=r.transaction_amt,
+            transaction_id=r.transaction_id,
+        ).first()
+        assert tuple(r[n] for n in NAMES) == tuple(one[n] for n in NAMES)
+        amounts = [
+            v if v is not None and abs(v) < 1e18 else None
+            for i, u, at, v in data
+            if u == r.derived_user_id and at is not None
+            and (at < r.transaction_at.replace(tzinfo=timezone.utc)
+                 or (at == r.transaction_at.replace(tzinfo=timezone.utc) and i is not None and r.transaction_id is not None and i < r.transaction_id))
+        ]
+        assert r.velocity_1h == len(amounts)
+        assert r.cumulative_spend_24h == pytest.approx(sum(v for v in amounts if v is not None), abs=1e-8)

@@ -37,19 +37,17 @@ def number_or_null(df: DataFrame, name: str, kind: str = "double") -> Column:
 
 def to_number(df: DataFrame, name: str, kind: str = "double") -> Column:
     """Coerce to a number: unparsable text and NaN become NULL."""
-    column = F.col(name)
+    column, nothing = F.col(name), F.lit(None).cast("double")
     source = df.schema[name].dataType
-    if isinstance(source, (T.DoubleType, T.FloatType)):
-        column = F.when(~F.isnan(column), column)
-    elif isinstance(source, T.BooleanType):
+    if isinstance(source, T.BooleanType):
         column = column.cast("int")
-    if isinstance(source, T.StringType) and kind in ("int", "long", "bigint"):
-        column = column.try_cast("double")
-        column = F.when(~F.isnan(column), column)
-    out = column.try_cast(kind)
+    if isinstance(source, (T.DoubleType, T.FloatType)):
+        return F.nanvl(column, nothing).try_cast(kind)
     if kind in ("double", "float"):
-        return F.when(~F.isnan(out), out)
-    return out
+        return F.nanvl(column.try_cast("double"), nothing).cast(kind) if isinstance(source, T.StringType) else column.try_cast(kind)
+    if isinstance(source, T.StringType):
+        column = F.nanvl(column.try_cast("double"), nothing)
+    return column.try_cast(kind)
 
 
 def entity_id(

@@ -61,7 +61,7 @@ def ks_two_sample(
     return one.select(
         F.lit(column).alias("column"),
         "statistic",
-        _kolmogorov_tail(scale * F.col("statistic")).alias("p_value"),
+        F.when(F.col("statistic").isNotNull(), _kolmogorov_tail(scale * F.col("statistic"))).alias("p_value"),
         "n_left",
         "n_right",
     )

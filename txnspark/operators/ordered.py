@@ -24,6 +24,8 @@ ONE_TASK_ROWS = 1_000_000
 # A top-n gathers whole rows, so it is used for fewer of them.
 TOP_ROWS = 100_000
 _BUCKETS = 4096
+# Rows of a chunk of a range-partitioned frame.
+CHUNK_ROWS = 2_000_000
 
 
 def running_totals(
@@ -67,7 +69,11 @@ def running_totals(
 
     columns = [F.col(c).desc() if c in descending else F.col(c).asc() for c in order]
     chunked, _ = materialize(
-        stored.repartitionByRange(*[F.col(c) for c in group], *columns).withColumn(
+        stored.repartitionByRange(
+            max(-(-rows // CHUNK_ROWS), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))),
+            *[F.col(c) for c in group],
+            *columns,
+        ).withColumn(
             "_chunk", F.spark_partition_id()
         ),
         "chunks",
@@ -155,14 +161,23 @@ class Cut:
 
 
 def _as_number(df: DataFrame, name: str) -> Column | None:
-    """Order-preserving numeric form of a column, or None for other types."""
-    kind = df.schema[name].dataType
+    """Order-preserving long of a column, or None for types without one.
+
+    Floating numbers go by their bit pattern, with NaN last as in a sort.
+    """
+    kind, column = df.schema[name].dataType, F.col(f"`{name}`")
     if isinstance(kind, T.TimestampType):
-        return F.unix_micros(name)
+        return F.unix_micros(column)
     if isinstance(kind, T.DateType):
-        return F.unix_date(name)
-    if isinstance(kind, T.NumericType):
-        return F.col(name)
+        return F.unix_date(column).cast("long")
+    if isinstance(kind, T.IntegralType):
+        return column.cast("long")
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        plain = column.cast("double") + F.lit(0.0)  # -0.0 equals 0.0
+        bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), plain).cast("long")
+        return F.when(bits >= 0, bits).otherwise(bits.bitwiseXOR(F.lit((1 << 63) - 1)))
+    if isinstance(kind, T.DecimalType) and kind.precision <= 18:
+        return (column * F.lit(10**kind.scale).cast("decimal(19,0)")).cast("long")
     return None
 
 
@@ -176,15 +191,18 @@ def keys_at_ranks(
 ) -> list[Cut]:
     """Keys of the ``ranks``-th rows (from 1) of ``df`` ordered by ``keys``, NULLs last.
 
-    No sort of the table: each pass counts rows in at most 4096 buckets of the
-    first key and keeps the bucket that holds the rank, until the bucket is small
-    enough to sort or has a single value, in which case the next key decides.
-    Only bucket counts and the final keys reach the driver.
+    No sort of the table: each pass counts rows in some 4096 buckets of the first
+    key and keeps the bucket that holds the rank, until the bucket is small enough
+    to sort or has a single value, in which case the next key decides.  Buckets are
+    ranges of longs, so every pass narrows, whatever the values.  The keys are stored
+    once for all passes and ranks; only bucket counts and final keys reach the driver.
     """
     part = df.select(*keys)
     size = df.count() if size is None else size
     if size <= one_task_rows:
         return _sorted_ranks(part, list(keys), ranks)
+    numbers = {f"_rank_{k}": n for k in keys if (n := _as_number(part, k)) is not None}
+    part, _ = materialize(part.withColumns(numbers), "keys")
     return [_search(part, list(keys), rank, size, one_task_rows) for rank in ranks]
 
 
@@ -223,17 +241,16 @@ def _search(part: DataFrame, keys: list[str], rank: int, size: int, one_task_row
 
 def _narrow(part: DataFrame, name: str, rank: int, size: int, one_task_rows: int) -> tuple[DataFrame, int, int]:
     """The rows around a rank of one column: few rows or a single value, the rank and count in them."""
-    number = _as_number(part, name)
-    if number is None:
+    number = F.col(f"`_rank_{name}`")
+    if f"_rank_{name}" not in part.columns:
         counted = part.groupBy(name).agg(F.count(F.lit(1)).alias("_n"))
         totals = running_totals(counted, order=[name], sums={"_upto": "_n"}, one_task_rows=one_task_rows)
         hit = totals.filter((F.col("_upto") >= rank) & (F.col("_upto") - F.col("_n") < rank)).first()
         return part.filter(F.col(name) == F.lit(hit[name])), rank - (hit["_upto"] - hit["_n"]), hit["_n"]
     lo, hi = part.agg(F.min(number), F.max(number)).first()
     while lo != hi and size > one_task_rows:
-        step = (float(hi) - float(lo)) / _BUCKETS
-        bucket = F.least(F.floor((number - F.lit(lo)).cast("double") / F.lit(step)), F.lit(_BUCKETS - 1))
-        counts = part.groupBy(bucket.alias("b")).agg(
+        step = (hi - lo) // _BUCKETS + 1
+        counts = part.groupBy(_divided(number, step).alias("b")).agg(
             F.count(F.lit(1)).alias("n"), F.min(number).alias("lo"), F.max(number).alias("hi")
         )
         for row in sorted(counts.collect(), key=lambda r: r["b"]):
@@ -245,6 +262,11 @@ def _narrow(part: DataFrame, name: str, rank: int, size: int, one_task_rows: int
     return part, rank, size
 
 
+def _divided(number: Column, step: int) -> Column:
+    """Whole quotient, rounded towards zero."""
+    return F.call_function("div", number, F.lit(step).cast("long"))
+
+
 def at_or_before(keys: Sequence[str], cut: Cut) -> Column:
     """Whether a row's key is not after the cut, NULLs last."""
     result: Column = F.lit(True)
@@ -253,7 +275,7 @@ def at_or_before(keys: Sequence[str], cut: Cut) -> Column:
         if value is None:
             before, same = column.isNotNull(), column.isNull()
         else:
-            before, same = column < F.lit(value), column == F.lit(value)
+            before, same = column < F.lit(value), column == F.lit(value)  # NaN is last and equals itself
         result = F.coalesce(before, F.lit(False)) | (F.coalesce(same, F.lit(False)) & result)
     return result
 

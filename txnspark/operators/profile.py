@@ -11,12 +11,11 @@ from pyspark.sql import types as T
 from txnspark.functions.columns import event_day, is_missing
 from txnspark.functions.groups import column_groups, group_of
 from txnspark.operators.ordered import first_rows, quantiles
-from txnspark.scratch import materialize
+from txnspark.scratch import broadcast_if_small, materialize
 
 # Expressions per aggregation, to stay within generated-code limits on wide tables.
 _BATCH = 100
-# A counted table of at most this many narrow rows may be broadcast.
-BROADCAST_ROWS = 1_000_000
+_PAIRS = 40
 _FLOATS = (T.FloatType, T.DoubleType)
 
 
@@ -51,10 +50,12 @@ def _value(df: DataFrame, name: str) -> str:
 def _per_column(df: DataFrame, names: Sequence[str], measures: Callable[[str], str]) -> DataFrame:
     """One row per column from one aggregation per batch of columns.
 
-    ``measures(name)`` is the SQL list of a column's aggregates.  Each batch reads
-    only its own columns, so every column is read once.
+    ``measures(name)`` is the SQL list of a column's aggregates.  Several batches read
+    the columns from a stored copy, so that a join below ``df`` runs once.
     """
     out = None
+    if len(names) > _BATCH:
+        df, _ = materialize(df.select(*[F.col(_quoted(n)) for n in dict.fromkeys(names)]), "wide")
     for batch in _batches(names):
         rows = ", ".join(f"struct({_text(n)} AS column, {measures(n)})" for n in batch)
         part = df.agg(F.expr(f"array({rows})").alias("_rows")).select(F.inline("_rows"))
@@ -121,12 +122,13 @@ def missing_blocks(df: DataFrame, blocks: Sequence[str] = ("C", "D", "M", "V"))
 
 def missing_before_after(before: DataFrame, after: DataFrame, side: Sequence[str] = ()) -> DataFrame:
     """Mean missing percent over all columns before and after a join, and of the joined-in columns."""
-    stages = [("before join", before, None), ("after join", after, None)]
+    after_rates, _ = materialize(missing_rates(after), "rates")  # the join runs once for both uses
+    stages = [("before join", missing_rates(before)), ("after join", after_rates)]
     if side:
-        stages.append(("joined columns", after, list(side)))
+        stages.append(("joined columns", after_rates.filter(F.col("column").isin(*side))))
     out = None
-    for name, frame, columns in stages:
-        row = missing_rates(frame, columns).agg(F.avg("pct_missing").alias("avg_pct_missing"))
+    for name, rates in stages:
+        row = rates.agg(F.avg("pct_missing").alias("avg_pct_missing"))
         row = row.select(F.lit(name).alias("stage"), "avg_pct_missing")
         out = row if out is None else out.unionByName(row)
     return out
@@ -167,7 +169,7 @@ def coverage_rate(df: DataFrame, side_column: str, label: str) -> DataFrame:
     """Rows, share and label rate with and without a value in an optional column."""
     has = (~is_missing(df, side_column)).alias("present")
     counts = df.groupBy(has).agg(F.count(F.lit(1)).alias("rows"), F.avg(label).alias("rate"))
-    share = F.col("rows") * 100.0 / df.agg(F.count(F.lit(1))).scalar()
+    share = F.col("rows") * 100.0 / F.sum("rows").over(Window.partitionBy())  # at most two rows
     return counts.select("present", "rows", share.alias("pct_rows"), "rate")
 
 
@@ -281,7 +283,8 @@ def value_counts(df: DataFrame, column: str, *, top_n: int | None = 10, drop_mis
     """Rows and share per value, most frequent first; ties by value, missing values counted."""
     rows = df.filter(~is_missing(df, column)) if drop_missing else df
     counts = rows.groupBy(_clean(df, column).alias("value")).agg(F.count(F.lit(1)).alias("count"))
-    share = F.col("count") / rows.agg(F.count(F.lit(1))).scalar()
+    counts, _ = materialize(counts, "counts")
+    share = F.col("count") / counts.agg(F.sum("count")).scalar()
     ranked = counts.select("value", "count", share.alias("share")).orderBy(F.desc("count"), F.asc_nulls_last("value"))
     return ranked if top_n is None else ranked.limit(top_n)
 
@@ -292,26 +295,27 @@ def value_counts(df: DataFrame, column: str, *, top_n: int | None = 10, drop_mis
 def _correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Pearson correlation (i, j, r) of column pairs, each on its complete rows.
 
-    Every row is spread into its pairs of numbers and these are aggregated by pair
-    before the shuffle, so the plan stays small for any number of columns.  A
-    constant side gives NULL.
+    One flat aggregate per batch of pairs, read from the columns stored once.  A
+    constant side gives NULL, and rounding never takes r out of [-1, 1].
     """
-
-    def number(name: str) -> str:
-        return f"CAST({_value(df, name)} AS DOUBLE)"
-
-    structs = [
-        f"struct({_text(a)} AS i, {_text(b)} AS j, {number(a)} AS x, {number(b)} AS y)" for a, b in pairs
-    ]
-    long = df.selectExpr(f"inline(array({', '.join(structs)}))").filter("x IS NOT NULL AND y IS NOT NULL")
-    # Merged deviations of a constant can come out as a tiny number, hence the range test.
-    varies = "min(x) < max(x) AND min(y) < max(y)"
-    r = f"CASE WHEN {varies} THEN try_divide(covar_pop(x, y), stddev_pop(x) * stddev_pop(y)) END"
-    found = long.groupBy("i", "j").agg(F.expr(r).alias("r"))
-    # Pairs without a single complete row still get their line.
-    schema = T.StructType([T.StructField("i", T.StringType()), T.StructField("j", T.StringType())])
-    wanted = df.sparkSession.createDataFrame(list(pairs), schema)
-    return wanted.join(found, ["i", "j"], "left")
+    names = list(dict.fromkeys(c for pair in pairs for c in pair))
+    place = {c: f"_{k}" for k, c in enumerate(names)}
+    numbers = df.selectExpr(*[f"CAST({_value(df, c)} AS DOUBLE) AS {place[c]}" for c in names])
+    if len(pairs) > _PAIRS:
+        numbers, _ = materialize(numbers, "numbers")
+    out = None
+    for first in range(0, len(pairs), _PAIRS):
+        rows = []
+        for a, b in pairs[first : first + _PAIRS]:
+            x, y = place[a], place[b]
+            # Merged deviations of a constant can come out as a tiny number, hence the range test.
+            both = f"{x} IS NOT NULL AND {y} IS NOT NULL"
+            varies = " AND ".join(f"min({v}) FILTER (WHERE {both}) < max({v}) FILTER (WHERE {both})" for v in (x, y))
+            r = f"CASE WHEN {varies} THEN greatest(-1D, least(1D, corr({x}, {y}))) END"
+            rows.append(f"struct({_text(a)} AS i, {_text(b)} AS j, {r} AS r)")
+        part = numbers.agg(F.expr(f"array({', '.join(rows)})").alias("_rows")).select(F.inline("_rows"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def corr_with_label(
@@ -381,9 +385,7 @@ def boxplot_stats(df: DataFrame, column: str, by: str, *, accuracy: int | None =
     values = df.select(F.col(by), _clean(df, column).cast("double").alias("_v"))
     values = values.filter(F.col("_v").isNotNull() & F.col(by).isNotNull())
     quarts = quantiles(values, "_v", [0.25, 0.5, 0.75], group=[by], accuracy=accuracy).toDF(by, "q1", "q2", "q3")
-    quarts, classes = materialize(quarts, "quartiles")
-    if classes <= BROADCAST_ROWS:
-        quarts = F.broadcast(quarts)
+    quarts = broadcast_if_small(materialize(quarts, "quartiles")[0])
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = F.col("_v").between(F.col("q1") - reach, F.col("q3") + reach)
     return (
@@ -444,18 +446,15 @@ def frame_shape(df: DataFrame) -> DataFrame:
     )
 
 
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    """A few rows, for display."""
-    return df.limit(n)
-
-
 def hash_sample(df: DataFrame, n: int, key: str, *, seed: int = 42) -> DataFrame:
     """``min(n, rows)`` rows by a hash of the key and the seed.
 
     The same rows whatever the partitioning.
     """
-    place = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
-    return first_rows(df.withColumn("_place", place), n, ["_place", key]).drop("_place")
+    code = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
+    # A number first: ranks of numbers are found without a shuffle.
+    place = {"_place": F.conv(F.substring(code, 1, 15), 16, 10).cast("long"), "_code": code}
+    return first_rows(df.withColumns(place), n, ["_place", "_code", key]).drop(*place)
 
 
 # --------------------------------------------------------------- type advice

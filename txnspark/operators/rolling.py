@@ -5,7 +5,12 @@ For a row (or request) at time ``t`` with number ``id`` and a window of width
 
     t - w <= at < t,   or   at = t and their id is smaller.
 
-A request without an id sees only ``at < t``.  The row itself never counts.
+A row or request without an id sees only ``at < t``, and is seen only from later times.
+The row itself never counts.
+
+Amounts are added as decimals with nine places, so that a row that entered and left a
+window leaves no residue and the order of rows does not matter.  An amount that is not
+finite, or not below 1e18, is no amount: it counts as NULL, also as the own amount.
 """
 
 from __future__ import annotations
@@ -14,25 +19,22 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txnspark.operators.ordered import ONE_TASK_ROWS, first_rows, running_totals
+from txnspark.scratch import broadcast_if_small, materialize
 
 MICROS = 1_000_000
-# A window frame re-reads its rows for every row, so frames are for short histories: by
-# measurement they beat the sweep while a row's entity has some 200 rows, and no single
-# entity may be so long that its task lags behind.
-FRAME_ROWS = 200
-FRAME_LONGEST = 2_000
-# An entity above this size, and above its share of MAX_HOT, is spread over chunks.
+# An entity above this size is spread over chunks.
 HOT_ROWS = 1_000_000
-MAX_HOT = 100_000
-_INLINE_KEYS = 100
 # Request batches up to this size carry their entity list to the history scan.
 PRUNE_REQUESTS = 250_000
-_EXACT = "DECIMAL(38, 18)"
+# Slots over which rows without a history are spread.
+_SLOTS = 1 << 20
+# Amounts: the exact type they are added in, and the bound they stay below.
+_EXACT, _BOUND = "DECIMAL(38, 9)", 1e18
 
 
 @dataclass(frozen=True)
@@ -96,99 +98,20 @@ def _finish(spec: RollingSpec, count: Column, total: Column, own: Column) -> Col
     return F.try_divide(own.cast("double"), F.nullif(average, F.lit(0.0))).alias(spec.name)
 
 
-def _without_history(spec: RollingSpec) -> Column:
-    """Feature value of a row that has no entity or no time."""
-    value = {"count": F.lit(0).cast("int"), "sum": F.lit(0.0)}.get(spec.agg, F.lit(None).cast("double"))
-    return value.alias(spec.name)
-
-
-# --------------------------------------------------------------------- sizes
-
-
-@dataclass(frozen=True)
-class EntitySizes:
-    """What the sweep needs to know about a table before it is planned."""
-
-    largest: int
-    typical: float = 0.0
-    hot: tuple = ()
-    hot_rows: int = 0
-    whole_micros: bool = False
-
-    @property
-    def suits_frames(self) -> bool:
-        return self.typical <= FRAME_ROWS and self.largest <= FRAME_LONGEST
-
-
-def entity_sizes(
-    df: DataFrame, entity: str, amount: str | None = None, *, hot_rows: int = HOT_ROWS
-) -> EntitySizes:
-    """Largest entity, the entities too large for one task, and how amounts can be added.
-
-    ``typical`` is the size of the entity that a row belongs to, averaged over rows.
-    An entity is hot above ``hot_rows`` and above 1/100,000 of the table, so at most
-    100,000 keys ever reach the driver.  ``whole_micros`` tells that every amount is a
-    whole number of millionths and that no entity's absolute sum leaves the range of
-    a long.
-    """
-    value = "CAST(NULL AS DOUBLE)" if amount is None else f"nanvl(CAST(`{amount}` AS DOUBLE), NULL)"
-    whole = f"coalesce(rint({value} * 1e6D) / 1e6D = {value} AND abs({value}) < 1e9D, true)"
-    counts = (
-        df.filter(F.col(entity).isNotNull())
-        .groupBy(entity)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.expr(f"sum(abs({value}))").alias("size"),
-            F.expr(f"bool_and({whole})").alias("whole"),
-        )
-    )
-    squares = F.sum(F.col("n").cast("double") * F.col("n"))
-    row = counts.agg(F.max("n"), F.sum("n"), F.max("size"), F.bool_and("whole"), squares).first()
-    largest, total, size, whole = row[0] or 0, row[1] or 0, row[2] or 0.0, bool(row[3])
-    typical = (row[4] or 0.0) / max(total, 1)
-    whole = whole and size * 1e6 < 4e18
-    limit = max(hot_rows, total // MAX_HOT)
-    if largest <= limit:
-        return EntitySizes(largest, typical, whole_micros=whole)
-    hot = counts.filter(F.col("n") > limit).select(entity, "n").collect()
-    return EntitySizes(largest, typical, tuple(r[entity] for r in hot), sum(r["n"] for r in hot), whole)
-
-
-def _split_hot(df: DataFrame, entity: str, hot: tuple) -> tuple[DataFrame, DataFrame]:
-    """Rows of ordinary and of hot entities; the key list is at most MAX_HOT rows."""
-    if len(hot) <= _INLINE_KEYS:
-        is_hot = F.col(entity).isin(*hot)
-        return df.filter(~is_hot), df.filter(is_hot)
-    schema = T.StructType([T.StructField(entity, df.schema[entity].dataType)])
-    keys = F.broadcast(df.sparkSession.createDataFrame([(k,) for k in hot], schema))
-    return df.join(keys, entity, "left_anti"), df.join(keys, entity, "left_semi")
+def usable_amount(amount: Column) -> Column:
+    """The amount as a double; NULL unless finite and within bounds."""
+    value = amount.cast("double")
+    return F.when(F.abs(value) < _BOUND, value)  # NaN compares as greater than any number
 
 
-# -------------------------------------------------------------------- frames
+# ---------------------------------------------------------------- hot entities
 
 
-def _by_frames(df: DataFrame, specs: Sequence[RollingSpec]) -> list[Column]:
-    """Features as window expressions: a time frame plus the rows tied in time.
-
-    Both window specs cluster on the entity, so one exchange serves all of them.
-    """
-    tied = (
-        Window.partitionBy("_entity", "_us")
-        .orderBy("_id")
-        .rangeBetween(Window.unboundedPreceding, -1)
-    )
-    out = []
-    for spec in specs:
-        before = Window.partitionBy("_entity").orderBy("_us").rangeBetween(-spec.micros, -1)
-        counted = F.lit(1) if spec.agg == "count" else F.col("_amt")
-        count = F.count(counted).over(before) + F.count(counted).over(tied)
-        sums = [F.sum("_amt").over(w) for w in (before, tied)]
-        total = F.when(
-            F.coalesce(*sums).isNotNull(),
-            F.coalesce(sums[0], F.lit(0.0)) + F.coalesce(sums[1], F.lit(0.0)),
-        )
-        out.append(_finish(spec, count, total, F.col("_amt")))
-    return out
+def hot_entities(df: DataFrame, entity: str, hot_rows: int) -> tuple[DataFrame | None, int]:
+    """Stored keys of the entities with more than ``hot_rows`` rows, and how many rows they have."""
+    counts = df.filter(F.col(entity).isNotNull()).groupBy(entity).agg(F.count(F.lit(1)).alias("_n"))
+    keys, n = materialize(counts.filter(F.col("_n") > hot_rows), "hot")
+    return (keys.select(entity), keys.agg(F.sum("_n")).first()[0]) if n else (None, 0)
 
 
 # --------------------------------------------------------------------- sweep
@@ -198,33 +121,11 @@ def _by_frames(df: DataFrame, specs: Sequence[RollingSpec]) -> list[Column]:
 # the state.  Within a microsecond rows leave first; then ids decide, and a probe
 # comes before the entry of the same id.
 #
-# Amounts are added exactly, so that a row that entered and left leaves no residue:
-# as longs counting millionths where all amounts allow it, else as decimals.
+# A row without an id enters after all others of its microsecond.
 
 _ENTER, _PROBE = -1, -2
 
 
-@dataclass(frozen=True)
-class _Adder:
-    """SQL of an exact amount, of nothing, and of the number a total stands for."""
-
-    kind: str
-    exact: str
-    number: str
-
-    @property
-    def zero(self) -> str:
-        return f"CAST(0 AS {self.kind})"
-
-
-_MILLIONTHS = _Adder("BIGINT", "CAST(rint({0} * 1e6D) AS BIGINT)", "CAST({0} AS DOUBLE) / 1e6D")
-_DECIMALS = _Adder("DECIMAL(38, 18)", "CAST({0} AS DECIMAL(38, 18))", "CAST({0} AS DOUBLE)")
-
-
-def _adder(sizes: EntitySizes) -> _Adder:
-    return _MILLIONTHS if sizes.whole_micros else _DECIMALS
-
-
 def _state_columns(specs: Sequence[RollingSpec]) -> tuple[list[int], dict[str, tuple[str, int]]]:
     """Window widths, and per running sum what it adds and for which width."""
     widths = sorted({s.micros for s in specs})
@@ -239,7 +140,7 @@ def _state_columns(specs: Sequence[RollingSpec]) -> tuple[list[int], dict[str, t
     return widths, needed
 
 
-def _moves(df: DataFrame, specs: Sequence[RollingSpec], adder: _Adder, first: str, carried: str) -> DataFrame:
+def _moves(df: DataFrame, specs: Sequence[RollingSpec], first: str, carried: str) -> DataFrame:
     """Explode rows into moves: ``first`` (SQL of an array of moves), then the leaves.
 
     Input columns ``_rows _known _sum`` say what a row adds.  Output columns
@@ -251,7 +152,7 @@ def _moves(df: DataFrame, specs: Sequence[RollingSpec], adder: _Adder, first: st
     spread = df.selectExpr("_entity", "_rows", "_known", "_sum", f"explode({moves}) AS _m")
     changes = []
     for name, (what, w) in needed.items():
-        zero = adder.zero if what == "_sum" else "0L"
+        zero = f"CAST(0 AS {_EXACT})" if what == "_sum" else "0L"
         changes.append(
             f"CASE _m._kind WHEN {_ENTER} THEN {what} WHEN {w} THEN -{what} ELSE {zero} END AS _d{name}"
         )
@@ -262,11 +163,12 @@ def _move(at: str, sub: int, kind: int, more: str = "") -> str:
     return f"struct({at} AS _at, _id AS _tie, {sub} AS _sub, {kind} AS _kind{more})"
 
 
-# Twice the microsecond, plus one for rows that enter: leaves come first.
-_HERE = "_us * 2 + 1"
+# Twice the microsecond, plus one for rows that enter: leaves come first.  The next even
+# number belongs to the leaves of the next microsecond, where no probe can be.
+_HERE, _IN = "_us * 2 + 1", "IF(_id IS NULL, _us * 2 + 2, _us * 2 + 1)"
 
 
-def _features_from_state(specs: Sequence[RollingSpec], adder: _Adder) -> list[Column]:
+def _features_from_state(specs: Sequence[RollingSpec]) -> list[Column]:
     widths, _ = _state_columns(specs)
     own, out = F.col("_row._own"), []
     for spec in specs:
@@ -274,71 +176,72 @@ def _features_from_state(specs: Sequence[RollingSpec], adder: _Adder) -> list[Co
         if spec.agg == "count":
             out.append(_finish(spec, F.col(f"_n{w}"), F.lit(None), own))
         else:
-            out.append(_finish(spec, F.col(f"_k{w}"), F.expr(adder.number.format(f"_s{w}")), own))
+            out.append(_finish(spec, F.col(f"_k{w}"), F.col(f"_s{w}"), own))
     return out
 
 
-def _amounts(df: DataFrame, adder: _Adder, *keep: str) -> DataFrame:
+def _amounts(df: DataFrame, *keep: str) -> DataFrame:
     """What each row adds to the state."""
+    zero = f"CAST(0 AS {_EXACT})"
     return df.selectExpr(
         *keep,
         "IF(_counts, 1L, 0L) AS _rows",
         "IF(_counts AND _amt IS NOT NULL, 1L, 0L) AS _known",
-        f"IF(_counts, coalesce({adder.exact.format('_amt')}, {adder.zero}), {adder.zero}) AS _sum",
+        f"IF(_counts, coalesce(CAST(_amt AS {_EXACT}), {zero}), {zero}) AS _sum",
     )
 
 
-def _by_sweep(df: DataFrame, specs: Sequence[RollingSpec], sizes: EntitySizes) -> DataFrame:
+def _by_sweep(df: DataFrame, specs: Sequence[RollingSpec]) -> DataFrame:
     """Sweep with one window per entity: linear in its rows, one exchange of compact rows.
 
     A row's probe and its entry are separate moves, so that copies of a row do not
     see each other.
     """
-    adder = _adder(sizes)
     _, needed = _state_columns(specs)
-    rows = _amounts(df.repartition("_entity"), adder, "_entity", "_us", "_id", "_probes", "_row")
+    rows = _amounts(df.repartition("_entity"), "_entity", "_us", "_id", "_probes", "_row")
     nothing = ", CASE WHEN false THEN _row END AS _row"
-    probe, enter = _move(_HERE, 0, _PROBE, ", _row AS _row"), _move(_HERE, 1, _ENTER, nothing)
+    probe, enter = _move(_HERE, 0, _PROBE, ", _row AS _row"), _move(_IN, 1, _ENTER, nothing)
     first = f"CASE WHEN _probes AND _rows > 0 THEN array({probe}, {enter}) WHEN _probes THEN array({probe}) ELSE array({enter}) END"
-    moves = _moves(rows, specs, adder, first, nothing)
+    moves = _moves(rows, specs, first, nothing)
     upto = "(PARTITION BY _entity ORDER BY _at, _tie, _sub ROWS UNBOUNDED PRECEDING)"
     state = moves.selectExpr("_kind", "_row", *[f"sum(_d{c}) OVER {upto} AS {c}" for c in needed])
-    return state.filter(F.col("_kind") == _PROBE).select("_row", *_features_from_state(specs, adder))
+    return state.filter(F.col("_kind") == _PROBE).select("_row", *_features_from_state(specs))
 
 
-def _by_chunked_sweep(
-    df: DataFrame, specs: Sequence[RollingSpec], sizes: EntitySizes, one_task_rows: int
-) -> DataFrame:
-    """Sweep for entities that do not fit one task.
+def _by_chunked_sweep(df: DataFrame, specs: Sequence[RollingSpec], rows: int, one_task_rows: int) -> DataFrame:
+    """Sweep for entities that do not fit one task; ``rows`` is about the size of ``df``.
 
     Rows with the same entity, time and id are added up first, with a map-side
     combine, so a large group of copies collapses; each group then reads the state
-    just before its own single entry.  The running sums go over chunks that cut
-    through an entity, and the state is joined back to the rows.
+    just before its own single entry, a group without id that before its microsecond.
+    The running sums go over chunks that cut through an entity, and the state is
+    joined back to the rows.
     """
-    adder = _adder(sizes)
     widths, needed = _state_columns(specs)
     place = ("_entity", "_us", "_id")
     groups = (
-        _amounts(df, adder, *place)
-        .groupBy(*place)
-        .agg(*[F.sum(c).alias(c) for c in ("_rows", "_known", "_sum")])
+        _amounts(df, *place).groupBy(*place).agg(*[F.sum(c).cast(t).alias(c) for c, t in _ADDED])
     )
-    moves = _moves(groups, specs, adder, f"array({_move(_HERE, 0, _ENTER)})", "")
+    probe, enter = _move(_HERE, 0, _PROBE), _move(_IN, 0, _ENTER)
+    moves = _moves(groups, specs, f"IF(_id IS NULL, array({probe}, {enter}), array({enter}))", "")
     state = running_totals(
         moves,
         group=["_entity"],
         order=["_at", "_tie"],
         sums={c: f"_d{c}" for c in needed},
         inclusive=False,
-        size=sizes.hot_rows * (len(widths) + 1) or None,
+        size=rows * (len(widths) + 2) or None,
         one_task_rows=one_task_rows,
     )
-    state = state.filter(F.col("_kind") == _ENTER).selectExpr(
+    reads = (F.col("_kind") == _PROBE) | ((F.col("_kind") == _ENTER) & F.col("_tie").isNotNull())
+    state = state.filter(reads).selectExpr(
         "_entity AS _p_entity", "(_at - 1) div 2 AS _p_us", "_tie AS _p_id", *needed
     )
     same = F.expr("_entity = _p_entity AND _us = _p_us AND _id <=> _p_id")
-    return df.filter("_probes").join(state, same).select("_row", *_features_from_state(specs, adder))
+    return df.filter("_probes").join(state, same).select("_row", *_features_from_state(specs))
+
+
+_ADDED = (("_rows", "bigint"), ("_known", "bigint"), ("_sum", _EXACT))
 
 
 # ---------------------------------------------------------------- operators
@@ -347,24 +250,26 @@ def _by_chunked_sweep(
 def _prepared(
     df: DataFrame, columns: HistoryColumns, *, counts: bool, probes: bool, keep: Sequence[str]
 ) -> DataFrame:
-    amount = F.col(columns.amount).cast("double")
-    amount = F.when(~F.isnan(amount), amount)
+    """Rows as the sweep takes them.
+
+    A row without entity or time counts nowhere; it gets a key of its own slot, so that
+    it reads an empty history and many such rows do not meet in one task.
+    """
+    amount = usable_amount(F.col(columns.amount))
     tie = F.col(columns.id).cast("long") if columns.id in df.columns else F.lit(None).cast("long")
+    usable = F.col(columns.entity).isNotNull() & F.col(columns.at).isNotNull()
+    slot = F.pmod(F.xxhash64(columns.at, columns.amount, tie), F.lit(_SLOTS))
     return df.select(
-        F.col(columns.entity).alias("_entity"),
-        micros(df, columns.at).alias("_us"),
+        F.struct(F.col(columns.entity).alias("key"), F.when(~usable, slot).alias("slot")).alias("_entity"),
+        F.coalesce(micros(df, columns.at), F.lit(0).cast("long")).alias("_us"),
         tie.alias("_id"),
         amount.alias("_amt"),
-        F.lit(counts).alias("_counts"),
+        (F.lit(counts) & usable).alias("_counts"),
         F.lit(probes).alias("_probes"),
         F.struct(*[F.col(c) for c in keep], amount.alias("_own")).alias("_row"),
     )
 
 
-def _usable(columns: HistoryColumns) -> Column:
-    return F.col(columns.entity).isNotNull() & F.col(columns.at).isNotNull()
-
-
 def _at_between(df: DataFrame, name: str, lo: int, hi: int) -> Column:
     """Time filter on microsecond bounds; reaches the scan for a timestamp column."""
     if isinstance(df.schema[name].dataType, T.TimestampType):
@@ -383,10 +288,9 @@ def rolling_features(
 ) -> DataFrame:
     """Add one column per spec to every row of ``df``.
 
-    Strategies give equal results: ``frames`` (time-range window frames, for short
-    histories), ``sweep`` (linear, any ordinary entity) and ``chunked`` (entities
-    spread over several tasks).  ``auto`` looks at entity sizes: frames for short
-    histories, otherwise the sweep, with hot entities chunked.
+    Strategies give equal results: ``sweep`` (linear, any ordinary entity) and
+    ``chunked`` (entities spread over several tasks).  ``auto`` sweeps, with the
+    entities of more than ``hot_rows`` rows chunked.
 
     Rows without entity or time get the empty-history value and never meet in a
     window.  NULL amounts count as rows but not in sums and averages.
@@ -395,42 +299,35 @@ def rolling_features(
     names = [s.name for s in specs]
     if clash := [n for n in names if n in df.columns]:
         raise ValueError(f"columns already present: {clash}")
-    if strategy not in ("auto", "frames", "sweep", "chunked"):
+    if strategy not in ("auto", "sweep", "chunked"):
         raise ValueError(f"unknown strategy {strategy!r}")
-    if strategy != "frames":
-        sizes = entity_sizes(df, columns.entity, columns.amount, hot_rows=hot_rows)
-    if strategy == "auto":
-        strategy = "frames" if sizes.suits_frames else "by size"
-    usable = df.filter(_usable(columns))
-    rest = df.filter(~_usable(columns)).select("*", *[_without_history(s) for s in specs])
-
-    def prepared(rows: DataFrame) -> DataFrame:
-        return _prepared(rows, columns, counts=True, probes=True, keep=df.columns)
-
-    if strategy == "frames":
-        ready = prepared(usable)
-        result = ready.select("_row", *_by_frames(ready, specs))
-    elif strategy == "sweep":
-        result = _by_sweep(prepared(usable), specs, sizes)
+    ready = _prepared(df, columns, counts=True, probes=True, keep=df.columns)
+    if strategy == "sweep":
+        result = _by_sweep(ready, specs)
     elif strategy == "chunked":
-        result = _by_chunked_sweep(prepared(usable), specs, sizes, one_task_rows)
+        result = _by_chunked_sweep(ready, specs, 0, one_task_rows)
     else:
-        result = _by_size(prepared(usable), specs, sizes, one_task_rows)
-    return result.select("_row.*", *names).drop("_own").unionByName(rest)
+        hot, rows = hot_entities(df, columns.entity, hot_rows)
+        result = _by_size(ready, specs, hot, rows, one_task_rows)
+    return result.select("_row.*", *names).drop("_own")
 
 
-def _by_size(df: DataFrame, specs: Sequence[RollingSpec], sizes: EntitySizes, one_task_rows: int) -> DataFrame:
+def _by_size(
+    df: DataFrame, specs: Sequence[RollingSpec], hot: DataFrame | None, rows: int, one_task_rows: int
+) -> DataFrame:
     """Sweep, with hot entities chunked."""
-    if not sizes.hot:
-        return _by_sweep(df, specs, sizes)
-    normal, heavy = _split_hot(df, "_entity", sizes.hot)
-    return _by_sweep(normal, specs, sizes).unionByName(_by_chunked_sweep(heavy, specs, sizes, one_task_rows))
+    if hot is None:
+        return _by_sweep(df, specs)
+    keys = broadcast_if_small(hot.toDF("_hot"))
+    same = (F.col("_entity.key") == F.col("_hot")) & F.col("_entity.slot").isNull()
+    normal, heavy = df.join(keys, same, "left_anti"), df.join(keys, same, "left_semi")
+    return _by_sweep(normal, specs).unionByName(_by_chunked_sweep(heavy, specs, rows, one_task_rows))
 
 
 def behavioral_features(
     history: DataFrame,
     *,
-    limit: int | None = 10_000,
+    limit: int | None = None,
     transaction_ids: DataFrame | Iterable[int] | None = None,
     specs: Sequence[RollingSpec] = BEHAVIORAL_SPECS,
     columns: HistoryColumns = DEFAULT_COLUMNS,
@@ -487,25 +384,26 @@ def score_requests(
     at most 250,000 requests, nor are other entities.
     """
     specs = list(specs)
-    usable = requests.filter(_usable(columns))
-    rest = requests.filter(~_usable(columns)).select("*", *[_without_history(s) for s in specs])
-    past = history.filter(_usable(columns)).select(columns.entity, columns.at, columns.id, columns.amount)
+    usable = requests.filter(F.col(columns.entity).isNotNull() & F.col(columns.at).isNotNull())
+    past = history.filter(F.col(columns.entity).isNotNull() & F.col(columns.at).isNotNull())
+    past = past.select(columns.entity, columns.at, columns.id, columns.amount)
     asked_us, reach = micros(usable, columns.at), max(s.micros for s in specs)
     span = usable.agg(
         F.min(asked_us).alias("lo"), F.max(asked_us).alias("hi"), F.count(F.lit(1)).alias("n")
     ).first()
     if span["n"]:
         past = past.filter(_at_between(past, columns.at, span["lo"] - reach, span["hi"]))
-        if span["n"] <= PRUNE_REQUESTS:  # bounds the broadcast
-            past = past.join(F.broadcast(usable.select(columns.entity).distinct()), columns.entity, "left_semi")
-    asked = _prepared(usable, columns, counts=False, probes=True, keep=requests.columns)
+        if span["n"] <= PRUNE_REQUESTS:
+            entities = materialize(usable.select(columns.entity).distinct(), "entities")[0]
+            past = past.join(broadcast_if_small(entities), columns.entity, "left_semi")
+    asked = _prepared(requests, columns, counts=False, probes=True, keep=requests.columns)
     payload = asked.schema["_row"].dataType
     known = _prepared(past, columns, counts=True, probes=False, keep=[columns.entity])
     both = asked.unionByName(known.withColumn("_row", F.lit(None).cast(payload)))
-    added = both.withColumn("_added", F.when(F.col("_counts"), F.col("_amt")))
-    sizes = entity_sizes(added, "_entity", "_added", hot_rows=hot_rows)
-    result = _by_size(both, specs, sizes, one_task_rows)
-    return result.select("_row.*", *[s.name for s in specs]).drop("_own").unionByName(rest)
+    keyed = both.filter("_entity.slot IS NULL").select(F.col("_entity.key").alias("key"))
+    hot, rows = hot_entities(keyed, "key", hot_rows)
+    result = _by_size(both, specs, hot, rows, one_task_rows)
+    return result.select("_row.*", *[s.name for s in specs]).drop("_own")
 
 
 # ------------------------------------------------------------ single lookups
@@ -547,15 +445,10 @@ def point_features(
     sums = []
     for i, spec in enumerate(specs):
         inside = F.col(columns.at) >= F.lit(at - spec.width)
-        value = F.when(inside, F.col(columns.amount).cast("double"))
+        value = F.when(inside, usable_amount(F.col(columns.amount)).cast(_EXACT))
         counted = F.when(inside, F.lit(1)) if spec.agg == "count" else value
         sums += [F.count(counted).alias(f"_n{i}"), F.sum(value).alias(f"_s{i}")]
-    own = F.lit(amount).cast("double")
+    own = usable_amount(F.lit(amount))
     return rows.agg(*sums).select(
         *[_finish(s, F.col(f"_n{i}"), F.col(f"_s{i}"), own) for i, s in enumerate(specs)]
     )
-
-
-def chronological(df: DataFrame, columns: HistoryColumns = DEFAULT_COLUMNS) -> DataFrame:
-    """Rows by (time, id)."""
-    return df.orderBy(columns.at, columns.id)

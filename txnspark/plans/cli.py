@@ -14,6 +14,7 @@ from dataclasses import asdict
 from pyspark.sql import SparkSession
 
 from txnspark.plans import jobs
+from txnspark.scratch import clear_scratch
 from txnspark.settings import Lake
 
 
@@ -38,7 +39,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--skip-silver", action="store_true", help="stop after bronze")
     command("promote", "bronze to silver", ("bronze", "silver"))
     sub = command("features", "silver to gold behavioural features", ("silver", "gold"))
-    sub.add_argument("--limit", type=int, default=10_000, help="first N by time; negative means all")
+    sub.add_argument("--limit", type=int, help="first N by time; all by default")
     return top
 
 
@@ -70,7 +71,10 @@ def run(spark: SparkSession, argv: Sequence[str] | None = None) -> dict:
 
 def main() -> None:
     spark = SparkSession.builder.appName("txnspark").config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    print(run(spark))
+    try:
+        print(run(spark))
+    finally:
+        clear_scratch(spark)
 
 
 if __name__ == "__main__":

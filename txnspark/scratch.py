@@ -14,6 +14,8 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+# Most bytes of a table that is sent to every executor.
+BROADCAST_BYTES = 64 << 20
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 _local_roots: dict[str, tempfile.TemporaryDirectory] = {}
 
@@ -54,6 +56,16 @@ def materialize(df: DataFrame, label: str = "tmp") -> tuple[DataFrame, int]:
     return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["rows"]
 
 
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``df``, marked for broadcast when its measured size allows it; beyond, joins shuffle.
+
+    ``df`` is read to be measured, so it should be a stored table.
+    """
+    texts = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 16 for c in df.columns]
+    size = df.agg(F.sum(sum(texts[1:], texts[0]).cast("long"))).first()[0] or 0
+    return F.broadcast(df) if size <= max_bytes else df
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete what this application wrote to its scratch folder."""
     jvm = spark._jvm

@@ -28,12 +28,13 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def _details(spark: SparkSession, table: str) -> dict[str, str]:
-    """Provider and location of a table."""
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name in ('Provider', 'Location')").collect()
+    """Provider, location and type (managed or external) of a table."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name in ('Provider', 'Location', 'Type')").collect()
     return {r["col_name"]: r["data_type"] for r in rows}
 
 
 def _snapshot_root(location: str) -> str:
+    """The table's folder for snapshots: its first location with a suffix."""
     return location.rstrip("/").partition(f"{_SNAPSHOTS}/")[0] + _SNAPSHOTS
 
 
@@ -47,6 +48,11 @@ def _drop_old_snapshots(spark: SparkSession, root: str, keep: Sequence[str]) ->
             fs.delete(status.getPath(), True)
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def overwrite_table(df: DataFrame, table: str) -> int:
     """Replace a table's rows and columns by ``df``; returns the row count of the write."""
     spark = df.sparkSession
@@ -62,10 +68,18 @@ def overwrite_table(df: DataFrame, table: str) -> int:
         return seen.get["rows"]
 
     root = _snapshot_root(details["Location"])
-    path = f"{root}/{uuid.uuid4().hex}"
-    counted.write.format(provider).save(path)
     old = [(f.name, f.dataType) for f in spark.table(table).schema]
     new = [(f.name, f.dataType) for f in df.schema]
+    if new[: len(old)] != old and details["Type"].upper() == "MANAGED":
+        # Other columns need a new table.  The rows may come from the old one, so they are stored first.
+        rows, n = materialize(df, "replaced")
+        spark.sql(f"DROP TABLE {table}")
+        _delete(spark, root)
+        _delete(spark, root.removesuffix(_SNAPSHOTS))
+        rows.write.format(provider).saveAsTable(table)
+        return n
+    path = f"{root}/{uuid.uuid4().hex}"
+    counted.write.format(provider).save(path)
     if new[: len(old)] == old:
         if len(new) > len(old):
             added = ddl(type(df.schema)(df.schema.fields[len(old) :]))
@@ -76,6 +90,9 @@ def overwrite_table(df: DataFrame, table: str) -> int:
         spark.sql(f"CREATE TABLE {table} ({ddl(df.schema)}) USING {provider} LOCATION '{path}'")
     spark.catalog.refreshTable(table)
     _drop_old_snapshots(spark, root, [path, details["Location"]])
+    if details["Type"].upper() == "MANAGED" and details["Location"].startswith(f"{root}/"):
+        # The previous content is a snapshot, so the folder that the table began with is of no use.
+        _delete(spark, root.removesuffix(_SNAPSHOTS))
     return seen.get["rows"]
 
 
@@ -123,5 +140,18 @@ def write_features(
 ) -> int:
     """Wide features: the first load adds its columns to the table, later loads merge by key."""
     spark = features.sparkSession
-    first = spark.table(table).isEmpty()
-    return upsert_table(features, table, key, evolve=first or evolve, stored=stored)
+    if spark.table(table).isEmpty():
+        return append_first(features, table, key, stored=stored)
+    return upsert_table(features, table, key, evolve=evolve, stored=stored)
+
+
+def append_first(source: DataFrame, table: str, key: str, *, stored: bool = False) -> int:
+    """First load of an empty table: its columns and rows are written without a merge."""
+    batch, rows = (source, source.count()) if stored else materialize(source, "append")
+    if not rows:
+        return 0
+    copies = duplicate_keys(batch, key).limit(5).collect()
+    if copies:
+        raise ValueError(f"source has duplicate keys in {key}: {[r[key] for r in copies]}")
+    known = [F.lit(None).cast(f.dataType).alias(f.name) for f in source.sparkSession.table(table).schema if f.name not in batch.columns]
+    return overwrite_table(batch.select("*", *known), table)

@@ -66,6 +66,21 @@ _NULL_USER = """h AS (SELECT event_id AS id, CAST(event_type = 'error' AS INT) A
     nullif(value, 1.63) AS amt FROM events)"""
 _LATER = EVENTS_CTE + ", r AS (SELECT id, u, t + INTERVAL 30 MINUTE AS t, amt * 2 AS amt FROM h)"
 
+
+
+def _odd(ids: bool) -> str:
+    """Rows tied by day; ``id`` decides among them, and a NULL id is seen from later days only."""
+    own = "CASE WHEN event_id % 3 <> 0 THEN event_id END" if ids else "event_id"
+    amount = "value" if ids else "CASE WHEN event_id % 7 < 3 THEN NULL WHEN event_id % 7 = 3 THEN 0 ELSE value END"
+    return f"""
+        WITH h AS (SELECT event_id AS r, {own} AS id, user_id AS u, date_trunc('day', ts) AS t, {amount} AS amt FROM events)
+        SELECT a.r AS row, CAST(count(b.r) FILTER (WHERE b.t >= a.t - INTERVAL 1 HOUR) AS INTEGER) AS velocity_1h,
+            round(coalesce(sum(b.amt) FILTER (WHERE b.t >= a.t - INTERVAL 24 HOUR), 0), 6) AS cumulative_spend_24h,
+            round(avg(b.amt), 6) AS avg_30d
+        FROM h a LEFT JOIN h b ON a.u = b.u AND b.t >= a.t - INTERVAL 30 DAY AND (b.t < a.t OR (b.t = a.t AND b.id < a.id))
+        GROUP BY a.r"""
+
+
 ORACLES: dict[str, str] = {
     "rolling_velocity_1h": _rolling(EVENTS_CTE, ["velocity_1h"]),
     "rolling_spend_24h": _rolling(EVENTS_CTE, ["cumulative_spend_24h"]),
@@ -84,9 +99,11 @@ ORACLES: dict[str, str] = {
             round(coalesce(sum(b.amt) {_in('7 DAY')}, 0), 6) AS sum_7d,
             round(avg(b.amt) {_in('3 DAY')}, 6) AS avg_3d
         FROM h a LEFT JOIN h b ON {_PRIOR.format(width='7 DAY')} GROUP BY a.id""",
+    **{f"rolling_null_id_{s}": _odd(True) for s in ("auto", "sweep", "chunked")},
+    **{f"rolling_odd_amounts_{s}": _odd(False) for s in ("auto", "sweep", "chunked")},
     "chronological_order": """
-        SELECT event_id AS transaction_id, strftime(ts, '%Y-%m-%d') AS event_day, round(ln(1 + value), 6) AS log_amt
-        FROM events ORDER BY date_trunc('day', ts), event_id LIMIT 500""",
+        SELECT event_id AS transaction_id, strftime(ts, '%Y-%m-%d') AS event_day, round(ln(1 + value), 6) AS log_amt,
+            row_number() OVER (ORDER BY date_trunc('day', ts), event_id) AS position FROM events""",
     "time_position": """SELECT o_orderkey AS transaction_id,
         row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS position FROM orders""",
     "score_requests_later": _rolling(_LATER, requests="r", key="request_id"),

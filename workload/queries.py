@@ -142,12 +142,43 @@ def rolling_custom_width(spark, sf):
     return rounded(out, "sum_7d", "avg_3d")
 
 
+def _odd(spark, sf, *, ids: bool) -> DataFrame:
+    """Events of a day tied in time, without some ids, or with amounts that are no amounts."""
+    history = events(spark, sf, by_day=True)
+    number = F.col("transaction_id")
+    if ids:
+        return history.withColumn("transaction_id", F.when(number % 3 != 0, number)).withColumn("row", number)
+    amount = (
+        F.when(number % 7 == 0, F.lit(float("inf")))
+        .when(number % 7 == 1, F.lit(float("nan")))
+        .when(number % 7 == 2, F.lit(3e20))
+        .when(number % 7 == 3, F.lit(-1e-19))
+        .otherwise(F.col("transaction_amt"))
+    )
+    return history.withColumn("transaction_amt", amount).withColumn("row", number)
+
+
+def _odd_query(name: str, strategy: str, *, ids: bool) -> None:
+    def run(spark, sf):
+        specs = [_SPECS["velocity_1h"], _SPECS["cumulative_spend_24h"], RollingSpec("avg_30d", "avg", timedelta(days=30))]
+        out = rolling_features(_odd(spark, sf, ids=ids), specs, strategy=strategy, one_task_rows=5_000)
+        return rounded(out.select("row", *[s.name for s in specs]), "cumulative_spend_24h", "avg_30d")
+
+    REGISTRY[name] = run
+
+
+for _strategy in ("auto", "sweep", "chunked"):
+    _odd_query(f"rolling_null_id_{_strategy}", _strategy, ids=True)
+    _odd_query(f"rolling_odd_amounts_{_strategy}", _strategy, ids=False)
+
+
 @query
 def chronological_order(spark, sf):
-    """Earliest rows by (time, id), with day and log amount."""
-    first = first_rows(events(spark, sf, by_day=True), 500, ["transaction_at", "transaction_id"])
-    return first.select(
+    """Every row with its place by (time, id), its day and log amount."""
+    placed = with_position(events(spark, sf, by_day=True), ["transaction_at", "transaction_id"])
+    return placed.select(
         "transaction_id",
+        "position",
         F.date_format(event_day(F.col("transaction_at")), "yyyy-MM-dd").alias("event_day"),
         F.round(log_amount(F.col("transaction_amt")), 6).alias("log_amt"),
     )
