@@ -9,7 +9,8 @@ def brute_force(rows):
     unit = []
     for _, v, label in rows:
         ok = label is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)
-        unit.append(np.array(v, float) / np.linalg.norm(np.array(v, float)) if ok else None)
+        v = np.array(v, float) / np.max(np.abs(v)) if ok else None
+        unit.append(v / np.linalg.norm(v) if ok else None)
     links, parent = [0] * n, list(range(n))
 
     def root(x):
