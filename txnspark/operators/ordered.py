@@ -173,7 +173,7 @@ def _as_number(df: DataFrame, name: str) -> Column | None:
     if isinstance(kind, T.IntegralType):
         return column.cast("long")
     if isinstance(kind, (T.DoubleType, T.FloatType)):
-        plain = column.cast("double") + F.lit(0.0)  # -0.0 equals 0.0
+        plain = F.coalesce(column.cast("double"), F.lit(0.0)) + F.lit(0.0)  # -0.0 equals 0.0; NULLs are left out by callers
         bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), plain).cast("long")
         return F.when(bits >= 0, bits).otherwise(bits.bitwiseXOR(F.lit((1 << 63) - 1)))
     if isinstance(kind, T.DecimalType) and kind.precision <= 18:
