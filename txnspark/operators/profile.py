@@ -311,7 +311,8 @@ def _correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
             # Merged deviations of a constant can come out as a tiny number, hence the range test.
             both = f"{x} IS NOT NULL AND {y} IS NOT NULL"
             varies = " AND ".join(f"min({v}) FILTER (WHERE {both}) < max({v}) FILTER (WHERE {both})" for v in (x, y))
-            r = f"CASE WHEN {varies} THEN greatest(-1D, least(1D, corr({x}, {y}))) END"
+            spread = " * ".join(f"stddev_pop({v}) FILTER (WHERE {both})" for v in (x, y))
+            r = f"CASE WHEN {varies} THEN greatest(-1D, least(1D, try_divide(covar_pop({x}, {y}), {spread}))) END"
             rows.append(f"struct({_text(a)} AS i, {_text(b)} AS j, {r} AS r)")
         part = numbers.agg(F.expr(f"array({', '.join(rows)})").alias("_rows")).select(F.inline("_rows"))
         out = part if out is None else out.unionByName(part)

@@ -332,12 +332,14 @@ def behavioral_features(
     specs: Sequence[RollingSpec] = BEHAVIORAL_SPECS,
     columns: HistoryColumns = DEFAULT_COLUMNS,
     strategy: str = "auto",
+    with_ordinal: bool = False,
 ) -> DataFrame:
     """Id, label and the rolling features of selected rows; windows see all history.
 
     With ``transaction_ids`` (values, or a frame with ``transaction_id`` and
     optionally ``ordinal``) the result follows the caller's order, repeats repeated
-    ids and drops unknown ones, and only the entities behind those ids are read.
+    ids and drops unknown ones, and only the entities behind those ids are read;
+    ``with_ordinal`` keeps each row's place as a column.
     Otherwise the first ``limit`` rows by (time, id); no row ever looks ahead, so
     cutting the history there first gives the same values.  None means all rows.
     """
@@ -354,7 +356,7 @@ def behavioral_features(
     features = rolling_features(
         related.unionByName(without), specs, columns=columns, strategy=strategy
     ).select(*names)
-    return wanted.join(features, columns.id).orderBy("ordinal").select(*names)
+    return wanted.join(features, columns.id).orderBy("ordinal").select(*names, *["ordinal"] * with_ordinal)
 
 
 def id_frame(df: DataFrame, ids: DataFrame | Iterable[int], name: str) -> DataFrame:

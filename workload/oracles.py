@@ -76,7 +76,7 @@ def _odd(ids: bool) -> str:
         WITH h AS (SELECT event_id AS r, {own} AS id, user_id AS u, date_trunc('day', ts) AS t, {amount} AS amt FROM events)
         SELECT a.r AS row, CAST(count(b.r) FILTER (WHERE b.t >= a.t - INTERVAL 1 HOUR) AS INTEGER) AS velocity_1h,
             round(coalesce(sum(b.amt) FILTER (WHERE b.t >= a.t - INTERVAL 24 HOUR), 0), 6) AS cumulative_spend_24h,
-            round(avg(b.amt), 6) AS avg_30d
+            round(coalesce(sum(b.amt), 0), 6) AS sum_30d
         FROM h a LEFT JOIN h b ON a.u = b.u AND b.t >= a.t - INTERVAL 30 DAY AND (b.t < a.t OR (b.t = a.t AND b.id < a.id))
         GROUP BY a.r"""
 
@@ -93,6 +93,10 @@ ORACLES: dict[str, str] = {
     "rolling_null_user": _rolling(_NULL_USER, label=True),
     "rolling_first_n": _rolling(EVENTS_CTE, label=True, tail="ORDER BY any_value(a.t), a.id LIMIT 1000"),
     "rolling_by_ids": _rolling(EVENTS_CTE, label=True, tail="HAVING a.id IN (SELECT o_orderkey FROM orders)"),
+    "rolling_by_repeated_ids": f"""SELECT f.*, i.ordinal FROM ({_rolling(EVENTS_CTE, label=True)}) f JOIN
+        (SELECT o_orderkey AS id, o_orderkey * 2 + again AS ordinal FROM orders, (VALUES (0), (1)) t(again)) i
+        ON f.transaction_id = i.id""",
+    "gold_behavioral": _rolling(EVENTS_CTE, label=True),
     "rolling_custom_width": f"""
         WITH {EVENTS_CTE} SELECT a.id AS transaction_id,
             CAST(count(b.id) {_in('6 HOUR')} AS INTEGER) AS count_6h,
@@ -145,6 +149,11 @@ ORACLES |= {
     "raw_left_join": f"WITH {MERGED_CTE} SELECT TransactionID, TransactionAmt, id_01, id_30, DeviceInfo FROM merged",
     "normalize_transactions": f"WITH {MERGED_CTE} {_TRANSACTIONS} FROM merged",
     "normalize_identities": f"WITH {MERGED_CTE} {_IDENTITIES}",
+    "ingest_silver_transactions": f"WITH {MERGED_CTE} {_TRANSACTIONS} FROM merged",
+    "ingest_wide_features": f"""WITH {MERGED_CTE} SELECT {_STATIC.replace("V1,", "CASE WHEN card4 <> 'O' THEN V1 + 1 ELSE V1 END AS V1,")}
+        FROM merged""",
+    "csv_compact_scan": f"""WITH {RAW_CTE} SELECT TransactionID, isFraud,
+        CAST(CAST(TransactionAmt AS FLOAT) AS DOUBLE) AS TransactionAmt FROM raw""",
     "static_feature_split": f"WITH {MERGED_CTE} SELECT {_STATIC} FROM merged",
     "conform_transactions": """
         SELECT o_orderkey AS transaction_id, strftime(o_orderdate, '%Y-%m-%d') AS transaction_at,

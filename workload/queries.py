@@ -21,7 +21,10 @@ from txnspark.operators.rolling import (
     score_requests,
 )
 from txnspark.operators.split import split_report, time_split
+from txnspark.plans import jobs
+from txnspark.schemas import TRANSACTIONS, ensure_tables
 from txnspark.scratch import materialize, scratch_path
+from txnspark.settings import Lake
 from txnspark.sources import files, tables
 from workload.inputs import events, orders, raw, side, table
 
@@ -131,6 +134,16 @@ def rolling_by_ids(spark, sf):
     return rounded(behavioral_features(events(spark, sf), transaction_ids=ids), *_FEATURES)
 
 
+@query
+def rolling_by_repeated_ids(spark, sf):
+    """Every id asked for twice, at the places of the caller's list."""
+    ids = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("transaction_id"), F.explode(F.array(F.lit(0), F.lit(1))).alias("again")
+    )
+    ids = ids.select("transaction_id", (F.col("transaction_id") * 2 + F.col("again")).alias("ordinal"))
+    return rounded(behavioral_features(events(spark, sf), transaction_ids=ids, with_ordinal=True), *_FEATURES)
+
+
 @query
 def rolling_custom_width(spark, sf):
     specs = [
@@ -144,10 +157,10 @@ def rolling_custom_width(spark, sf):
 
 def _odd(spark, sf, *, ids: bool) -> DataFrame:
     """Events of a day tied in time, without some ids, or with amounts that are no amounts."""
-    history = events(spark, sf, by_day=True)
-    number = F.col("transaction_id")
+    number = F.col("row")
+    history = events(spark, sf, by_day=True).withColumn("row", F.col("transaction_id"))
     if ids:
-        return history.withColumn("transaction_id", F.when(number % 3 != 0, number)).withColumn("row", number)
+        return history.withColumn("transaction_id", F.when(number % 3 != 0, number))
     amount = (
         F.when(number % 7 == 0, F.lit(float("inf")))
         .when(number % 7 == 1, F.lit(float("nan")))
@@ -155,14 +168,14 @@ def _odd(spark, sf, *, ids: bool) -> DataFrame:
         .when(number % 7 == 3, F.lit(-1e-19))
         .otherwise(F.col("transaction_amt"))
     )
-    return history.withColumn("transaction_amt", amount).withColumn("row", number)
+    return history.withColumn("transaction_amt", amount)
 
 
 def _odd_query(name: str, strategy: str, *, ids: bool) -> None:
     def run(spark, sf):
-        specs = [_SPECS["velocity_1h"], _SPECS["cumulative_spend_24h"], RollingSpec("avg_30d", "avg", timedelta(days=30))]
+        specs = [_SPECS["velocity_1h"], _SPECS["cumulative_spend_24h"], RollingSpec("sum_30d", "sum", timedelta(days=30))]
         out = rolling_features(_odd(spark, sf, ids=ids), specs, strategy=strategy, one_task_rows=5_000)
-        return rounded(out.select("row", *[s.name for s in specs]), "cumulative_spend_24h", "avg_30d")
+        return rounded(out.select("row", *[s.name for s in specs]), "cumulative_spend_24h", "sum_30d")
 
     REGISTRY[name] = run
 
@@ -297,11 +310,69 @@ def csv_roundtrip_scan(spark, sf):
 @query
 def file_inventory(spark, sf):
     path = scratch_path(spark, "inventory")
-    raw(spark, sf).coalesce(1).write.option("header", True).csv(path)
+    raw(spark, sf).write.option("header", True).csv(path)
     found = files.file_inventory(spark, {"train_transaction": path, "test_transaction": f"{path}-absent"})
     return found.select("file", "exists", "rows")
 
 
+@query
+def csv_compact_scan(spark, sf):
+    """Raw rows read back with narrow types."""
+    path = scratch_path(spark, "csv")
+    raw(spark, sf).write.option("header", True).csv(path)
+    found = files.read_csv(spark, path, compact=True)
+    assert dict(found.dtypes)["isFraud"] == "tinyint" and dict(found.dtypes)["TransactionAmt"] == "float"
+    return found.select("TransactionID", F.col("isFraud").cast("int").alias("isFraud"), F.col("TransactionAmt").cast("double").alias("TransactionAmt"))
+
+
+def _lake(spark) -> Lake:
+    """Fresh schemas in the session's catalog."""
+    tag = uuid.uuid4().hex[:12]
+    return Lake(catalog="spark_catalog", bronze=f"bronze_{tag}", silver=f"silver_{tag}", gold=f"gold_{tag}", provider="parquet")
+
+
+def _ingested(spark, sf) -> Lake:
+    """The raw pair as files, checked for and ingested up to silver."""
+    folder, lake = scratch_path(spark, "raw"), _lake(spark)
+    raw(spark, sf).write.option("header", True).csv(f"{folder}/train_transaction.csv")
+    side(spark, sf).write.option("header", True).csv(f"{folder}/train_identity.csv")
+    files.require_files(spark, folder, ["train_transaction.csv", "train_identity.csv"])
+    jobs.ingest(spark, lake, data_dir=folder)
+    return lake
+
+
+@query
+def ingest_silver_transactions(spark, sf):
+    """Raw files to bronze and on to silver."""
+    out = spark.table(_ingested(spark, sf).table("silver", "transactions"))
+    return out.withColumn("transaction_at", F.date_format("transaction_at", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query
+def ingest_wide_features(spark, sf):
+    """First load of the wide table by appending, then a batch with changed and new keys."""
+    lake = _lake(spark)
+    ensure_tables(spark, lake, ["bronze"])
+    name, wide = lake.table("bronze", "train_features"), _merged(spark, sf)
+    tables.write_features(normalize.static_features(wide.filter("isFraud = 0")), name)
+    batch = wide.filter("card4 <> 'O'").withColumn("V1", F.col("V1") + 1)
+    tables.write_features(normalize.static_features(batch), name)
+    return spark.table(name)
+
+
+@query
+def gold_behavioral(spark, sf):
+    """Silver transactions to the gold table."""
+    lake = _lake(spark)
+    ensure_tables(spark, lake)
+    known, history = TRANSACTIONS, events(spark, sf)
+    absent = [F.lit(None).cast(f.dataType).alias(f.name) for f in known if f.name not in history.columns]
+    silver = history.withColumn("derived_user_id", F.col("derived_user_id").cast("string")).select("*", *absent)
+    tables.overwrite_table(silver.select(*[F.col(f.name).cast(f.dataType) for f in known]), lake.table("silver", "transactions"))
+    jobs.write_behavioral(spark, lake)
+    return rounded(spark.table(lake.table("gold", "behavioral_features")), *_FEATURES)
+
+
 @query
 def stage_counts(spark, sf):
     return normalize.stage_counts(_merged(spark, sf))
