@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Code points worked through at once.
-PIECE = 1 << 18
+PIECE = 1 << 16
 _POINTS = 0x110000
 
 

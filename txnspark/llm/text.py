@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import SparkSession
 
-PIECE = 1 << 20
+PIECE = 1 << 18
 #: Rows that Spark hands to Python at once: 500 texts of 1 MB still fit a worker.
 BATCH_ROWS = 500
 
