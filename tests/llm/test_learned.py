@@ -3,13 +3,15 @@
 import random
 import zlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from txnspark.llm import langid
+from txnspark.llm.chars import texts_of
 from txnspark.llm.langid import identify_held_out
 from txnspark.llm.quality import score_quality
-from txnspark.llm.toxicity import score_toxicity
+from txnspark.llm.toxicity import _grams, score_toxicity
 
 LANGUAGES = {"aa": "th er on an re he in ed", "bb": "ñ ción os que la de ó rr", "cc": "sch ung ein ich ä ß pf zu"}
 ODD = [(None, "null id"), (900, None), (901, ""), (902, "1234 !! %%"), (903, "x" * 50_000), (904, "漢字 😀"), (904, "漢字 😀")]
@@ -110,3 +112,25 @@ def test_quality(spark, documents):
     assert sum(r.predicted == truth.get(r.doc_id) for r in bounded) > 340
     assert {r.score for r in score_quality(docs, labels.limit(0)).collect()} == {0.5}
     assert score_quality(docs.limit(0), labels).collect() == []
+
+
+def test_toxic_phrase_of_ordinary_words(spark):
+    """Both classes use the same Cyrillic words equally often; only in toxic texts do two of them follow each other."""
+    rng, rows = random.Random(9), []
+    ordinary = ["".join(rng.choices("абвгдежзиклмнопрст", k=rng.randint(3, 7))) for _ in range(60)]
+    for k in range(500):
+        text, toxic = rng.choices(ordinary, k=40), k % 2
+        for at in range(0, 40, 8):
+            text[at : at + 4] = ["дурной", "совет", *text[:2]] if toxic else ["совет", *text[:2], "дурной"]
+        rows.append((k, " ".join(text), toxic))
+    documents = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    got = score_toxicity(documents, documents.select("doc_id", "toxic")).filter("held_out").collect()
+    assert sum(r.predicted == r.doc_id % 2 for r in got) >= 0.95 * len(got) > 50
+
+
+def test_words_of_any_script_and_length_are_told_apart():
+    texts = ["sh1t", "sh2t", "кот", "коу", "漢字", "字漢", "expression", "expressive", "$", "", " \n"]
+    for _, points, bounds in texts_of(pa.array(texts)):
+        grams, cut, words = _grams(points, bounds)
+    assert list(words) == [1, 1, 1, 1, 2, 2, 1, 1, 1, 0, 0]
+    assert len({grams[-1][b - 1] for a, b in zip(cut[:-1], cut[1:]) if b > a}) == 9

@@ -44,6 +44,23 @@ def folded() -> np.ndarray:
     return out
 
 
+#: Scripts written without blanks between words.
+_UNSPACED = [(0xE00, 0xEFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0xA4CF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF)]
+
+
+@lru_cache(maxsize=1)
+def word_kinds() -> np.ndarray:
+    """0 blank or control, 1 part of a word, 2 a word of its own: signs and characters of unspaced scripts."""
+    out = np.zeros(_POINTS, dtype=np.uint8)
+    for c in range(_POINTS):
+        group = unicodedata.category(chr(c))[0]
+        out[c] = 1 if group in "LNM" else 0 if group in "ZC" else 2
+    for first, last in _UNSPACED:
+        own = out[first : last + 1]
+        own[own == 1] = 2
+    return out
+
+
 def texts_of(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Pieces (first row, code points, bounds): each text stands between two zeros."""
     texts = [t or "" for t in column.to_pylist()]

@@ -1,27 +1,37 @@
-"""Toxicity by class-conditional Kneser-Ney models of character n-grams.
-
-Letters are folded to an alphabet of 32 symbols, so the n-grams of order 4 are a
-closed set of about a million that all rows are counted into; nothing is dropped or
-capped, and obfuscated spellings share most of their n-grams.  Each class has its own
-counts of the highest order; what they discount goes to continuation counts shared by
-both classes, so an expression too rare to be known in either class says nothing.
-
-A text's evidence is the difference of its two log-likelihoods per symbol, where what a
-symbol says beyond ``CLEAR`` counts ``WEIGHT`` times more: a few clear words in a long
-text are evidence, many faint differences are not.  A logistic curve, fitted on labelled
-rows that the counts have not seen, turns it into a score.
+"""Toxicity by class-conditional Kneser-Ney models of word and character n-grams.
+
+Words, with their letters, marks and digits as they are, are counted in runs of up to
+``WORDS``; signs, and characters of scripts without blanks, are words of their own.  All
+n-grams of all learning rows go into a stored table, which grows with them.  Each class
+has its own counts, for lower orders the number of contexts it was seen in; the lowest
+order backs off to contexts counted over both classes.  What an n-gram adds to the
+difference of the two log-likelihoods is one weight per n-gram, so a text is scored by
+joining its distinct n-grams to the table.
+
+Beside them, letters are folded to an alphabet of 32 symbols, whose n-grams of order 4
+are a closed set of about a million: obfuscated spellings share most of theirs with the
+plain ones, though no word.  What the highest order discounts goes to continuation
+counts shared by both classes.
+
+Either gives a text's evidence, the difference of its two log-likelihoods per symbol,
+where what a symbol says beyond ``CLEAR`` counts ``WEIGHT`` times more: a few clear words
+in a long text are evidence, many faint differences are not.  A logistic curve, fitted on
+labelled rows that the counts have not seen, turns both into a score.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chars import folded, texts_of
+from .chars import folded, lower_letters, texts_of, word_kinds
 from .langid import fold
-from .text import small_batches
+from .store import stored
+from .text import mix, prefix_hashes, runs, small_batches, span_hashes
 
 ORDER, BITS = 4, 5
 CELLS = 1 << (ORDER * BITS)
@@ -29,7 +39,10 @@ CLEAR, WEIGHT = 2.0, 4.0
 #: Labels (16 bytes each) that may be broadcast; more are joined by a shuffle.
 BROADCAST_LABELS = 2_000_000
 #: The curve is fitted on a histogram of the evidence with so many bins.
-BINS, SPAN = 4096, 4.0
+BINS, SPAN = 2048, 4.0
+#: Longest run of words that is counted.
+WORDS = 3
+_BEGIN, _END, _CHAIN = np.uint64(0x5BD1E995), np.uint64(0xC2B2AE35), np.uint64(0x9E3779B97F4A7C15)
 
 
 def _cells(points: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -93,17 +106,144 @@ def log_ratios(counts: np.ndarray) -> np.ndarray:
     return (ratio + WEIGHT * np.maximum(ratio - CLEAR, 0)).astype(np.float32)
 
 
+def _grams(points: np.ndarray, bounds: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Hashes of the runs of 1 to ``WORDS`` words that end at each place, bounds of places by text, words by text.
+
+    A text with words stands between ``WORDS`` - 1 marks of its beginning and one of its end.
+    """
+    kind = word_kinds()[points]
+    low = lower_letters()[points]
+    low = np.where(low > 0, low, points)
+    starts, ends = runs(kind == 1, bounds)
+    alone = np.flatnonzero(kind == 2)
+    starts, ends = np.append(starts, alone), np.append(ends, alone + 1)
+    order = np.argsort(starts)
+    starts, ends = starts[order], ends[order]
+    words = np.diff(np.searchsorted(starts, bounds))
+    size = np.where(words > 0, words + WORDS, 0)
+    cut = np.concatenate([[0], np.cumsum(size)])
+    symbols = np.full(cut[-1], _BEGIN, dtype=np.uint64)
+    symbols[np.arange(len(starts)) + np.repeat(cut[:-1] + WORDS - 1 - (np.cumsum(words) - words), words)] = span_hashes(
+        prefix_hashes(low), starts, ends
+    )
+    symbols[cut[1:][words > 0] - 1] = _END
+    grams = [mix(symbols)]
+    for k in range(1, WORDS):
+        # An n-gram's hash follows from that of its context and the last word.
+        before = np.concatenate([np.zeros(1, np.uint64), grams[-1][:-1]])[: len(symbols)]
+        grams.append(mix(before * _CHAIN + symbols))
+    return grams, cut, words
+
+
+def _count_words(batches):
+    """Distinct longest n-grams of a piece: hashes of all orders (g), of their contexts (c), and counts by class."""
+    for batch in batches:
+        label = batch.column(1).to_numpy()
+        for first, points, bounds in texts_of(batch.column(0)):
+            grams, cut, words = _grams(points, bounds)
+            place = np.arange(cut[-1]) - np.repeat(cut[:-1], np.diff(cut))
+            at = np.flatnonzero(place >= WORDS - 1)
+            one = np.repeat(label[first : first + len(words)] == 1, np.diff(cut))[at]
+            _, where, group = np.unique(grams[-1][at], return_index=True, return_inverse=True)
+            ones, every = np.bincount(group, weights=one, minlength=len(where)), np.bincount(group, minlength=len(where))
+            at = at[where]
+            columns = [g[at].view(np.int64) for g in grams] + [g[at - 1].view(np.int64) for g in grams[:-1]]
+            counts = [(every - ones).astype(np.int64), ones.astype(np.int64)]
+            yield pa.record_batch([pa.array(c) for c in columns + counts], names=_names(WORDS) + ["n0", "n1"])
+
+
+def _names(order: int) -> list[str]:
+    """Columns of n-grams up to an order and of their contexts, which from order 2 on are n-grams too."""
+    return [f"g{k}" for k in range(1, order + 1)] + [f"c{k}" for k in range(2, order + 1)]
+
+
+def _steep(x):
+    return x + WEIGHT * F.greatest(x - CLEAR, F.lit(0.0))
+
+
+def word_weights(rows: DataFrame) -> DataFrame:
+    """(key, weight) of every n-gram in rows (text, _label): what an occurrence adds to a text's evidence.
+
+    An unseen n-gram is worth what its context and the shorter n-gram say, so the weight of
+    a seen one is its own log-ratio less these, and more as the context of what follows.
+    """
+    schema = ", ".join(f"{c} long" for c in _names(WORDS) + ["n0", "n1"])
+    raw = rows.select("text", "_label").mapInArrow(_count_words, schema)
+    levels: dict[int, DataFrame] = {}
+    for k in range(WORDS, 0, -1):
+        source = raw if k == WORDS else levels[k + 1]
+        rest = [F.first(c).alias(c) for c in _names(k) if c != f"g{k}"]
+        counts = [F.sum(c) if k == WORDS else F.sum((F.col(c) > 0).cast("long")) for c in ("n0", "n1")]
+        counted = source.groupBy(f"g{k}").agg(*rest, counts[0].alias("n0"), counts[1].alias("n1"), F.count("*").alias("both"))
+        levels[k] = stored(counted, f"words{k}")
+    totals = [F.coalesce(F.sum(f"n{c}"), F.lit(0)).alias(f"a{c}") for c in (0, 1)]
+    totals += [F.coalesce(F.sum((F.col(f"n{c}") > 0).cast("long")), F.lit(0)).alias(f"t{c}") for c in (0, 1)]
+    out, lower = [], None
+    for k in range(1, WORDS + 1):
+        own = levels[k]
+        few = [F.coalesce(F.sum((F.col(f"n{c}") == n).cast("long")), F.lit(0)) for c in (0, 1) for n in (1, 2)]
+        few = own.agg(*few).first()
+        d = [few[2 * c] / (few[2 * c] + 2 * few[2 * c + 1]) if few[2 * c] and few[2 * c + 1] else 0.5 for c in (0, 1)]
+        if k == 1:
+            every = own.agg(*totals, F.coalesce(F.sum("both"), F.lit(0)).alias("all")).first()
+            joined = own.withColumns({x: F.lit(every[x]) for x in ("a0", "a1", "t0", "t1")})
+            joined = joined.withColumns({f"p{c}": F.col("both") / F.lit(float(every["all"] or 1)) for c in (0, 1)})
+            joined = joined.withColumn("low", F.lit(0.0))
+        else:
+            contexts = own.groupBy(f"c{k}").agg(*totals)
+            joined = own.join(contexts, f"c{k}").join(lower, f"g{k - 1}")
+        left = [F.when(F.col(f"a{c}") > 0, d[c] * F.col(f"t{c}") / F.greatest(f"a{c}", F.lit(1))).otherwise(1.0) for c in (0, 1)]
+        seen = [
+            F.when(F.col(f"a{c}") > 0, F.greatest(F.col(f"n{c}") - d[c], F.lit(0.0)) / F.greatest(f"a{c}", F.lit(1))).otherwise(0.0)
+            for c in (0, 1)
+        ]
+        probability = [seen[c] + left[c] * F.col(f"p{c}") for c in (0, 1)]
+        joined = joined.withColumn("back", F.log(left[1]) - F.log(left[0]))
+        joined = joined.withColumns({"q0": probability[0], "q1": probability[1]})
+        joined = joined.withColumn("value", _steep(F.log("q1") - F.log("q0")))
+        joined = stored(joined.select(*[f"g{k}", *([f"c{k}"] if k > 1 else [])], "q0", "q1", "value", "back", "low"), f"level{k}")
+        out.append(joined.select(F.col(f"g{k}").alias("key"), (F.col("value") - F.col("back") - F.col("low")).alias("weight")))
+        if k > 1:
+            out.append(joined.groupBy(F.col(f"c{k}").alias("key")).agg(F.first("back").alias("weight")))
+        lower = joined.select(f"g{k}", F.col("q0").alias("p0"), F.col("q1").alias("p1"), F.col("value").alias("low"))
+    every = reduce(DataFrame.unionByName, out)
+    return stored(every.groupBy("key").agg(F.sum("weight").alias("weight")), "weights")
+
+
+def _text_grams(batches):
+    """(text key, n-gram, occurrences) of each text's distinct n-grams, those of its beginning among them."""
+    for batch in batches:
+        names = batch.column(0).to_numpy()
+        for first, points, bounds in texts_of(batch.column(1)):
+            grams, cut, words = _grams(points, bounds)
+            text = np.repeat(np.arange(len(words)), np.diff(cut))
+            place = np.arange(cut[-1]) - cut[text]
+            # Of the marks of the beginning only the last is a context, alone and with those before.
+            at = [np.flatnonzero(place >= WORDS - 1 - (k < WORDS - 1)) for k in range(WORDS)]
+            keys, text = np.concatenate([g[a] for g, a in zip(grams, at)]), np.concatenate([text[a] for a in at])
+            order = np.lexsort((keys, text))
+            keys, text = keys[order], text[order]
+            new = np.ones(len(keys), dtype=bool)
+            new[1:] = (keys[1:] != keys[:-1]) | (text[1:] != text[:-1])
+            new = np.flatnonzero(new)
+            n = np.diff(np.append(new, len(keys))).astype(np.int32)
+            yield pa.record_batch(
+                [pa.array(names[first + text[new]]), pa.array(keys[new].view(np.int64)), pa.array(n)],
+                names=["digest", "key", "n"],
+            )
+
+
 def labelled(docs: DataFrame, labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
-    """Rows of ``docs`` with their 0/1 label as ``_label``; an id labelled twice counts as 1 if any label is."""
+    """``docs`` with their 0/1 label as ``_label``, or null; an id labelled twice counts as 1 if any label is."""
     known = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
     known = known.groupBy(F.col(id_col).alias("_lid")).agg(F.max(F.col(label_col).cast("int")).alias("_label"))
     if known.count() <= BROADCAST_LABELS:
         known = F.broadcast(known)
-    return docs.join(known, docs[id_col] == known["_lid"]).drop("_lid")
+    return docs.join(known, docs[id_col] == known["_lid"], "left").drop("_lid")
 
 
-def _evidence(ratios, curve=None):
-    """Evidence per symbol, or the score when ``curve`` is given, in place of the last column."""
+def _evidence(ratios):
+    """Evidence of the characters per symbol, and the number of words, in place of the last column."""
 
     def run(batches):
         table = ratios.value
@@ -113,53 +253,51 @@ def _evidence(ratios, curve=None):
                 sums = np.concatenate([[0.0], np.cumsum(table[cells], dtype=np.float64)])
                 size = np.diff(cut)
                 value = (sums[cut[1:]] - sums[cut[:-1]]) / np.maximum(size, 1)
-                if curve is not None:
-                    value = 1 / (1 + np.exp(-np.clip(curve[0] * value + curve[1], -500, 500)))
+                words = _grams(points, bounds)[2]
                 yield pa.record_batch(
-                    [*[c.slice(first, len(size)) for c in batch.columns[:-1]], pa.array(value)],
-                    names=[*batch.schema.names[:-1], "value"],
+                    [*[c.slice(first, len(size)) for c in batch.columns[:-1]], pa.array(value), pa.array(words)],
+                    names=[*batch.schema.names[:-1], "letters", "words"],
                 )
 
     return run
 
 
-def logistic_curve(x: np.ndarray, ones: np.ndarray, zeros: np.ndarray) -> tuple[float, float]:
-    """Slope and intercept that fit the share of ones at each x, by Newton steps."""
+def logistic_curve(x: np.ndarray, ones: np.ndarray, zeros: np.ndarray) -> tuple[float, ...]:
+    """Slopes and intercept that fit the share of ones at each row of x, by Newton steps."""
     if not ones.sum() or not zeros.sum():
-        return 0.0, 0.0
-    design, weight = np.column_stack([x, np.ones_like(x)]), ones + zeros
-    beta = np.zeros(2)
+        return (0.0,) * (x.shape[1] + 1)
+    design, weight = np.column_stack([x, np.ones(len(x))]), ones + zeros
+    beta = np.zeros(design.shape[1])
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
         slope = design.T @ (ones - weight * p) - 1e-3 * beta
-        bend = (design * (weight * p * (1 - p))[:, None]).T @ design + 1e-3 * np.eye(2)
+        bend = (design * (weight * p * (1 - p))[:, None]).T @ design + 1e-3 * np.eye(len(beta))
         step = np.linalg.solve(bend, slope)
         beta += step / max(1.0, np.abs(step).max() / 50)
         if np.abs(step).max() < 1e-9:
             break
-    return float(beta[0]), float(beta[1])
+    return tuple(float(b) for b in beta)
 
 
-def fit(rows: DataFrame) -> tuple[np.ndarray, tuple[float, float]]:
-    """Model from rows (text, _label, _fit): n-grams are counted where ``_fit``, the curve is fitted on the rest."""
-    spark = rows.sparkSession
-    small_batches(spark)
-    counted = rows.filter("_fit").select("text", "_label").mapInArrow(_count, "cell long, n0 long, n1 long")
+def letter_ratios(rows: DataFrame) -> np.ndarray:
+    """Log-ratios of the folded character n-grams, counted in rows (text, _label)."""
+    counted = rows.select("text", "_label").mapInArrow(_count, "cell long, n0 long, n1 long")
     got = counted.groupBy("cell").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow()
     counts = np.zeros((2, CELLS), dtype=np.int64)
     counts[0][got["cell"].to_numpy()] = got["n0"].to_numpy()
     counts[1][got["cell"].to_numpy()] = got["n1"].to_numpy()
-    ratios = log_ratios(counts)
-    shared = spark.sparkContext.broadcast(ratios)
-    seen = rows.filter("NOT _fit").select("_label", "text").mapInArrow(_evidence(shared), "_label int, value double")
-    place = F.floor((F.least(F.greatest("value", F.lit(-SPAN)), F.lit(SPAN)) + SPAN) * (BINS / (2 * SPAN)))
-    bins = seen.groupBy(place.alias("bin")).agg(
-        F.sum("_label").alias("ones"), F.sum(1 - F.col("_label")).alias("zeros")
-    )
-    bins = bins.toArrow()
-    x = (bins["bin"].to_numpy() + 0.5) * (2 * SPAN / BINS) - SPAN
-    ones, zeros = (bins[c].to_numpy().astype(float) for c in ("ones", "zeros"))
-    return ratios, logistic_curve(x, ones, zeros)
+    return log_ratios(counts)
+
+
+def fit_curve(rows: DataFrame) -> tuple[float, ...]:
+    """The curve of rows (letters, worded, _label), from a histogram of both evidences."""
+    bins = [
+        F.floor((F.least(F.greatest(c, F.lit(-SPAN)), F.lit(SPAN)) + SPAN) * (BINS / (2 * SPAN))).alias(c)
+        for c in ("letters", "worded")
+    ]
+    got = rows.groupBy(*bins).agg(F.sum("_label").alias("ones"), F.sum(1 - F.col("_label")).alias("zeros")).toArrow()
+    x = np.column_stack([(got[c].to_numpy() + 0.5) * (2 * SPAN / BINS) - SPAN for c in ("letters", "worded")])
+    return logistic_curve(x, *(got[c].to_numpy().astype(float) for c in ("ones", "zeros")))
 
 
 def score_toxicity(
@@ -174,20 +312,38 @@ def score_toxicity(
     """doc_id, held_out, score, predicted of every row of ``docs``.
 
     Only labels of rows whose fold is not 0 are learned from; of those, fold 1 fits the
-    curve and the others are counted.  Null, empty and letterless texts have evidence 0 and
+    curve and the others are counted.  Null and empty texts have evidence 0 and
     get the score of the curve there.  Labels other than 0 and 1 and labels of unknown
     ids are ignored; without both labels every score is 0.5.  Other columns are ignored.
     """
-    small_batches(docs.sparkSession)
-    part = fold(F.col(id_col), parts)
+    spark = docs.sparkSession
+    small_batches(spark)
+    text = F.col(text_col).cast("string")
     rows = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), part.alias("_part")
+        F.col(id_col).alias("doc_id"),
+        fold(F.col(id_col), parts).alias("_part"),
+        F.xxhash64(F.lit("text"), F.coalesce(text, F.lit(""))).alias("digest"),
+        text.alias("text"),
     )
-    known = labelled(rows.filter("_part <> 0"), labels.withColumnRenamed(id_col, "doc_id"), "doc_id", label_col)
-    ratios, curve = fit(known.withColumn("_fit", F.col("_part") > 1))
-    shared = docs.sparkSession.sparkContext.broadcast(ratios)
+    known = labelled(rows, labels.withColumnRenamed(id_col, "doc_id"), "doc_id", label_col)
+    known = known.withColumn("_label", F.when(F.col("_part") != 0, F.col("_label")))
+    counted = known.filter("_part > 1 AND _label IS NOT NULL")
+    shared = spark.sparkContext.broadcast(letter_ratios(counted))
+    weights = word_weights(counted)
+    # Equal texts share their sums: each copy adds as much to the evidence as to the words it is divided by.
+    grams = rows.select("digest", "text").mapInArrow(_text_grams, "digest long, key long, n int")
+    worded = grams.join(weights, "key").groupBy("digest").agg(F.sum(F.col("n") * F.col("weight")).alias("sum"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    scored = rows.select("doc_id", (F.col("_part") == 0).alias("held_out"), "text").mapInArrow(
-        _evidence(shared, curve), f"doc_id {id_type}, held_out boolean, score double"
+    schema = f"doc_id {id_type}, _part long, digest long, _label int, letters double, words long"
+    seen = stored(known.select("doc_id", "_part", "digest", "_label", "text").mapInArrow(_evidence(shared), schema), "letters")
+    sizes = seen.groupBy("digest").agg(F.sum(F.col("words") + 1).alias("size"))
+    worded = worded.join(sizes, "digest").select("digest", (F.col("sum") / F.col("size")).alias("worded"))
+    seen = stored(seen.join(worded, "digest", "left").fillna(0.0, ["worded"]), "evidence")
+    curve = fit_curve(seen.filter("_part = 1 AND _label IS NOT NULL"))
+    power = curve[0] * F.col("letters") + curve[1] * F.col("worded") + curve[2]
+    scored = seen.select(
+        "doc_id",
+        (F.col("_part") == 0).alias("held_out"),
+        (1 / (1 + F.exp(-F.least(F.greatest(power, F.lit(-500.0)), F.lit(500.0))))).alias("score"),
     )
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
