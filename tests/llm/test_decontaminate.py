@@ -82,3 +82,43 @@ def test_empty_tables(spark):
     assert D.find_benchmark(docs, marks.limit(0)).collect() == []
     assert D.find_benchmark(docs.limit(0), marks).collect() == []
     assert D.find_benchmark(docs, marks).first().edits == 0
+
+
+@pytest.mark.parametrize("share", [0.05, 0.1, 0.15])
+def test_changed_words_and_quoted_halves(spark, words, share):
+    """Passages of which some words are changed, and halves of long items, are found where they stand."""
+    rng = random.Random(5)
+    items = [(k, " ".join(words(2000 + k, 80))) for k in range(12)]
+    docs, places = [], {}
+    for k, item in items:
+        for d, own in ((k, item.split()), (100 + k, item.split()[20:60])):
+            for at in rng.sample(range(len(own)), int(share * len(own))):
+                own[at] = "".join(rng.choices("wxyz", k=len(own[at])))
+            before, after = " ".join(words(50 + d, 60)), " ".join(words(500 + d, 60))
+            places[d] = (len(before) + 1, len(before) + 1 + len(" ".join(own)))
+            docs.append((d, f"{before} {' '.join(own)} {after}"))
+    docs += [(1000 + k, " ".join(words(3000 + k, 200))) for k in range(20)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    marks = spark.createDataFrame(items, "item_id long, text string")
+    found = D.find_benchmark(df, marks, window=D.WINDOW).collect()
+    assert all(r.doc_id < 1000 and r.item_id == r.doc_id % 100 for r in found)
+    assert {r.doc_id for r in found} == set(places)
+    for r in found:
+        a, b = places[r.doc_id]
+        assert a - 20 <= r.start < r.end <= b + 20
+    if share == 0.05:
+        covered = {d: sum(r.end - r.start for r in found if r.doc_id == d) for d in places}
+        assert all(covered[d] > 0.7 * (b - a) for d, (a, b) in places.items())
+
+
+def test_quotation_of_a_window_and_a_step(spark, words):
+    """Wherever a quotation of that length starts in the item, it holds a whole window."""
+    item = " ".join(words(7, 100))
+    docs = [(k, "zz " * 30 + item[k : k + D.WINDOW + D.STEP] + " zz" * 30) for k in range(0, len(item) - D.WINDOW - D.STEP, 7)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    marks = spark.createDataFrame([(1, item)], "item_id long, text string")
+    found = D.find_benchmark(df, marks, window=D.WINDOW).collect()
+    assert {r.doc_id for r in found} == {d for d, _ in docs}
+    texts = dict(docs)
+    for r in found:
+        assert distance(squeeze(texts[r.doc_id][r.start : r.end]), squeeze(item)) <= r.edits

@@ -7,6 +7,9 @@ in overlapping bands of diagonals; bands that reach the bound are verified by al
 the item within the band.  Texts and items are compared as code points in lower case
 with white space collapsed.
 
+An item may also be quoted in part: with ``window``, the lemma is applied to overlapping
+windows of each longer item too, and the windows found in a row make one passage.
+
 The index is sent to the tasks in blocks of items of at most ``BLOCK_CHARS`` characters;
 a larger benchmark takes several scans of the texts.
 """
@@ -24,9 +27,11 @@ from .chars import _POINTS, texts_of
 from .store import stored
 from .text import prefix_hashes, small_batches, span_hashes
 
-Q = 12
-#: Edits allowed for each character of an item.
-RATE = 0.06
+Q = 5
+#: Edits allowed for each character of an item or window.
+RATE = 0.15
+#: Characters of a window and from one to the next: a quotation of their sum or more holds a whole window.
+WINDOW, STEP = 80, 20
 BLOCK_CHARS = 4_000_000
 #: Hits expanded at once.
 _HITS = 1 << 20
@@ -77,28 +82,37 @@ def edits_allowed(length: int, rate: float, q: int) -> int:
 
 
 class Index:
-    """Sorted q-gram hashes of a block of items."""
+    """Sorted q-gram hashes of a block of items, and of their windows."""
 
-    def __init__(self, items: list[tuple[int, str]], q: int, rate: float):
-        self.q = q
+    def __init__(self, items: list[tuple[int, str]], q: int, rate: float, window: int | None = None):
+        self.q, self.window = q, window
         self.ids, self.texts, self.edits, self.bound = [], [], [], []
+        #: Number of the pattern that is the whole item, and where in it a pattern starts.
+        self.whole, self.offset = [], []
         hashes, item, place = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for id_, text in items:
             points = np.frombuffer(f"\0{text}\0".encode("utf-32-le", "surrogatepass"), dtype="<u4")
             low, _, _ = normal(points, np.array([0, len(points)]))
             low = low[1:]
             low = low[:-1] if len(low) and low[-1] == 32 else low
-            k = edits_allowed(len(low), rate, q)
-            if k < 0:
+            if edits_allowed(len(low), rate, q) < 0:
                 continue
-            own = _gram_hashes(low, q)
-            hashes.append(own)
-            item.append(np.full(len(own), len(self.ids)))
-            place.append(np.arange(len(own)))
-            self.ids.append(id_)
-            self.texts.append(low)
-            self.edits.append(k)
-            self.bound.append(len(low) - q + 1 - k * q)
+            whole, spans = len(self.ids), [(0, len(low))]
+            if window is not None and len(low) > window:
+                starts = {*range(0, len(low) - window, STEP), len(low) - window}
+                spans += [(a, a + window) for a in sorted(starts)]
+            for a, b in spans:
+                k = edits_allowed(b - a, rate, q)
+                own = _gram_hashes(low[a:b], q)
+                hashes.append(own)
+                item.append(np.full(len(own), len(self.ids)))
+                place.append(np.arange(len(own)))
+                self.ids.append(id_)
+                self.texts.append(low[a:b])
+                self.edits.append(k)
+                self.bound.append(b - a - q + 1 - k * q)
+                self.whole.append(whole)
+                self.offset.append(a)
         every = np.concatenate(hashes)
         order = np.argsort(every, kind="stable")
         self.hashes, self.item, self.place = every[order], np.concatenate(item)[order], np.concatenate(place)[order]
@@ -178,9 +192,51 @@ def _exact(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int] | None:
     return (0, at // 4, at // 4 + len(item)) if at >= 0 and at % 4 == 0 else None
 
 
+def _apart(spans: list[tuple[int, int, int]], taken: list[tuple[int, int, int]]) -> None:
+    """Adds those of the spans (edits, start, end) that overlap none before."""
+    for edits, start, end in spans:
+        if all(end <= s or start >= e for _, s, e in taken):
+            taken.append((edits, start, end))
+
+
+def _passages(index: Index, whole: int, hits: list[tuple[int, int, int, int]], low: np.ndarray) -> list[tuple[int, int, int]]:
+    """Passages (edits, start, end) of one item made of windows (start, end, place in the item, edits), longest first.
+
+    Windows that overlap in the text and lie on near diagonals are one passage, which is
+    aligned with the part of the item that they cover.
+    """
+    groups: list[list[tuple[int, int, int, int]]] = []
+    for hit in sorted(hits):
+        for group in groups:
+            last = group[-1]
+            near = abs((hit[0] - hit[2]) - (last[0] - last[2])) <= hit[3] + last[3]
+            if near and hit[2] >= last[2] and hit[0] <= last[1]:
+                group.append(hit)
+                break
+        else:
+            groups.append([hit])
+    out = []
+    for group in groups:
+        if len(group) == 1:
+            out.append((group[0][3], group[0][0], group[0][1]))
+            continue
+        first, last = group[0][2], max(h[2] for h in group) + index.window
+        part = index.texts[whole][first:last]
+        slack = sum(h[3] for h in group) + 1
+        a, b = max(0, group[0][0] - slack), min(len(low), max(h[1] for h in group) + slack)
+        diagonals = [h[0] - h[2] + first - a for h in group]
+        edits, start, end = _exact(part, low[a:b]) or align(part, low[a:b], min(diagonals) - slack, max(diagonals) + slack)
+        out.append((edits, start + a, end + a))
+    return sorted(out, key=lambda x: (x[1] - x[2], x))
+
+
 def _matches(index: Index, low: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """(item id, start, end, edits) in ``low``; overlapping finds of an item count once, the best of them."""
+    """(item id, start, end, edits) in ``low``; overlapping finds of an item count once, the best of them.
+
+    Whole items come before their parts, and longer parts before shorter.
+    """
     found: dict[int, list[tuple[int, int, int]]] = {}
+    parts: dict[int, list[tuple[int, int, int, int]]] = {}
     for item, band, _ in _bands(index, low):
         k, pattern = int(index.edits[item]), index.texts[item]
         first = int(band * index.width[item])
@@ -188,13 +244,17 @@ def _matches(index: Index, low: np.ndarray) -> list[tuple[int, int, int, int]]:
         a, b = max(0, first - k), min(len(low), last + k + len(pattern))
         edits, start, end = _exact(pattern, low[a:b]) or align(pattern, low[a:b], first - k - a, last + k - a)
         if edits <= k:
-            found.setdefault(int(item), []).append((edits, start + a, end + a))
+            whole = index.whole[item]
+            if whole == item:
+                found.setdefault(whole, []).append((edits, start + a, end + a))
+            else:
+                parts.setdefault(whole, []).append((start + a, end + a, index.offset[item], edits))
     out = []
-    for item, spans in found.items():
+    for item in {**found, **parts}:
         taken: list[tuple[int, int, int]] = []
-        for edits, start, end in sorted(spans):
-            if all(end <= s or start >= e for _, s, e in taken):
-                taken.append((edits, start, end))
+        _apart(sorted(found.get(item, [])), taken)
+        rest = [h for h in parts.get(item, []) if all(h[1] <= s or h[0] >= e for _, s, e in taken)]
+        _apart(_passages(index, item, rest, low), taken)
         out += [(index.ids[item], start, end, edits) for edits, start, end in taken]
     return out
 
@@ -241,9 +301,13 @@ def find_benchmark(
     q: int = Q,
     rate: float = RATE,
     block_chars: int = BLOCK_CHARS,
+    window: int | None = None,
 ) -> DataFrame:
     """One row per passage found: the document's id, item_id, start, end (code points), edits.
 
+    With ``window``, passages that hold parts of an item are found too: windows of so many
+    characters within their own budget; edits are then those of the part that is quoted.
+
     Null and empty texts hold nothing.  Items that are null, or shorter than ``q``
     characters, are too little to be told and match nothing; repeated items are
     reported for each id once.  Repeated documents are reported as often as they
@@ -255,13 +319,18 @@ def find_benchmark(
         F.col(item_col).cast("long").alias("item"), F.col(item_text_col).cast("string").alias("text")
     ).filter("item IS NOT NULL AND text IS NOT NULL").distinct()
     items = stored(items, "items")
-    blocks = max(1, -(-(items.agg(F.sum(F.length("text"))).first()[0] or 0) // block_chars))
+    if window is not None and edits_allowed(window, rate, q) < 0:
+        raise ValueError(f"a window of {window} characters holds no {q}-gram")
+    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    if window is not None:
+        chars += chars * -(-window // STEP)  # each character stands in so many windows too
+    blocks = max(1, -(-chars // block_chars))
     rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_scanned"))
     schema = f"`{id_col}` {rows.schema[id_col].dataType.simpleString()}, item_id long, start long, end long, edits long"
     found = []
     for block in range(blocks):
         # Bounded: a block has about ``block_chars`` characters, whatever the benchmark's size.
         own = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).orderBy("item", "text").collect()
-        index = spark.sparkContext.broadcast(Index([tuple(r) for r in own], q, rate))
+        index = spark.sparkContext.broadcast(Index([tuple(r) for r in own], q, rate, window))
         found.append(rows.mapInArrow(_search(index), schema))
     return reduce(DataFrame.union, found)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from txnspark.scratch import materialize
 
 from . import langid
-from .decontaminate import find_benchmark
+from .decontaminate import WINDOW, find_benchmark
 from .minhash import near_duplicates
 from .mixing import mix
 from .secret_scan import redact, scan_secrets
@@ -62,14 +62,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a passage of the benchmark go; a row without an id goes by its text."""
+    """Documents that hold a passage of the benchmark, or a part of one, go; a row without an id goes by its text."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     named, nameless = docs.filter("doc_id IS NOT NULL"), docs.filter("doc_id IS NULL")
-    left = _without(named.select(*COLUMNS), find_benchmark(named, benchmark).select("doc_id"))
+    left = _without(named.select(*COLUMNS), find_benchmark(named, benchmark, window=WINDOW).select("doc_id"))
     if nameless.isEmpty():
         return left.select(*COLUMNS)
     hashed = nameless.select(F.xxhash64("text").alias("doc_id"), "text", "lang", "source", "n_chars")
-    clean = _without(hashed, find_benchmark(hashed, benchmark).select("doc_id"))
+    clean = _without(hashed, find_benchmark(hashed, benchmark, window=WINDOW).select("doc_id"))
     clean = clean.withColumn("doc_id", F.lit(None).cast(docs.schema["doc_id"].dataType))
     return left.select(*COLUMNS).union(clean.select(*COLUMNS))
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import mixing, secret_scan, warc
-from .decontaminate import find_benchmark
+from .decontaminate import WINDOW, find_benchmark
 from .embeddings import link_vectors
 from .langid import identify_held_out
 from .minhash import near_duplicates
@@ -77,8 +77,8 @@ ORACLES["op10_secrets"] = secret_scan.ORACLE
 
 @query
 def op5_decontamination(spark, sf):
-    """Passages of the benchmark in every document."""
-    return find_benchmark(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    """Passages of the benchmark, whole or in part, in every document."""
+    return find_benchmark(table(spark, sf, "documents"), table(spark, sf, "benchmark"), window=WINDOW)
 
 
 @query
