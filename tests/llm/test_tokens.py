@@ -1,6 +1,7 @@
 import random
 
 import pytest
+import sentencepiece
 from tokenizers import Tokenizer, models, pre_tokenizers
 
 from txnspark.llm import tokens as T
@@ -61,3 +62,21 @@ def test_odd_rows(spark):
     assert T.count_tokens(df.limit(0)).collect() == []
     with pytest.raises(ValueError):
         T.Segmenter([(f"a{T.MARK}b", -1.0)], True)
+
+
+def test_runs_of_blanks_against_the_whole_vocabulary(spark):
+    """No pre-tokenizer and every piece of the file, so that pieces of several blanks count."""
+    model = sentencepiece.SentencePieceProcessor(model_file=T.VOCABULARY)
+    own = [k for k in range(model.get_piece_size()) if not (model.is_control(k) or model.is_unknown(k) or model.is_byte(k))]
+    pieces = [(model.id_to_piece(k), model.get_score(k)) for k in own]
+    byte_fallback = any(model.is_byte(k) for k in range(model.get_piece_size()))
+    vocabulary = [("<unk>", 0.0), *pieces, *[(f"<0x{b:02X}>", 0.0) for b in range(256) if byte_fallback]]
+    made, rng = Tokenizer(models.Unigram(vocabulary, 0, byte_fallback)), random.Random(3)
+    every = texts(rng) + ["a" + " " * 8 + "b", " " * 100, "x\n" + " " * 17 + "y", "def f():\n    return  1\n" * 5]
+    every += ["".join(rng.choice(["the", "x", "é漢", "\n", " " * rng.randint(1, 40)]) for _ in range(20)) for _ in range(200)]
+    df = spark.createDataFrame(list(enumerate(every)), "doc_id long, text string")
+    got = {r.doc_id: r.n_tokens for r in T.count_tokens(df, keep=["doc_id"], blank_runs=True).collect()}
+    marked = [t.replace(" ", T.MARK) for t in every]
+    marked = [t if t.startswith(T.MARK) or not t else T.MARK + t for t in marked]
+    assert got == {k: len(made.encode(t, add_special_tokens=False).ids) for k, t in enumerate(marked)}
+    assert got[every.index("a" + " " * 8 + "b")] == 3

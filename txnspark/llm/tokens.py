@@ -1,9 +1,11 @@
 """Token counts by a count-only Viterbi over a unigram vocabulary.
 
 An Aho-Corasick automaton lists the pieces that end at each place of a word; dynamic
-programming carries the best score and, beside it, the number of pieces.  Pieces never
-reach over the mark that stands for a blank, so a text's pieces are those of its words,
-and each distinct word of a batch is worked through once.
+programming carries the best score and, beside it, the number of pieces.  A piece is a
+run of marks, which stand for blanks, or has none but at its start, so no piece reaches
+from a word over the mark behind it: a text's pieces are those of its words, each with the
+marks before it, and each distinct one is worked through once.  Without ``blank_runs``,
+the pieces that are runs of marks are left out and texts are cut at every blank.
 
 Tie rules are the tokenizer's: the places where a piece may start are taken in order and
 a later way must be strictly better, so of equal ways the one with the longest last
@@ -13,6 +15,7 @@ the lowest score less 10; neighbouring unknowns are fused and spelled in bytes.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from functools import lru_cache
 
@@ -32,17 +35,17 @@ UNKNOWN_PENALTY = 10.0
 MEMORY = 1 << 19
 
 
-@lru_cache(maxsize=2)
-def read_vocabulary(path: str) -> tuple[tuple[tuple[str, float], ...], bool]:
+@lru_cache(maxsize=4)
+def read_vocabulary(path: str, blank_runs: bool = False) -> tuple[tuple[tuple[str, float], ...], bool]:
     """Pieces with scores in the order of their ids, and whether unknown characters are spelled in bytes.
 
-    Control, unknown and byte pieces are left out, and so are runs of marks: words are cut at blanks.
+    Control, unknown and byte pieces are left out, and runs of marks unless ``blank_runs``.
     """
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     every = range(model.get_piece_size())
     own = [k for k in every if not (model.is_control(k) or model.is_unknown(k) or model.is_byte(k) or model.is_unused(k))]
     pieces = ((model.id_to_piece(k), model.get_score(k)) for k in own)
-    return tuple(p for p in pieces if MARK not in p[0][1:]), any(model.is_byte(k) for k in every)
+    return tuple(p for p in pieces if blank_runs or MARK not in p[0][1:]), any(model.is_byte(k) for k in every)
 
 
 class Segmenter:
@@ -54,7 +57,7 @@ class Segmenter:
         lowest = 0.0
         self.single = set()
         for piece, score in pieces:
-            if MARK in piece[1:]:
+            if MARK in piece[1:] and piece.strip(MARK):
                 raise ValueError(f"piece {piece!r} reaches over a blank")
             self.automaton.add_word(piece, (len(piece), score))
             lowest = min(lowest, score)
@@ -105,20 +108,33 @@ def split_words(text: str) -> list[str]:
     return [MARK + w for w in marked[1:].split(MARK)]
 
 
-_segmenters: dict[str, Segmenter] = {}
+_UNIT = re.compile(f"{MARK}+[^{MARK}]*")
 
 
-def _tokens(path: str):
+def split_units(text: str) -> list[str]:
+    """Like :func:`split_words`, but a run of marks stays with the word behind it."""
+    if not text:
+        return []
+    marked = text.replace(" ", MARK)
+    return _UNIT.findall(marked if marked.startswith(MARK) else MARK + marked)
+
+
+_segmenters: dict[tuple[str, bool], Segmenter] = {}
+
+
+def _tokens(path: str, blank_runs: bool):
+    split = split_units if blank_runs else split_words
+
     def run(batches):
-        if path not in _segmenters:
-            _segmenters[path] = Segmenter(*read_vocabulary(path))
-        segmenter = _segmenters[path]
+        if (path, blank_runs) not in _segmenters:
+            _segmenters[path, blank_runs] = Segmenter(*read_vocabulary(path, blank_runs))
+        segmenter = _segmenters[path, blank_runs]
         memory, slow = segmenter.memory, segmenter.count
         for batch in batches:
             counts, scores = [], []
             for text in batch.column(batch.num_columns - 1).to_pylist():
                 pieces, total = 0, 0.0
-                for word in split_words(text or ""):
+                for word in split(text or ""):
                     n, s = memory.get(word) or slow(word)
                     pieces += n
                     total += s
@@ -133,16 +149,22 @@ def _tokens(path: str):
 
 
 def count_tokens(
-    docs: DataFrame, *, text_col: str = "text", keep: list[str] | None = None, vocabulary: str = VOCABULARY
+    docs: DataFrame,
+    *,
+    text_col: str = "text",
+    keep: list[str] | None = None,
+    vocabulary: str = VOCABULARY,
+    blank_runs: bool = False,
 ) -> DataFrame:
     """Columns ``keep`` (all by default) with n_tokens and log_score, the score of the segmentation.
 
     Null and empty texts have no token.  Special tokens are not added, and their names
-    in a text are ordinary text.  Columns of ``docs`` named like a result are replaced.
+    in a text are ordinary text.  With ``blank_runs`` the whole vocabulary is used, as by a
+    tokenizer that does not cut texts at blanks.  Columns of ``docs`` named like a result are replaced.
     """
     small_batches(docs.sparkSession)
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("n_tokens", "log_score")]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
     schema += ", " * bool(schema) + "n_tokens long, log_score double"
     chosen = docs.select(*keep, F.col(text_col).cast("string").alias("_counted_text"))
-    return chosen.mapInArrow(_tokens(vocabulary), schema)
+    return chosen.mapInArrow(_tokens(vocabulary, blank_runs), schema)
