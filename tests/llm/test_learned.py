@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from txnspark.llm import langid
 from txnspark.llm.chars import texts_of
 from txnspark.llm.langid import identify_held_out
-from txnspark.llm.quality import score_quality
+from txnspark.llm.quality import sample, score_quality
 from txnspark.llm.toxicity import _grams, score_toxicity
 
 LANGUAGES = {"aa": "th er on an re he in ed", "bb": "ñ ción os que la de ó rr", "cc": "sch ung ein ich ä ß pf zu"}
@@ -134,3 +134,25 @@ def test_words_of_any_script_and_length_are_told_apart():
         grams, cut, words = _grams(points, bounds)
     assert list(words) == [1, 1, 1, 1, 2, 2, 1, 1, 1, 0, 0]
     assert len({grams[-1][b - 1] for a, b in zip(cut[:-1], cut[1:]) if b > a}) == 9
+
+
+def test_quality_sample_is_whole_at_any_skew(spark):
+    """Rows of one id, null ids and copies of one row fill the sample up to its bound."""
+    for doc_id in (1, None):
+        rows = spark.createDataFrame([(doc_id, f"text number {k}") for k in range(500)], "doc_id long, text string")
+        assert [sample(rows, n).count() for n in (0, 1, 100, 500, 600)] == [0, 1, 100, 500, 500]
+        few = {tuple(r) for r in sample(rows, 100).collect()}
+        assert {tuple(r) for r in sample(rows.repartition(5), 100).collect()} == few
+    copies = spark.createDataFrame([(1, "one text")] * 900 + [(k, "another") for k in range(90)], "doc_id long, text string")
+    assert [sample(copies, n).count() for n in (50, 200, 950, 990)] == [50, 200, 950, 990]
+
+
+def test_quality_of_rows_under_one_id(spark):
+    """All rows share an id, and there are more of them than the fit takes."""
+    rng = random.Random(6)
+    texts = [prose(rng, "aa") if k % 2 else prose(rng, "aa").upper().replace(" ", "!! ") for k in range(200)]
+    one = next(k for k in range(100) if fold(k, 4) != 2)
+    docs = spark.createDataFrame([(one, t) for t in texts], "doc_id long, text string")
+    labels = spark.createDataFrame([(one, 1)], "doc_id long, quality int")
+    got = score_quality(docs, labels, positives=50, unlabelled=80).collect()
+    assert len({round(r.score, 6) for r in got}) > 2

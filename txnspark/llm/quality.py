@@ -6,8 +6,8 @@ rows fall where positives do.  A linear model over style features is trained to
 least non-negative unbiased risk: the unlabelled risk less the positives' part of it,
 which is never allowed below zero.
 
-The fit uses at most ``POSITIVES`` and ``UNLABELLED`` rows, picked by a hash of their id;
-every row is scored.
+The fit uses ``POSITIVES`` and ``UNLABELLED`` rows, or all where there are fewer, picked by
+a hash of their id and text; every row is scored.
 """
 
 from __future__ import annotations
@@ -23,8 +23,6 @@ from .toxicity import BROADCAST_LABELS
 
 POSITIVES, UNLABELLED = 20_000, 40_000
 THRESHOLD = 0.7
-#: Slots of the hash by which rows are picked.
-_SLOTS = 1 << 16
 _STEPS, _RATE, _DECAY = 600, 0.05, 1e-4
 
 #: Byte classes: other, lower, upper, digit, blank, line end, sentence mark, quote or dash, symbol, above ASCII.
@@ -84,6 +82,24 @@ def _featured(batches):
         )
 
 
+def sample(rows: DataFrame, n: int) -> DataFrame:
+    """(hash, x) of the ``n`` rows of (doc_id, text) with the least hashes, or of all where there are fewer.
+
+    A threshold on the hash leaves a few more than ``n``; it rises while many rows share
+    hashes above it.  Rows that share one are copies of each other.
+    """
+    rows = rows.select(F.xxhash64(F.lit("sample"), "doc_id", "text").alias("hash"), "text")
+    total = rows.count()
+    share = min(1.0, (n + 6 * n**0.5 + 100) / max(total, 1))
+    chosen = rows
+    while share < 1:
+        chosen = rows.filter(F.col("hash") < int(share * 2**64) - 2**63)
+        if chosen.count() >= n:
+            break
+        share, chosen = share * 4, rows
+    return chosen.mapInArrow(_featured, "hash long, x binary").orderBy("hash", "x").limit(n)
+
+
 def _matrix(rows: DataFrame) -> np.ndarray:
     got = rows.toArrow()["x"].to_pylist()
     return np.frombuffer(b"".join(got), dtype="<f8").reshape(-1, FEATURES)
@@ -178,18 +194,10 @@ def score_quality(
         good = F.broadcast(good)
     learn = rows.filter("NOT held_out").select("doc_id", "text")
 
-    slot = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(_SLOTS))
-
-    def sample(df, n):
-        """Features of the rows in the first slots, as many slots as hold at most ``n`` rows."""
-        sizes = np.zeros(_SLOTS, dtype=np.int64)
-        for at, count in df.groupBy(slot.alias("slot")).count().collect():
-            sizes[at] = count
-        slots = int(np.searchsorted(np.cumsum(sizes), n, side="right"))
-        return _matrix(df.filter(slot < slots).select("text").mapInArrow(_featured, "x binary"))
-
     model = docs.sparkSession.sparkContext.broadcast(
-        fit(sample(learn.join(good, "doc_id", "left_semi"), positives), sample(learn, unlabelled))
+        fit(
+            _matrix(sample(learn.join(good, "doc_id", "left_semi"), positives)), _matrix(sample(learn, unlabelled))
+        )
     )
     id_type = rows.schema["doc_id"].dataType.simpleString()
     scored = rows.mapInArrow(_score(model), f"doc_id {id_type}, held_out boolean, score double")
