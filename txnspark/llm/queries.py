@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, secret_scan, warc
+from . import mixing, secret_scan, shards, warc
 from .decontaminate import WINDOW, find_benchmark
 from .embeddings import link_vectors
 from .langid import identify_held_out
@@ -15,6 +15,7 @@ from .minhash import near_duplicates
 from .mixing import mix
 from .quality import score_quality
 from .secret_scan import report, scan_secrets
+from .shards import shard_documents
 from .tokens import count_tokens
 from .toxicity import score_toxicity
 from .warc import archive_round_trip
@@ -97,3 +98,16 @@ def op8_quality(spark, sf):
 def op4_embedding_near_dedup(spark, sf):
     """Links between embeddings of one label by collision counting."""
     return link_vectors(table(spark, sf, "embeddings"))
+
+
+@query
+def op12_sharding(spark, sf):
+    """Documents in shards of near equal bytes, by virtual slots."""
+    sharded = shard_documents(table(spark, sf, "documents"), keep=["doc_id"]).drop("virtual_slot")
+    return sharded.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+ORACLES["op12_sharding"] = shards.ORACLE
