@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, secret_scan, shards, warc
+from . import mixing, phrases, prefix_trie, secret_scan, shards, warc
 from .decontaminate import WINDOW, find_benchmark
 from .embeddings import link_vectors
 from .langid import identify_held_out
 from .minhash import near_duplicates
 from .mixing import mix
+from .phrases import collocations
+from .prefix_trie import rebuilt_trie
 from .quality import score_quality
 from .secret_scan import report, scan_secrets
 from .shards import shard_documents
@@ -111,3 +113,21 @@ def op12_sharding(spark, sf):
 
 
 ORACLES["op12_sharding"] = shards.ORACLE
+
+
+@query
+def op11_prefix_trie(spark, sf):
+    """Shared beginnings of all conversations, by hashed blocks of turns."""
+    return rebuilt_trie(table(spark, sf, "conversations"))
+
+
+ORACLES["op11_prefix_trie"] = prefix_trie.ORACLE
+
+
+@query
+def op13_collocations(spark, sf):
+    """Phrases of two or three words that go together, by language."""
+    return collocations(table(spark, sf, "documents"))
+
+
+ORACLES["op13_collocations"] = phrases.ORACLE
