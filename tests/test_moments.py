@@ -1,0 +1,91 @@
+"""Correlations of many columns from one scan."""
+
+from __future__ import annotations
+
+import re
+
+import numpy as np
+import pandas as pd
+import pytest
+
+from txnspark.operators import moments, profile
+
+
+@pytest.fixture(scope="module")
+def pdf():
+    rng = np.random.default_rng(5)
+    n = 700
+    out = pd.DataFrame({f"c{k}": rng.normal(k, 10.0 ** (k % 5), n) for k in range(9)})
+    out["c1"] = out["c0"] * 3 + 1e9  # a large mean
+    out["c2"] = rng.integers(0, 3, n).astype(float)
+    out["same"] = 7.5
+    out["none"] = np.nan
+    out["gaps"] = np.where(rng.random(n) < 0.6, np.nan, out["c0"] + rng.normal(size=n))
+    # Varies as a whole, yet has one value wherever ``gaps`` has any.
+    out["hidden"] = np.where(out["gaps"].isna(), rng.normal(size=n), 0.1)
+    out["y"] = (out["c0"] + rng.normal(size=n) > 0).astype(float)
+    return out
+
+
+@pytest.fixture(scope="module")
+def df(spark, pdf):
+    return spark.createDataFrame(pdf).repartition(7)
+
+
+def same(got, want):
+    return got is None if np.isnan(want) else got is not None and abs(got - want) < 1e-9 and -1 <= got <= 1
+
+
+@pytest.mark.parametrize("limit", [moments.MATRIX_BYTES, 160 * 20])
+def test_matrix_of_many_columns(df, pdf, limit, monkeypatch):
+    monkeypatch.setitem(moments.co_moments.__kwdefaults__, "matrix_bytes", limit)
+    got = {(r["i"], r["j"]): r["r"] for r in profile.corr_matrix(df, list(pdf.columns)).collect()}
+    assert len(got) == len(pdf.columns) ** 2
+    for a in pdf.columns:
+        for b in pdf.columns:
+            both = pdf[[a, b]].dropna() if a != b else pdf[[a]].dropna()
+            constant = len(both) == 0 or (both.nunique() < 2).any()
+            want = np.nan if constant else 1.0 if a == b else np.corrcoef(both[a], both[b])[0, 1]
+            assert same(got[a, b], want), (a, b, got[a, b], want)
+    assert got["hidden", "gaps"] is None and got["hidden", "c0"] is not None
+
+
+def test_wide_frame_with_label_is_one_scan(spark, tmp_path):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(300, 434))
+    x[rng.random(x.shape) < 0.2] = np.nan
+    wide = pd.DataFrame(x, columns=[f"V{k}" for k in range(434)])
+    wide["y"] = (rng.random(300) < 0.3).astype(int)
+    spark.createDataFrame(wide).write.parquet(f"{tmp_path}/wide")
+    stored = spark.read.parquet(f"{tmp_path}/wide")
+    reads = []
+    real = moments.materialize
+    moments.materialize = lambda d, label: reads.append(d._jdf.queryExecution().executedPlan().toString()) or real(d, label)
+    try:
+        found = profile.corr_with_label(stored, "y").collect()
+    finally:
+        moments.materialize = real
+    assert len(reads) == 1 and len(re.findall(r"FileScan parquet", reads[0])) == 1
+    want = wide.corr()["y"]
+    assert len(found) == 434 and all(same(r["r"], want[r["column"]]) for r in found)
+    assert [r["abs_r"] for r in found] == sorted((r["abs_r"] for r in found), reverse=True)
+
+
+def test_odd_values_and_no_rows(spark, df, pdf):
+    odd = df.withColumn("c0", profile.F.expr("CASE WHEN c2 = 1 THEN double('Infinity') WHEN c2 = 2 THEN double('NaN') ELSE c0 END"))
+    names = [c for c in pdf.columns if c not in ("none",)]
+    got = {(r["i"], r["j"]): r["r"] for r in profile.corr_matrix(odd, names).collect()}
+    own = pdf[pdf["c2"] == 0]
+    assert same(got["c0", "c3"], np.corrcoef(own["c0"], own["c3"])[0, 1])
+    assert got["c0", "c2"] is None
+    empty = profile.corr_matrix(df.limit(0), names).collect()
+    assert len(empty) == len(names) ** 2 and all(r["r"] is None for r in empty)
+
+
+def test_large_and_small_paths_agree(df, pdf):
+    names = ["c0", "c1", "c4", "gaps", "hidden", "same"]
+    small = {(r["i"], r["j"]): r["r"] for r in profile.corr_matrix(df, names).collect()}
+    large = {(r["i"], r["j"]): r["r"] for r in profile._many_correlations(df, names, names).collect()}
+    assert set(small) == set(large)
+    # The aggregate adds up single rows, so it is the less exact one for a mean of 1e9.
+    assert all((a is None and b is None) or abs(a - b) < 1e-6 for a, b in ((small[k], large[k]) for k in small))

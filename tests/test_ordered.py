@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import itertools
+import math
 import random
+import re
+import struct
 from datetime import date
 from decimal import Decimal
 
@@ -11,6 +14,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from txnspark.operators import ordered
 from txnspark.operators.ordered import (
     at_or_before,
     cut_by_rank,
@@ -176,3 +180,58 @@ def test_ranks_beyond_one_task(spark, kind, values):
         assert cut.key[1] == row.id
         assert cut.key[0] == row.v or (row.v != row.v and cut.key[0] != cut.key[0])
         assert df.filter(at_or_before(["v", "id"], cut)).count() == rank
+
+
+@pytest.mark.parametrize("most", [None, 3])
+def test_quantiles_of_odd_values(spark, most, monkeypatch):
+    """Outliers, infinities, tiny and equal values, null groups; also when the driver gives up on groups."""
+    if most is not None:
+        monkeypatch.setattr(ordered, "_RANGES", most)
+        monkeypatch.setattr(ordered, "_BINS_COLLECTED", 64)
+    rng = np.random.default_rng(7)
+    data = {
+        "wide": [*(10.0 ** rng.uniform(-300, 300, 200)), *(-(10.0 ** rng.uniform(-300, 300, 150)))],
+        "near": list(1e15 + rng.integers(0, 4000, 300) / 8),
+        "tiny": [5e-324 * k for k in range(40)] + [-0.0, 0.0],
+        "same": [3.25] * 50,
+        "ends": [float("inf"), float("-inf"), 1.7976931348623157e308, -1.7976931348623157e308, 0.0, 1.0, 2.0],
+        None: list(rng.normal(size=99)),
+        "one": [4.5],
+    }
+    rows = [(g, float(v)) for g, vs in data.items() for v in vs] + [("lost", None), ("same", float("nan"))]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    probs = [0.0, 0.5, 1.0, 0.25, 1 / 3]
+    got = {r["g"]: list(r)[1:] for r in quantiles(df, "v", probs, group=["g"]).collect()}
+    assert set(got) == set(data)
+    for g, vs in data.items():
+        vs = sorted(vs)
+        for p, q in zip(probs, got[g]):
+            at = (len(vs) - 1) * p
+            lo, hi = vs[int(np.floor(at))], vs[int(np.ceil(at))]
+            want = lo + (hi - lo) * (at - np.floor(at)) if lo != hi else lo
+            assert q == want or (np.isnan(q) and np.isnan(want)), (g, p)
+
+
+def test_quantiles_shuffle_no_values(spark, monkeypatch):
+    """Every shuffle is keyed by group and bin; none carries the values."""
+    plans = []
+    real = ordered._bins
+    monkeypatch.setattr(ordered, "_bins", lambda d, k: plans.append(real(d, k)) or plans[-1])
+    df = spark.range(20_000).selectExpr("id % 3 AS g", "CAST((id * 7919) % 20011 AS DOUBLE) / 7 AS v")
+    assert quantiles(df, "v", [0.1, 0.5], group=["g"]).count() == 3
+    assert 2 <= len(plans) <= 5
+    for plan in plans:
+        keys = re.findall(r"hashpartitioning\(([^)]*)\)", plan._jdf.queryExecution().executedPlan().toString())
+        assert keys and all("_v" not in k and "_x" not in k for k in keys)
+
+
+def test_doubles_as_numbers(spark):
+    rng = random.Random(2)
+    values = [struct.unpack("<d", rng.randbytes(8))[0] for _ in range(3_000)] + [2.0**k for k in range(-1074, 1024)]
+    values += [x for k in range(-1070, 1024, 13) for x in (math.nextafter(2.0**k, 0), math.nextafter(2.0**k, math.inf))]
+    values += [0.0, -0.0, math.inf, -math.inf, math.nan, 5e-324, -5e-324, 1.7976931348623157e308]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    number = ordered._as_number(df, "x")
+    for v, n in df.select("x", number.alias("n")).collect():
+        bits = struct.unpack("<q", struct.pack("<d", abs(v)))[0]
+        assert n == (0x7FF0000000000001 if math.isnan(v) else bits if v >= 0 else -bits), v

@@ -10,7 +10,8 @@ Everything here is built from two pieces that avoid both:
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import math
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -26,6 +27,10 @@ TOP_ROWS = 100_000
 _BUCKETS = 4096
 # Rows of a chunk of a range-partitioned frame.
 CHUNK_ROWS = 2_000_000
+# Half octaves on either side of 1 that doubles reach; bins of a pass, and ranges refined in one, on the driver.
+_OCTAVES = 2200.0
+_BINS_COLLECTED = 65_536
+_RANGES = 128
 
 
 def running_totals(
@@ -113,19 +118,124 @@ def quantiles(
 ) -> DataFrame:
     """Quantiles with linear interpolation: one row per group, columns ``q0 .. qn``.
 
-    Exact by default.  Equal values are counted first, with a map-side combine, so
-    neither a frequent value nor a large group ends up in one task; the two values
-    around each quantile are then picked by their cumulative count.  ``accuracy``
-    switches to the one-pass sketch.  NULL and NaN are ignored.
+    Exact by default, by :func:`values_at_ranks`.  ``accuracy`` switches to the one-pass
+    sketch.  NULL and NaN are ignored; a frame without values has one row of NULLs if it
+    is not grouped, and no rows otherwise.
     """
     group = list(group)
     value = F.col(column).cast("double")
-    values = df.select(*group, value.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    values = df.select(*[F.col(g) for g in group], (value + F.lit(0.0)).alias("_v"))  # -0.0 equals 0.0
+    values = values.filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
     if accuracy is not None:
         sketch = values.groupBy(*group).agg(
             F.percentile_approx("_v", [float(p) for p in probs], accuracy).alias("_q")
         )
         return sketch.select(*group, *[F.col("_q")[i].alias(f"q{i}") for i in range(len(probs))])
+    values, _ = materialize(values, "values")
+
+    def ranks(rows: int) -> set[int]:
+        places = [(rows - 1) * float(p) for p in probs]
+        return {end(x) for x in places for end in (math.floor, math.ceil)}
+
+    found = values_at_ranks(values, "_v", ranks, group)
+    if found is None:
+        return _quantiles_by_value(values, probs, group, one_task_rows)
+    rows = []
+    for key, (size, at) in found.items():
+        out = []
+        for p in probs:
+            place = (size - 1) * float(p)
+            low, high = at[math.floor(place)], at[math.ceil(place)]
+            out.append(low if low == high else low + (high - low) * (place - math.floor(place)))
+        rows.append((*key, *out))
+    if not rows and not group:
+        rows = [(None,) * len(probs)]
+    fields = [T.StructField(g, values.schema[g].dataType) for g in group]
+    fields += [T.StructField(f"q{i}", T.DoubleType()) for i in range(len(probs))]
+    return df.sparkSession.createDataFrame(rows, T.StructType(fields))
+
+
+@dataclass
+class _Range:
+    """Values of one group between two of them, and the ranks that are still sought there."""
+
+    key: tuple
+    lo: float
+    hi: float
+    before: int  # rows of the group below
+    ranks: set[int]
+
+
+def values_at_ranks(
+    values: DataFrame, name: str, ranks: Callable[[int], set[int]], group: Sequence[str] = ()
+) -> dict[tuple, tuple[int, dict[int, float]]] | None:
+    """Per group its number of rows and the values at ``ranks(rows)``, counted from 0; None for too many groups.
+
+    A histogram per group is refined until every rank has a bin of one value.  The first
+    pass bins by sign and half octave, so that no outlier spoils it; each further pass cuts
+    the bins that hold ranks, of all groups at once, into equal parts.  Bins go by rounded
+    arithmetic that never falls where its argument rises, so the result is exact.  Tasks add
+    up whole bins, which is all that is shuffled: no key is a value, a frequent value is one
+    count, and a large group is as many rows as it has bins.  ``values`` is read several
+    times, so it should be stored; the column holds no NULLs, NaNs or negative zeros.
+    """
+    v, group = F.col(name), list(group)
+    octave = F.least(F.coalesce(F.floor(F.log2(F.abs(v)) * 2).cast("double"), F.lit(-_OCTAVES)), F.lit(_OCTAVES))
+    size = octave + 2 * _OCTAVES
+    first = F.when(v < 0, -size).when(v > 0, size).otherwise(0.0)
+    counted = _bins(values.select(*group, first.alias("_b"), v.alias("_x")), group)
+    rows = counted.limit(_BINS_COLLECTED + 1).collect()
+    if len(rows) > _BINS_COLLECTED:
+        return None
+    held: dict[tuple, list] = {}
+    for row in rows:
+        held.setdefault(tuple(row[g] for g in group), []).append(row)
+    out, ranges = {}, []
+    for key, own in held.items():
+        n = sum(r["n"] for r in own)
+        out[key] = (n, {})
+        ranges += _settle(own, _Range(key, 0.0, 0.0, 0, ranks(n)), out[key][1])
+    while ranges:
+        if len(ranges) > _RANGES:
+            return None
+        parts = max(64, _BINS_COLLECTED // len(ranges))
+        number = F.lit(None).cast("int")
+        for k, r in reversed(list(enumerate(ranges))):
+            inside = v.between(F.lit(r.lo), F.lit(r.hi))
+            for g, value in zip(group, r.key):
+                inside = F.col(g).eqNullSafe(F.lit(value)) & inside
+            number = F.when(inside, k).otherwise(number)
+        lows, highs = (F.array(*[F.lit(x) for x in xs]) for xs in ([r.lo for r in ranges], [r.hi for r in ranges]))
+        low = F.get(lows, "_k")
+        part = F.floor((F.col("_x") - low) / (F.get(highs, "_k") - low) * parts)
+        cut = values.select(number.alias("_k"), v.alias("_x")).filter("_k IS NOT NULL").select("_k", part.alias("_b"), "_x")
+        rows = _bins(cut, ["_k"]).collect()
+        narrowed = []
+        for k, r in enumerate(ranges):
+            narrowed += _settle([x for x in rows if x["_k"] == k], r, out[r.key][1])
+        ranges = narrowed
+    return out
+
+
+def _bins(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return rows.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"), F.max("_x").alias("hi"))
+
+
+def _settle(bins: list, parent: _Range, found: dict[int, float]) -> list[_Range]:
+    """The bins that still hold ranks; ranks in bins of one value are ``found``."""
+    out, before = [], parent.before
+    for row in sorted(bins, key=lambda r: r["_b"]):
+        own = {r for r in parent.ranks if before <= r < before + row["n"]}
+        if own and row["lo"] == row["hi"]:
+            found.update(dict.fromkeys(own, row["lo"]))
+        elif own:
+            out.append(_Range(parent.key, row["lo"], row["hi"], before, own))
+        before += row["n"]
+    return out
+
+
+def _quantiles_by_value(values: DataFrame, probs: Sequence[float], group: list[str], one_task_rows: int) -> DataFrame:
+    """Quantiles of more groups than the driver can follow: equal values are counted, then summed up in order."""
     counted = values.groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("_n"))
     ranked = running_totals(
         counted,
@@ -143,7 +253,7 @@ def quantiles(
             here = f"_upto > {end}({place}) AND _upto - _n <= {end}({place})"
             picked.append(f"max(CASE WHEN {here} THEN _v END) AS _{end}{i}")
         picked.append(f"max({place} - floor({place})) AS _f{i}")
-        out.append(f"_floor{i} + (_ceil{i} - _floor{i}) * _f{i} AS q{i}")
+        out.append(f"if(_floor{i} = _ceil{i}, _floor{i}, _floor{i} + (_ceil{i} - _floor{i}) * _f{i}) AS q{i}")
     return ranked.groupBy(*group).agg(*[F.expr(e) for e in picked]).selectExpr(*[f"`{c}`" for c in group], *out)
 
 
@@ -173,14 +283,29 @@ def _as_number(df: DataFrame, name: str) -> Column | None:
     if isinstance(kind, T.IntegralType):
         return column.cast("long")
     if isinstance(kind, (T.DoubleType, T.FloatType)):
-        plain = F.coalesce(column.cast("double"), F.lit(0.0)) + F.lit(0.0)  # -0.0 equals 0.0; NULLs are left out by callers
-        bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), plain).cast("long")
-        return F.when(bits >= 0, bits).otherwise(bits.bitwiseXOR(F.lit((1 << 63) - 1)))
+        return _double_as_number(F.coalesce(column.cast("double"), F.lit(0.0)))  # NULLs are left out by callers
     if isinstance(kind, T.DecimalType) and kind.precision <= 18:
         return (column * F.lit(10**kind.scale).cast("decimal(19,0)")).cast("long")
     return None
 
 
+def _double_as_number(x: Column) -> Column:
+    """Sign and bit pattern of the magnitude, put together from exponent and fraction; NaN is last.
+
+    Scaling by a power of two is exact, and a logarithm that is off by one place is put right
+    by comparing with the powers next to it.
+    """
+    size = F.abs(x)
+    guess = F.least(F.greatest(F.floor(F.log2(size)).cast("double"), F.lit(-1022.0)), F.lit(1024.0))
+    power = F.pow(F.lit(2.0), guess)
+    exponent = F.when(size / 2 >= power, guess + 1).when((size < power) & (guess > -1022), guess - 1).otherwise(guess)
+    fraction = size / F.pow(F.lit(2.0), exponent)
+    bits = (exponent + 1022).cast("long") * F.lit(1 << 52) + (fraction * float(1 << 52)).cast("long")
+    infinite = F.lit(0x7FF << 52)
+    signed = F.when(size == float("inf"), infinite).when(size > 0, bits).otherwise(F.lit(0))
+    return F.when(F.isnan(x), infinite + 1).when(x < 0, -signed).otherwise(signed)
+
+
 def keys_at_ranks(
     df: DataFrame,
     keys: Sequence[str],

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from txnspark.functions.columns import event_day, is_missing
 from txnspark.functions.groups import column_groups, group_of
+from txnspark.operators.moments import co_moments
 from txnspark.operators.ordered import first_rows, quantiles
 from txnspark.scratch import broadcast_if_small, materialize
 
@@ -48,19 +49,16 @@ def _value(df: DataFrame, name: str) -> str:
 
 
 def _per_column(df: DataFrame, names: Sequence[str], measures: Callable[[str], str]) -> DataFrame:
-    """One row per column from one aggregation per batch of columns.
+    """One row per column from one aggregation, and so one scan, of all columns.
 
-    ``measures(name)`` is the SQL list of a column's aggregates.  Several batches read
-    the columns from a stored copy, so that a join below ``df`` runs once.
+    ``measures(name)`` is the SQL list of a column's aggregates.
     """
-    out = None
-    if len(names) > _BATCH:
-        df, _ = materialize(df.select(*[F.col(_quoted(n)) for n in dict.fromkeys(names)]), "wide")
-    for batch in _batches(names):
+    batches = []
+    for k, batch in enumerate(_batches(names)):
         rows = ", ".join(f"struct({_text(n)} AS column, {measures(n)})" for n in batch)
-        part = df.agg(F.expr(f"array({rows})").alias("_rows")).select(F.inline("_rows"))
-        out = part if out is None else out.unionByName(part)
-    return out
+        batches.append(F.expr(f"array({rows})").alias(f"_rows{k}"))
+    # A list per batch keeps the expressions, and the code made of them, small.
+    return df.agg(*batches).select(F.inline(F.flatten(F.array(*[f"_rows{k}" for k in range(len(batches))]))))
 
 
 # ------------------------------------------------------------- missing values
@@ -154,6 +152,34 @@ def target_rate(
     return ranked if top_n is None else ranked.limit(top_n)
 
 
+def target_rates(
+    df: DataFrame, features: Sequence[str], label: str, *, min_count: int = 100, top_n: int | None = 15
+) -> DataFrame:
+    """:func:`target_rate` of many features from one scan: feature, level (as text), count, mean.
+
+    Grouping sets of one feature each; a level that is counted in a task is one row from there on.
+    """
+    place = {c: f"_{k}" for k, c in enumerate(features)}
+    rows = df.select(F.col(label).alias("_y"), *[_clean(df, c).cast("string").alias(p) for c, p in place.items()])
+    sets = [[F.col(p)] for p in place.values()]
+    # One bit per feature, the first the highest; the bit of the feature that a row is of is not set.
+    number = F.grouping_id(*[F.col(p) for p in place.values()]).alias("_set")
+    counted = rows.groupingSets(sets, *[F.col(p) for p in place.values()]).agg(
+        number, F.count("_y").alias("count"), F.avg("_y").alias("mean")
+    )
+    full, every = (1 << len(place)) - 1, list(place.items())
+    feature, level = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for k, (name, column) in enumerate(every):
+        own = F.col("_set") == full - (1 << (len(place) - 1 - k))
+        feature, level = F.when(own, name).otherwise(feature), F.when(own, F.col(column)).otherwise(level)
+    out = counted.select(feature.alias("feature"), level.alias("level"), "count", "mean")
+    out = out.filter(F.col("level").isNotNull() & (F.col("count") >= min_count))
+    if top_n is None:
+        return out
+    ranked = out.withColumn("_r", F.row_number().over(Window.partitionBy("feature").orderBy(F.desc("mean"), "level")))
+    return ranked.filter(F.col("_r") <= top_n).drop("_r")
+
+
 def class_balance(df: DataFrame, label: str) -> DataFrame:
     """Rows and percent per class, and the ratio of the largest class to each."""
     counts = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("count"))
@@ -293,30 +319,42 @@ def value_counts(df: DataFrame, column: str, *, top_n: int | None = 10, drop_mis
 
 
 def _correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """Pearson correlation (i, j, r) of column pairs, each on its complete rows.
+    """Pearson correlation (i, j, r) of a few column pairs, each on its complete rows, in one aggregate.
 
-    One flat aggregate per batch of pairs, read from the columns stored once.  A
-    constant side gives NULL, and rounding never takes r out of [-1, 1].
+    A constant side gives NULL, and rounding never takes r out of [-1, 1].
     """
     names = list(dict.fromkeys(c for pair in pairs for c in pair))
     place = {c: f"_{k}" for k, c in enumerate(names)}
-    numbers = df.selectExpr(*[f"CAST({_value(df, c)} AS DOUBLE) AS {place[c]}" for c in names])
-    if len(pairs) > _PAIRS:
-        numbers, _ = materialize(numbers, "numbers")
-    out = None
-    for first in range(0, len(pairs), _PAIRS):
-        rows = []
-        for a, b in pairs[first : first + _PAIRS]:
-            x, y = place[a], place[b]
-            # Merged deviations of a constant can come out as a tiny number, hence the range test.
-            both = f"{x} IS NOT NULL AND {y} IS NOT NULL"
-            varies = " AND ".join(f"min({v}) FILTER (WHERE {both}) < max({v}) FILTER (WHERE {both})" for v in (x, y))
-            spread = " * ".join(f"stddev_pop({v}) FILTER (WHERE {both})" for v in (x, y))
-            r = f"CASE WHEN {varies} THEN greatest(-1D, least(1D, try_divide(covar_pop({x}, {y}), {spread}))) END"
-            rows.append(f"struct({_text(a)} AS i, {_text(b)} AS j, {r} AS r)")
-        part = numbers.agg(F.expr(f"array({', '.join(rows)})").alias("_rows")).select(F.inline("_rows"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    numbers = df.select(*[_finite(df, c).alias(place[c]) for c in names])
+    rows = []
+    for a, b in pairs:
+        x, y = place[a], place[b]
+        # Merged deviations of a constant can come out as a tiny number, hence the range test.
+        both = f"{x} IS NOT NULL AND {y} IS NOT NULL"
+        varies = " AND ".join(f"min({v}) FILTER (WHERE {both}) < max({v}) FILTER (WHERE {both})" for v in (x, y))
+        spread = " * ".join(f"stddev_pop({v}) FILTER (WHERE {both})" for v in (x, y))
+        r = f"CASE WHEN {varies} THEN greatest(-1D, least(1D, try_divide(covar_pop({x}, {y}), {spread}))) END"
+        rows.append(f"struct({_text(a)} AS i, {_text(b)} AS j, {r} AS r)")
+    return numbers.agg(F.expr(f"array({', '.join(rows)})").alias("_rows")).select(F.inline("_rows"))
+
+
+def _finite(df: DataFrame, name: str) -> Column:
+    """The column as a double, NULL where it is NaN or infinite."""
+    value = F.expr(f"CAST({_value(df, name)} AS DOUBLE)")
+    return F.when(F.abs(value) < float("inf"), value)
+
+
+def _many_correlations(df: DataFrame, left: Sequence[str], right: Sequence[str]) -> DataFrame:
+    """Pearson correlation (i, j, r) of every left with every right column, from one scan."""
+    found = co_moments(df, [_finite(df, c) for c in left], [_finite(df, c) for c in right])
+    ratio = F.try_divide("prod", F.sqrt("sq_x") * F.sqrt("sq_y"))
+    r = F.when(F.col("varies"), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), ratio)))
+    found = found.select(F.col("i").alias("_i"), F.col("j").alias("_j"), r.alias("r"))
+    spark = df.sparkSession
+    every = spark.createDataFrame([(k, c) for k, c in enumerate(left)], "_i int, i string")
+    others = spark.createDataFrame([(k, c) for k, c in enumerate(right)], "_j int, j string")
+    every = every.select("_i", "i", F.explode(F.sequence(F.lit(0), F.lit(len(right) - 1))).alias("_j")).join(others, "_j")
+    return every.join(found, ["_i", "_j"], "left").select("i", "j", "r")
 
 
 def corr_with_label(
@@ -324,13 +362,22 @@ def corr_with_label(
 ) -> DataFrame:
     """Pearson correlation of numeric columns with the label on complete pairs, strongest first."""
     names = list(columns) if columns is not None else _numeric_columns(df, drop=(label,))
-    found = _correlations(df, [(n, label) for n in names]).select(F.col("i").alias("column"), "r")
+    if len(names) <= _PAIRS:
+        found = _correlations(df, [(n, label) for n in names])
+    else:
+        found = _many_correlations(df, names, [label])
+    found = found.select(F.col("i").alias("column"), "r")
     ranked = found.withColumn("abs_r", F.abs("r")).orderBy(F.desc_nulls_last("abs_r"), "column")
     return ranked if top_n is None else ranked.limit(top_n)
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every ordered pair of columns, in long form (i, j, r)."""
+    """Pearson correlation of every ordered pair of columns, in long form (i, j, r).
+
+    One scan: a few pairs are one aggregate, many are matrix products (see :mod:`.moments`).
+    """
+    if len(columns) * (len(columns) + 1) // 2 > _PAIRS:
+        return _many_correlations(df, columns, columns)
     found = _correlations(df, [(a, b) for k, a in enumerate(columns) for b in columns[k:]])
     mirrored = F.expr("IF(i = j, array(struct(i, j)), array(struct(i, j), struct(j AS i, i AS j)))")
     return found.select(F.explode(mirrored).alias("p"), "r").select("p.i", "p.j", "r")

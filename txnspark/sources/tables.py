@@ -20,6 +20,7 @@ from txnspark.schemas import ddl
 
 ROW_LEVEL = ("delta", "iceberg", "hudi")
 _SNAPSHOTS = "_snapshots"
+_NEXT, _PRIOR = "__next", "__prior"
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -27,12 +28,17 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def _details(spark: SparkSession, table: str) -> dict[str, str]:
+def table_details(spark: SparkSession, table: str) -> dict[str, str]:
     """Provider, location and type (managed or external) of a table."""
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name in ('Provider', 'Location', 'Type')").collect()
     return {r["col_name"]: r["data_type"] for r in rows}
 
 
+def _in_catalog(table: str) -> str:
+    """The name without its catalog, as the new name of a renamed table has to be."""
+    return ".".join(table.split(".")[-2:])
+
+
 def _snapshot_root(location: str) -> str:
     """The table's folder for snapshots: its first location with a suffix."""
     return location.rstrip("/").partition(f"{_SNAPSHOTS}/")[0] + _SNAPSHOTS
@@ -48,20 +54,27 @@ def _drop_old_snapshots(spark: SparkSession, root: str, keep: Sequence[str]) ->
             fs.delete(status.getPath(), True)
 
 
-def _delete(spark: SparkSession, folder: str) -> None:
+def delete_folder(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def overwrite_table(df: DataFrame, table: str) -> int:
-    """Replace a table's rows and columns by ``df``; returns the row count of the write."""
+    """Replace a table's rows and columns by ``df``; returns the row count of the write.
+
+    The new rows are written before the old ones go.  A job that died between two renames
+    left the old table under another name, from which the next call takes it back.
+    """
     spark = df.sparkSession
+    if not spark.catalog.tableExists(table) and spark.catalog.tableExists(f"{table}{_PRIOR}"):
+        spark.sql(f"ALTER TABLE {table}{_PRIOR} RENAME TO {_in_catalog(table)}")
+    spark.sql(f"DROP TABLE IF EXISTS {table}{_PRIOR}")
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     if not spark.catalog.tableExists(table):
         counted.write.saveAsTable(table)
         return seen.get["rows"]
-    details = _details(spark, table)
+    details = table_details(spark, table)
     provider = details["Provider"].lower()
     if provider in ROW_LEVEL:
         counted.write.format(provider).mode("overwrite").option("overwriteSchema", True).saveAsTable(table)
@@ -71,13 +84,17 @@ def overwrite_table(df: DataFrame, table: str) -> int:
     old = [(f.name, f.dataType) for f in spark.table(table).schema]
     new = [(f.name, f.dataType) for f in df.schema]
     if new[: len(old)] != old and details["Type"].upper() == "MANAGED":
-        # Other columns need a new table.  The rows may come from the old one, so they are stored first.
-        rows, n = materialize(df, "replaced")
-        spark.sql(f"DROP TABLE {table}")
-        _delete(spark, root)
-        _delete(spark, root.removesuffix(_SNAPSHOTS))
-        rows.write.format(provider).saveAsTable(table)
-        return n
+        # Other columns need a new table, which is written and then takes the old one's name.
+        fresh = f"{table}{_NEXT}"
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        counted.write.format(provider).saveAsTable(fresh)
+        spark.sql(f"ALTER TABLE {table} RENAME TO {_in_catalog(table)}{_PRIOR}")
+        # The renamed table took its files along; what still lies under the name is an older content.
+        delete_folder(spark, root.removesuffix(_SNAPSHOTS))
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {_in_catalog(table)}")
+        spark.sql(f"DROP TABLE {table}{_PRIOR}")
+        delete_folder(spark, root)
+        return seen.get["rows"]
     path = f"{root}/{uuid.uuid4().hex}"
     counted.write.format(provider).save(path)
     if new[: len(old)] == old:
@@ -92,10 +109,29 @@ def overwrite_table(df: DataFrame, table: str) -> int:
     _drop_old_snapshots(spark, root, [path, details["Location"]])
     if details["Type"].upper() == "MANAGED" and details["Location"].startswith(f"{root}/"):
         # The previous content is a snapshot, so the folder that the table began with is of no use.
-        _delete(spark, root.removesuffix(_SNAPSHOTS))
+        delete_folder(spark, root.removesuffix(_SNAPSHOTS))
     return seen.get["rows"]
 
 
+def merge_statement(table: str, view: str, key: str, columns: Sequence[str], *, evolve: bool = False) -> str:
+    """``MERGE`` of a view into a table of a format with row-level operations.
+
+    Matched rows take every listed column but the key, others are added; NULL keys match nothing.
+    """
+
+    def quoted(name: str) -> str:
+        return "`" + name.replace("`", "``") + "`"
+
+    changed = [quoted(c) for c in columns if c != key]
+    every = [quoted(key), *changed]
+    update = f"WHEN MATCHED THEN UPDATE SET {', '.join(f't.{c} = s.{c}' for c in changed)} " if changed else ""
+    return (
+        f"MERGE {'WITH SCHEMA EVOLUTION ' if evolve else ''}INTO {table} AS t USING {quoted(view)} AS s "
+        f"ON t.{quoted(key)} = s.{quoted(key)} {update}"
+        f"WHEN NOT MATCHED THEN INSERT ({', '.join(every)}) VALUES ({', '.join(f's.{c}' for c in every)})"
+    )
+
+
 def upsert_table(
     source: DataFrame,
     table: str,
@@ -123,13 +159,14 @@ def upsert_table(
         copies = duplicate_keys(batch, key).limit(5).collect()
         if copies:
             raise ValueError(f"source has duplicate keys in {key}: {[r[key] for r in copies]}")
-    provider = _details(spark, table)["Provider"].lower()
+    provider = table_details(spark, table)["Provider"].lower()
     if provider in ROW_LEVEL:
-        changed = {c: F.col(f"s.{c}") for c in listed if c != key}
-        merge = batch.alias("s").mergeInto(table, F.expr(f"{table}.{key} = s.{key}"))
-        merge = merge.whenMatched().update(changed)
-        merge = merge.whenNotMatched().insert({key: F.col(f"s.{key}"), **changed})
-        (merge.withSchemaEvolution() if evolve else merge).merge()
+        view = f"upsert_{uuid.uuid4().hex}"
+        batch.createOrReplaceTempView(view)
+        try:
+            spark.sql(merge_statement(table, view, key, listed, evolve=evolve))
+        finally:
+            spark.catalog.dropTempView(view)
         return rows
     overwrite_table(upsert(spark.table(table), batch, key, listed, evolve=evolve), table)
     return rows

@@ -163,6 +163,11 @@ ORACLES |= {
     "conform_identities": f"WITH {MERGED_CTE} {_CLEAN_IDENTITIES}",
     "csv_roundtrip_scan": f"""WITH {RAW_CTE}
         SELECT TransactionID, isFraud, TransactionAmt, TransactionDT, ProductCD, card2, dist1, M1 FROM raw""",
+    "file_inventory_sizes": """SELECT file, TRUE AS "exists", round(sum(bytes) / 1e6, 2) AS size_mb FROM (
+            SELECT CASE o_orderstatus WHEN 'O' THEN 'open' ELSE 'done' END AS file,
+                length(CAST(o_orderkey AS VARCHAR)) + length(CAST(o_custkey AS VARCHAR)) + length(o_orderpriority) + 3 AS bytes
+            FROM orders WHERE o_orderstatus IN ('O', 'F')) GROUP BY file
+        UNION ALL SELECT 'absent', FALSE, NULL""",
     "file_inventory": """
         SELECT 'train_transaction' AS file, TRUE AS "exists", count(*) AS "rows" FROM orders
         UNION ALL SELECT 'test_transaction', FALSE, NULL""",
@@ -187,6 +192,14 @@ ORACLES |= {
         SELECT coalesce(t.o_orderkey, b.o_orderkey) AS o_orderkey, t.o_custkey, t.o_orderstatus,
             CASE WHEN b.o_orderkey IS NOT NULL THEN b.o_totalprice ELSE t.o_totalprice END AS o_totalprice
         FROM target t FULL OUTER JOIN batch b ON t.o_orderkey = b.o_orderkey""",
+    "cli_jobs": f"""WITH {MERGED_CTE}, n AS (SELECT count(*) AS n, count(coalesce(id_30, id_31, DeviceType, DeviceInfo)) AS i FROM merged)
+        SELECT n AS dry_rows, 0 AS dry_merged, n AS rows_read, n AS rows_merged, i AS identities_merged, n AS feature_rows,
+            n AS silver_transactions, n AS promoted, n AS gold_rows, n AS gold_written FROM n""",
+    "upsert_bucketed": """WITH m AS (SELECT max(o_orderkey) AS last FROM orders),
+        b AS (SELECT orders.*, last FROM orders, m WHERE o_orderkey > last - last // 100),
+        r AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey > last - last // 100 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
+              FROM orders, m UNION ALL SELECT o_orderkey + last, NULL, o_totalprice FROM b)
+        SELECT *, (SELECT 2 * count(*) FROM b) AS written FROM r""",
     "overwrite_roundtrip": """SELECT event_id, user_id, event_type, value,
         (SELECT count(*) FROM events) AS written FROM events""",
 }
@@ -400,6 +413,19 @@ ORACLES |= {
     ),
     "hash_sample": """SELECT event_id AS transaction_id, value AS transaction_amt FROM events
         ORDER BY md5('42:' || CAST(event_id AS VARCHAR)), event_id LIMIT 1000""",
+    "type_advice_applied": "WITH " + _LINES + ", k AS (" + " UNION ALL ".join(
+        f"""SELECT {n} AS place, '{c}' AS c, CASE WHEN min({c}) > -128 AND max({c}) < 127 THEN 'tinyint'
+            WHEN min({c}) > -32768 AND max({c}) < 32767 THEN 'smallint'
+            WHEN min({c}) > -2147483648 AND max({c}) < 2147483647 THEN 'int' END AS t, '{t}' AS held FROM l"""
+        for n, (c, t) in enumerate((("l_orderkey", "bigint"), ("l_linenumber", "int"), ("l_suppkey", "bigint")))
+    ) + """) SELECT l_orderkey, l_linenumber, l_suppkey, l_linestatus, strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate,
+        (SELECT string_agg(c || ' ' || t, ', ' ORDER BY place) FROM k WHERE t <> held) AS narrowed FROM l""",
+    "target_rates": "WITH " + _LINES + ", f AS (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS level, y FROM l"
+        for c in ("l_linestatus", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_suppkey")
+    ) + """), g AS (SELECT feature, level, count(y) AS "count", avg(y) AS m FROM f WHERE level IS NOT NULL GROUP BY 1, 2 HAVING count(y) >= 20)
+        SELECT feature, level, "count", round(m, 6) AS mean FROM g
+        QUALIFY row_number() OVER (PARTITION BY feature ORDER BY m DESC, level) <= 10""",
     "type_advisor": "WITH " + _LINES + ", c AS (" + " UNION ALL ".join(
         [
             f"""SELECT '{c}' AS "column", '{t}' AS "current", CAST(min({c}) AS BIGINT) AS lo, CAST(max({c}) AS BIGINT) AS hi, FALSE AS few FROM l"""
@@ -413,6 +439,7 @@ ORACLES |= {
             f"SELECT '{c}', 'string', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), count(DISTINCT {c}) < 0.5 * count(*) FROM l"
             for c in ("l_returnflag", "l_linestatus")
         ]
+        + ["SELECT 'l_shipdate', 'timestamp_ntz', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), FALSE"]
     ) + """) SELECT "column", "current", CASE WHEN few THEN 'dictionary' WHEN "current" = 'double' THEN 'float'
             WHEN "current" = 'string' THEN 'string' WHEN lo > -128 AND hi < 127 THEN 'tinyint'
             WHEN lo > -32768 AND hi < 32767 THEN 'smallint'

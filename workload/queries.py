@@ -21,11 +21,11 @@ from txnspark.operators.rolling import (
     score_requests,
 )
 from txnspark.operators.split import split_report, time_split
-from txnspark.plans import jobs
+from txnspark.plans import cli, jobs
 from txnspark.schemas import TRANSACTIONS, ensure_tables
 from txnspark.scratch import materialize, scratch_path
 from txnspark.settings import Lake
-from txnspark.sources import files, tables
+from txnspark.sources import buckets, files, tables
 from workload.inputs import events, orders, raw, side, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -315,6 +315,19 @@ def file_inventory(spark, sf):
     return found.select("file", "exists", "rows")
 
 
+@query
+def file_inventory_sizes(spark, sf):
+    """Sizes of files whose bytes follow from their rows."""
+    path = scratch_path(spark, "inventory")
+    found = {}
+    for name, status in (("open", "O"), ("done", "F")):
+        rows = table(spark, sf, "orders").filter(F.col("o_orderstatus") == status)
+        found[name] = f"{path}/{name}"
+        rows.select(F.concat_ws("|", "o_orderkey", "o_custkey", "o_orderpriority")).write.text(found[name])
+    sizes = files.file_inventory(spark, {**found, "absent": f"{path}/absent"})
+    return sizes.select("file", "exists", "size_mb")
+
+
 @query
 def csv_compact_scan(spark, sf):
     """Raw rows read back with narrow types."""
@@ -348,6 +361,25 @@ def ingest_silver_transactions(spark, sf):
     return out.withColumn("transaction_at", F.date_format("transaction_at", "yyyy-MM-dd HH:mm:ss"))
 
 
+@query
+def cli_jobs(spark, sf):
+    """Counters of the command line's jobs, run one after the other on fresh schemas."""
+    folder, lake = scratch_path(spark, "raw"), _lake(spark)
+    raw(spark, sf).write.option("header", True).csv(f"{folder}/train_transaction.csv")
+    side(spark, sf).write.option("header", True).csv(f"{folder}/train_identity.csv")
+    names = ["--catalog", lake.catalog, "--schema-silver", lake.silver]
+    bronze = [*names, "--schema-bronze", lake.bronze]
+    dry = cli.run(spark, ["ingest", *bronze, "--data-dir", folder, "--dry-run"])
+    done = cli.run(spark, ["ingest", *bronze, "--data-dir", folder])
+    again = cli.run(spark, ["promote", *bronze])
+    gold = cli.run(spark, ["features", *names, "--schema-gold", lake.gold, "--limit", "-1"])
+    told = {"dry_rows": dry["rows_read"], "dry_merged": dry["rows_merged"], "rows_read": done["rows_read"]}
+    told |= {k: done[k] for k in ("rows_merged", "identities_merged", "feature_rows", "silver_transactions")}
+    told |= {"promoted": again["transactions_written"], "gold_rows": gold["rows"]}
+    written = spark.table(lake.table("gold", "behavioral_features")).agg(F.count(F.lit(1)).alias("gold_written"))
+    return written.select(*[F.lit(v).cast("long").alias(k) for k, v in told.items()], "gold_written")
+
+
 @query
 def ingest_wide_features(spark, sf):
     """First load of the wide table by appending, then a batch with changed and new keys."""
@@ -417,6 +449,19 @@ def upsert_partial_columns(spark, sf):
     return joins.upsert(target, batch, "o_orderkey", ["o_orderkey", "o_totalprice"])
 
 
+@query
+def upsert_bucketed(spark, sf):
+    """A hundredth of the keys changed and as many added, in a table cut into ranges of keys."""
+    name, rows = f"txnspark_b_{uuid.uuid4().hex}", table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    last = rows.agg(F.max("o_orderkey")).first()[0]
+    buckets.create_bucketed(rows, name, buckets.Buckets("o_orderkey", width=max(1, last // 64)))
+    batch = rows.filter(F.col("o_orderkey") > last - last // 100)
+    changed = batch.withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    added = batch.withColumn("o_orderkey", F.col("o_orderkey") + last)
+    written = buckets.upsert_bucketed(changed.unionByName(added), name, ["o_orderkey", "o_totalprice"])
+    return buckets.read_bucketed(spark, name).withColumn("written", F.lit(written).cast("long"))
+
+
 @query
 def overwrite_roundtrip(spark, sf):
     """A table overwritten twice, the second time from its own rows."""
@@ -561,6 +606,14 @@ def target_rate_by_category(spark, sf):
     return rounded(profile.target_rate(rows, "l_quantity", "y", min_count=100, top_n=15), "mean")
 
 
+@query
+def target_rates(spark, sf):
+    """Label rate per level of six features, from one scan."""
+    rows = table(spark, sf, "lineitem").withColumn("y", (F.col("l_returnflag") == "R").cast("int"))
+    names = ["l_linestatus", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_suppkey"]
+    return rounded(profile.target_rates(rows, names, "y", min_count=20, top_n=10), "mean")
+
+
 @query
 def class_balance(spark, sf):
     return rounded(profile.class_balance(table(spark, sf, "lineitem"), "l_returnflag"), "percent", "majority_ratio")
@@ -697,7 +750,20 @@ def hash_sample(spark, sf):
 
 @query
 def type_advisor(spark, sf):
-    return profile.type_advice(table(spark, sf, "lineitem").drop("l_shipdate"))
+    return profile.type_advice(table(spark, sf, "lineitem"))
+
+
+@query
+def type_advice_applied(spark, sf):
+    """Lines in the advised types, and what these are."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_linestatus", "l_shipdate")
+    narrow = profile.apply_types(lines, profile.type_advice(lines))
+    kinds = ", ".join(f"{c} {t}" for c, t in narrow.dtypes if t != dict(lines.dtypes)[c])
+    return narrow.select(
+        *[F.col(c).cast(t).alias(c) for c, t in lines.dtypes if c != "l_shipdate"],
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("l_shipdate"),
+        F.lit(kinds).alias("narrowed"),
+    )
 
 
 # ------------------------------------------------------- metrics and modelling
