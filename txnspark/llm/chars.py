@@ -61,13 +61,13 @@ def word_kinds() -> np.ndarray:
     return out
 
 
-def texts_of(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Pieces (first row, code points, bounds): each text stands between two zeros."""
+def texts_of(column: pa.Array, piece: int = PIECE) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Pieces (first row, code points, bounds) of about ``piece`` code points: each text stands between two zeros."""
     texts = [t or "" for t in column.to_pylist()]
     first = 0
     while first < len(texts):
         last, size = first, 0
-        while last < len(texts) and (last == first or size + len(texts[last]) <= PIECE):
+        while last < len(texts) and (last == first or size + len(texts[last]) <= piece):
             size += len(texts[last]) + 2
             last += 1
         joined = "".join(f"\0{t}\0" for t in texts[first:last])

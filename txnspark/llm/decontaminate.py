@@ -1,26 +1,35 @@
 """Benchmark decontamination by q-gram lemma filtering.
 
-A passage within ``k`` edits of an item of length L shares at least L - q + 1 - k * q of
+A passage within ``k`` edits of a pattern of length L shares at least L - q + 1 - k * q of
 its q-grams, on diagonals (place in the text minus place in the item) at most k apart.
-Every q-gram of every text is looked up in an index of the benchmark; hits are counted
-in overlapping bands of diagonals; bands that reach the bound are verified by aligning
-the item within the band.  Texts and items are compared as code points in lower case
-with white space collapsed.
-
-An item may also be quoted in part: with ``window``, the lemma is applied to overlapping
-windows of each longer item too, and the windows found in a row make one passage.
-
-The index is sent to the tasks in blocks of items of at most ``BLOCK_CHARS`` characters;
-a larger benchmark takes several scans of the texts.
+Patterns are the items and, with ``window``, overlapping windows of the longer ones, so that
+an item quoted in part counts too; windows found in a row make one passage.  Texts and
+items are compared as code points in lower case with white space collapsed.
+
+Every q-gram of every text is looked up in an index of the benchmark, with a block of texts
+at a time:
+
+* The commonest q-grams of each pattern, ``SKIP`` of its bound at most, are left out of the
+  index, and the bound falls by as many: they make most of the hits and tell the least.
+* Hits are added up by item and narrow cells of diagonals; only those are kept whose cells and
+  their neighbours reach the least bound of any pattern of the item.
+* What is left is counted, each place of an item once, in overlapping bands of diagonals.
+* In bands that reach a pattern's lowered bound, all its q-grams are counted against the whole bound.
+* Bands that reach it are verified by banded alignment, many at once; one that
+  cannot stay within its edits any more is given up.
+
+None of the steps can lose a passage.  The index is sent to the tasks in blocks of items of at
+most ``BLOCK_CHARS`` characters; a larger benchmark takes several scans of the texts.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chars import _POINTS, texts_of
@@ -33,9 +42,19 @@ RATE = 0.15
 #: Characters of a window and from one to the next: a quotation of their sum or more holds a whole window.
 WINDOW, STEP = 80, 20
 BLOCK_CHARS = 4_000_000
+#: Share of a pattern's bound up to which its commonest q-grams are skipped.
+SKIP = 0.5
 #: Hits expanded at once.
-_HITS = 1 << 20
-_FILTER_BITS = 22
+_HITS = 1 << 18
+#: Code points of texts worked through at once.
+_PIECE = 1 << 20
+_FILTER_BITS = 20
+#: Rows of an alignment between looks at its costs, and cells of alignments worked on at once.
+_ROWS, _ALIGNED = 8, 1 << 19
+#: Diagonals of a cell: 2 to this power.
+_CELL = 4
+#: Counts of cells that go on in 16 bits: the sums of neighbours stay below 65,536, or cover any bound.
+_MOST = 1 << 10
 
 _WHITE = np.array([9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288])
 
@@ -82,13 +101,11 @@ def edits_allowed(length: int, rate: float, q: int) -> int:
 
 
 class Index:
-    """Sorted q-gram hashes of a block of items, and of their windows."""
+    """Sorted q-gram hashes of a block of items, and the patterns that are sought."""
 
     def __init__(self, items: list[tuple[int, str]], q: int, rate: float, window: int | None = None):
         self.q, self.window = q, window
-        self.ids, self.texts, self.edits, self.bound = [], [], [], []
-        #: Number of the pattern that is the whole item, and where in it a pattern starts.
-        self.whole, self.offset = [], []
+        self.ids, self.texts, spans = [], [], []
         hashes, item, place = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for id_, text in items:
             points = np.frombuffer(f"\0{text}\0".encode("utf-32-le", "surrogatepass"), dtype="<u4")
@@ -97,62 +114,239 @@ class Index:
             low = low[:-1] if len(low) and low[-1] == 32 else low
             if edits_allowed(len(low), rate, q) < 0:
                 continue
-            whole, spans = len(self.ids), [(0, len(low))]
+            own, n = _gram_hashes(low, q), len(self.ids)
+            hashes.append(own)
+            item.append(np.full(len(own), n))
+            place.append(np.arange(len(own)))
+            self.ids.append(id_)
+            self.texts.append(low)
+            spans.append((n, 0, len(low)))
             if window is not None and len(low) > window:
                 starts = {*range(0, len(low) - window, STEP), len(low) - window}
-                spans += [(a, a + window) for a in sorted(starts)]
-            for a, b in spans:
-                k = edits_allowed(b - a, rate, q)
-                own = _gram_hashes(low[a:b], q)
-                hashes.append(own)
-                item.append(np.full(len(own), len(self.ids)))
-                place.append(np.arange(len(own)))
-                self.ids.append(id_)
-                self.texts.append(low[a:b])
-                self.edits.append(k)
-                self.bound.append(b - a - q + 1 - k * q)
-                self.whole.append(whole)
-                self.offset.append(a)
-        every = np.concatenate(hashes)
-        order = np.argsort(every, kind="stable")
-        self.hashes, self.item, self.place = every[order], np.concatenate(item)[order], np.concatenate(place)[order]
-        self.edits, self.bound = np.array(self.edits, dtype=np.int64), np.array(self.bound, dtype=np.int64)
+                spans += [(n, a, a + window) for a in sorted(starts)]
+        self.longest = max(map(len, self.texts), default=0)
+        #: Patterns: item, first and last place, edits; the items themselves and the windows.
+        self.item, self.start, self.end = (np.array([x[k] for x in spans], dtype=np.int64) for k in range(3))
+        size = self.end - self.start
+        self.edits = np.array([edits_allowed(int(n), rate, q) for n in size], dtype=np.int64)
         #: Bands overlap by the edits, so the diagonals of an occurrence lie in one band.
         self.width = 2 * self.edits + 2
-        self.filter = np.zeros(1 << _FILTER_BITS, dtype=bool)
-        self.filter[(every >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
-
-
-def _bands(index: Index, low: np.ndarray) -> np.ndarray:
-    """(item, band, hits) rows of the bands of a piece of text that reach the bound."""
-    hashes = _gram_hashes(low, index.q)
-    at = np.flatnonzero(index.filter[(hashes >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
-    left = np.searchsorted(index.hashes, hashes[at], side="left")
-    count = np.searchsorted(index.hashes, hashes[at], side="right") - left
-    at, left, count = at[count > 0], left[count > 0], count[count > 0]
-    ends = np.cumsum(count)
-    keys, totals, first = [], [], 0
-    span = 2 * len(low) + (1 << 22)
+        self.is_part = size != np.array([len(t) for t in self.texts], dtype=np.int64)[self.item] if len(spans) else size > 0
+        every, item, place = np.concatenate(hashes), np.concatenate(item), np.concatenate(place)
+        bound = self.full = size - q + 1 - self.edits * q
+        #: All items in a row: code points, shortened hashes, and where each item begins in both.
+        self.letters = np.concatenate([np.zeros(0, np.int32), *[t.astype(np.int32) for t in self.texts]])
+        self.grams = (every & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        self.at = np.concatenate([[0], np.cumsum([len(t) for t in self.texts])]).astype(np.int64)
+        self.grams_at = np.searchsorted(item, np.arange(len(self.ids) + 1))
+        skipped = self._skipped(every, np.searchsorted(item, np.arange(len(self.ids) + 1)), bound)
+        #: Places of an item that are looked up, before each place.
+        ahead = np.concatenate([[0], np.cumsum(skipped)])
+        base = np.searchsorted(item, self.item)
+        self.bound = bound - (ahead[base + self.end - q + 1] - ahead[base + self.start])
+        #: The least bound of an item's windows, and of the item itself.
+        self.least = [np.full(len(self.ids), np.iinfo(np.int64).max) for _ in range(2)]
+        for part in (False, True):
+            own = self.is_part == part
+            np.minimum.at(self.least[int(part)], self.item[own], self.bound[own])
+        self.small = [np.minimum(x, _MOST).astype(np.uint16) for x in self.least]
+        self.lowest = [int(x.min()) if len(x) else 0 for x in self.small]
+        self.highest = [int(x[x < _MOST].max()) if (x < _MOST).any() else _MOST for x in self.small]
+        every, item, place = every[~skipped], item[~skipped], place[~skipped]
+        order = np.argsort(every, kind="stable")
+        self.hashes, self.of, self.place = every[order], item[order], place[order]
+        #: What turns a hit's place in the text into its cell, scattered by item.
+        self.shift = (((self.of * 0x3C6EF35F) << _CELL) - self.place).astype(np.uint32)
+        self.slots = np.searchsorted(self.hashes, np.arange((1 << _FILTER_BITS) + 1, dtype=np.uint64) << np.uint64(64 - _FILTER_BITS))
+        self.slots[-1] = len(self.hashes)
+        self.slots = self.slots.astype(np.int32)
+        #: Entries with an entry's hash, from the first of them on.
+        edge = np.flatnonzero(np.append(self.hashes[1:] != self.hashes[:-1], True)) if len(self.hashes) else np.zeros(0, np.int64)
+        self.runs = edge[np.searchsorted(edge, np.arange(len(self.hashes)))] + 1 - np.arange(len(self.hashes))
+        self.filter = np.diff(self.slots) > 0
+        #: Patterns of each item, whole first.
+        self.first = np.searchsorted(self.item, np.arange(len(self.ids) + 1))
+
+    def _skipped(self, hashes: np.ndarray, bounds: np.ndarray, bound: np.ndarray) -> np.ndarray:
+        """Places that are not looked up: the commonest of each item, while no pattern loses more than its share."""
+        out = np.zeros(len(hashes), dtype=bool)
+        if not len(hashes):
+            return out
+        _, group, count = np.unique(hashes, return_inverse=True, return_counts=True)
+        often = count[group]
+        left = (bound * SKIP).astype(np.int64)
+        first = np.searchsorted(self.item, np.arange(len(self.ids) + 1))
+        for n, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
+            own = slice(first[n], first[n + 1])
+            start, end, room = self.start[own], self.end[own] - self.q, left[own].copy()
+            for k in np.argsort(-often[a:b], kind="stable"):
+                if often[a + k] < 2 or not room[0]:
+                    break
+                inside = (start <= k) & (k <= end)
+                if (room[inside] > 0).all():
+                    room[inside] -= 1
+                    out[a + k] = True
+        return out
+
+
+def _look_up(index: Index, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places with hits, the first entry of each and their number."""
+    slot = (hashes >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)
+    at = np.flatnonzero(index.filter[slot])
+    left = index.slots[slot[at]]
+    own = hashes[at]
+    same = index.hashes[left] == own
+    if not same.all():  # other hashes in the slot
+        left[~same] = np.searchsorted(index.hashes, own[~same], side="left")
+        left = np.minimum(left, len(index.hashes) - 1)
+        hit = index.hashes[left] == own
+        at, left, own = at[hit], left[hit], own[hit]
+    return at, left, index.runs[left]
+
+
+def _near(index: Index, part: int, entry: np.ndarray, counts: np.ndarray, cell: np.ndarray) -> np.ndarray:
+    """Hits whose cells of diagonals, with neighbours, may reach a bound of their item's patterns."""
+    own = index.edits[index.is_part == bool(part)]
+    if not len(own):
+        return np.zeros(0, dtype=np.int64)
+    # A band of a pattern is as wide as its width and edits together.
+    run = (int(3 * own.max()) + 2 + (1 << _CELL) - 2 >> _CELL) + 1
+    around = np.concatenate([counts[-run:], counts, counts[:run]])
+    for combine in (np.add, np.maximum):  # sums of ``run`` cells from each cell on, then the largest that covers a cell
+        width = 1
+        while width < run:
+            step = min(width, run - width)
+            around = combine(around[step:], around[:-step])
+            width += step
+    if index.lowest[part] == _MOST:
+        return np.arange(len(entry))
+    near = np.flatnonzero((around[1:] >= index.lowest[part])[cell])
+    if index.lowest[part] == index.highest[part]:
+        return near
+    return near[around[cell[near] + 1] >= index.small[part][index.of[entry[near]]]]
+
+
+def _candidates(index: Index, hashes: np.ndarray, cut: np.ndarray) -> np.ndarray:
+    """(pattern, first diagonal, text) rows of the bands of some texts that reach their pattern's bound."""
+    none = np.zeros((0, 3), dtype=np.int64)
+    if not len(index.hashes):
+        return none
+    at, left, count = _look_up(index, hashes)
+    # Texts are set so far apart that none shares a diagonal with the next.
+    text = np.searchsorted(cut, at, side="right") - 1
+    widest = index.longest + 4 * int(index.edits.max()) + 4
+    gap = 2 * widest + 64
+    spread = at + (text + 1) * gap
+    held, first, ends = [none[:, :2]], 0, np.cumsum(count)
     while first < len(at):
-        last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + _HITS, side="right")))
+        # Hits at once, and twice the reach of any pattern at least; the next ones begin one reach earlier.
+        last = int(np.searchsorted(ends, (ends[first - 1] if first else 0) + _HITS, side="right"))
+        last = max(last, int(np.searchsorted(at, at[first] + 2 * widest)))
         n = count[first:last]
-        entry = np.repeat(left[first:last], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        item, diagonal = index.item[entry], np.repeat(at[first:last], n) - index.place[entry]
-        width = index.width[item]
-        band = diagonal // width
-        below = diagonal - band * width < index.edits[item]
-        both = np.concatenate([item * span + band + (1 << 21), (item * span + band + (1 << 21) - 1)[below]])
-        k, c = np.unique(both, return_counts=True)
-        keys.append(k)
-        totals.append(c)
-        first = last
-    if not keys:
-        return np.zeros((0, 3), dtype=np.int64)
-    key, where = np.unique(np.concatenate(keys), return_inverse=True)
-    total = np.bincount(where, weights=np.concatenate(totals)).astype(np.int64)
-    item, band = key // span, key % span - (1 << 21)
-    keep = total >= index.bound[item]
-    return np.column_stack([item, band, total])[keep]
+        end = np.cumsum(n)
+        entry = np.repeat(left[first:last] - (end - n), n) + np.arange(end[-1])
+        # Cells are folded to a table of counts; what falls together only makes them larger.
+        bits = min(max(16, int(2 * len(entry)).bit_length()), 32 - _CELL)
+        at_text = np.repeat(spread[first:last], n)
+        cell = at_text.astype(np.uint32)
+        cell += index.shift[entry]
+        cell >>= np.uint32(_CELL)
+        cell &= np.uint32((1 << bits) - 1)
+        cell = cell.astype(np.int64)
+        counts = np.bincount(cell, minlength=1 << bits)
+        if counts.max() > _MOST:
+            counts = np.minimum(counts, _MOST)
+        counts = counts.astype(np.uint16)
+        for part in (0, 1):
+            near = _near(index, part, entry, counts, cell)
+            if len(near):
+                item, place = index.of[entry[near]], index.place[entry[near]]
+                held.append(_reached(index, part, item, place, at_text[near] - place))
+        first = len(at) if last >= len(at) else int(np.searchsorted(at, at[last] - widest))
+    found = np.unique(np.concatenate(held), axis=0)
+    begins = cut[:-1] + np.arange(1, len(cut)) * gap
+    own = np.searchsorted(begins, found[:, 1] + index.longest + 4 * index.edits[found[:, 0]] + 4, side="right") - 1
+    return np.column_stack([found[:, 0], found[:, 1] - begins[own], own])
+
+
+def _reached(index: Index, part: int, item: np.ndarray, place: np.ndarray, diagonal: np.ndarray) -> np.ndarray:
+    """(pattern, first diagonal) of the bands that reach a bound, of whole items or of windows (``part``)."""
+    if part:  # windows are equally wide
+        width, edits = int(index.width[index.is_part][0]), int(index.edits[index.is_part][0])
+    else:
+        width, edits = index.width[index.first[item]], index.edits[index.first[item]]
+    band = diagonal // width
+    below = np.flatnonzero(diagonal - band * width < edits)
+    # One number for item, band and place; every place of an item counts once in a band.
+    step, bands = index.longest + 1, int(band.max()) + 2
+    base = (item * bands + band + 1) * step + place
+    key = np.sort(np.concatenate([base, base[below] - step]))
+    key = key[np.append(True, key[1:] != key[:-1])]
+    group = key // step
+    start = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+    size = np.diff(np.append(start, len(key)))
+    owner = group[start] // bands
+    good = size >= index.least[part][owner]
+    start, owner = start[good], owner[good]
+    first = index.first[owner] + part
+    number = (index.first[owner + 1] if part else first + 1) - first
+    line = np.repeat(np.arange(len(start)), number)
+    pattern = np.arange(len(line)) - np.repeat(np.cumsum(number) - number, number) + first[line]
+    begin = group[start][line] * step + index.start[pattern]
+    inside = np.searchsorted(key, begin + index.end[pattern] - index.start[pattern] - index.q + 1) - np.searchsorted(key, begin)
+    keep = inside >= index.bound[pattern]
+    pattern, band = pattern[keep], group[start][line[keep]] % bands - 1
+    return np.column_stack([pattern, band * index.width[pattern] + index.start[pattern]])
+
+
+def align_many(
+    patterns: np.ndarray, texts: np.ndarray, begins: np.ndarray, sizes: np.ndarray, first: np.ndarray, wide: int, edits: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(which, edits, start, end) of those of many patterns of one length that stand in their texts within ``edits``.
+
+    Row c of ``patterns`` is aligned with ``sizes[c]`` places of ``texts`` from ``begins[c]`` on, on the ``wide``
+    diagonals from ``first[c]`` on.  Of equal alignments, the one that starts first; places are the text's own.
+    """
+    m = patterns.shape[1]
+    which = np.arange(len(patterns))
+    # A cell holds edits and, below them, the diagonal at which its alignment starts.
+    bits = int(wide).bit_length()
+    kind = np.int32 if (m + wide + 4) << bits < 1 << 30 else np.int64
+    one, huge = kind(1 << bits), kind((m + wide + 2) << bits)
+    lane = np.arange(wide, dtype=kind)
+    j = first[:, None] + lane
+    cost = np.where((j >= 0) & (j <= sizes[:, None]), lane, huge).astype(kind)
+    low, high = -first, sizes - first  # diagonals of the text's ends in row 0
+    places = first[:, None] + np.arange(m + wide)
+    inside = (places >= 0) & (places < sizes[:, None])
+    codes = texts[np.where(inside, begins[:, None] + places, 0)].astype(np.int32)
+    codes[~inside] = -1
+    for i in range(1, m + 1):
+        now = cost + one * (codes[:, i - 1 : i - 1 + wide] != patterns[:, i - 1 : i])
+        now[:, :-1] = np.minimum(now[:, :-1], cost[:, 1:] + one)  # the item's character has no partner
+        outside = (lane < (low - i + 1)[:, None]) | (lane > (high - i)[:, None])
+        # In the column before the text's first character only the item's characters go.
+        edge = lane == (low - i)[:, None]
+        if edge.any():
+            up = np.concatenate([cost[:, 1:] + one, np.full((len(cost), 1), huge, dtype=kind)], axis=1)
+            now = np.where(edge, up, now)
+            outside &= ~edge
+        now[outside] = huge
+        # The text's character has no partner: the least from the left, one edit a step.
+        now = np.minimum.accumulate(now - one * lane, axis=1) + one * lane
+        now[outside] = huge
+        cost = now
+        if i % _ROWS == 0 or i == m:
+            alive = cost.min(axis=1) < one * (edits + 1)
+            if not alive.all():
+                which, cost, codes, patterns, low, high, first = (x[alive] for x in (which, cost, codes, patterns, low, high, first))
+            if not len(which):
+                break
+    if not len(which):
+        return which, which, which, which
+    best = cost.argmin(axis=1)
+    value = cost[np.arange(len(which)), best]
+    return which, value >> bits, first + (value & (one - 1)), first + best + m
 
 
 def align(item: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[int, int, int]:
@@ -230,66 +424,110 @@ def _passages(index: Index, whole: int, hits: list[tuple[int, int, int, int]], l
     return sorted(out, key=lambda x: (x[1] - x[2], x))
 
 
-def _matches(index: Index, low: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """(item id, start, end, edits) in ``low``; overlapping finds of an item count once, the best of them.
+def _shared(index: Index, grams: np.ndarray, pattern: np.ndarray, begin: np.ndarray, n: int, diagonals: int) -> np.ndarray:
+    """How many of the ``n`` q-grams of each pattern a text holds on the diagonals from place ``begin`` on."""
+    own = index.grams[(index.grams_at[index.item[pattern]] + index.start[pattern])[:, None] + np.arange(n)]
+    places = begin[:, None] + np.arange(n + diagonals - 1)
+    text = grams[np.clip(places, 0, len(grams) - 1)]
+    held = np.zeros(own.shape, dtype=bool)
+    for d in range(diagonals):
+        held |= own == text[:, d : d + n]
+    return held.sum(axis=1)
+
+
+def _verified(index: Index, low: np.ndarray, cut: np.ndarray) -> dict[tuple[int, int], set[tuple[int, int, int, int]]]:
+    """By text and item, the patterns (edits, start, end, pattern) that stand in it."""
+    hashes = _gram_hashes(low, index.q)
+    rows = _candidates(index, hashes, cut)
+    grams = (hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    out: dict[tuple[int, int], set] = {}
+    length = index.end[rows[:, 0]] - index.start[rows[:, 0]]
+    for m in np.unique(length):
+        own = rows[length == m]
+        k, width, n = int(index.edits[own[0, 0]]), int(index.width[own[0, 0]]), int(m) - index.q + 1
+        many = max(1, _ALIGNED // n)
+        shared = [
+            _shared(index, grams, pattern, first + cut[text], n, width + k)
+            for pattern, first, text in (own[part : part + many].T for part in range(0, len(own), many))
+        ]
+        own = own[np.concatenate(shared) >= index.full[own[:, 0]]]
+        wide = width + 3 * k + 1
+        many = max(1, _ALIGNED // wide)
+        for part in range(0, len(own), many):
+            pattern, first, text = own[part : part + many].T
+            letters = index.letters[(index.at[index.item[pattern]] + index.start[pattern])[:, None] + np.arange(m)]
+            found = align_many(letters, low, cut[text], cut[text + 1] - cut[text], first - k, wide, k)
+            for c, edits, start, end in zip(*[x.tolist() for x in found]):
+                p = int(pattern[c])
+                out.setdefault((int(text[c]), int(index.item[p])), set()).add((edits, start, end, p))
+    return out
+
+
+def _matches(index: Index, low: np.ndarray, cut: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+    """(text, item id, start, end, edits) in some texts; overlapping finds of an item count once, the best of them.
 
     Whole items come before their parts, and longer parts before shorter.
     """
-    found: dict[int, list[tuple[int, int, int]]] = {}
-    parts: dict[int, list[tuple[int, int, int, int]]] = {}
-    for item, band, _ in _bands(index, low):
-        k, pattern = int(index.edits[item]), index.texts[item]
-        first = int(band * index.width[item])
-        last = first + int(index.width[item]) + k
-        a, b = max(0, first - k), min(len(low), last + k + len(pattern))
-        edits, start, end = _exact(pattern, low[a:b]) or align(pattern, low[a:b], first - k - a, last + k - a)
-        if edits <= k:
-            whole = index.whole[item]
-            if whole == item:
-                found.setdefault(whole, []).append((edits, start + a, end + a))
-            else:
-                parts.setdefault(whole, []).append((start + a, end + a, index.offset[item], edits))
     out = []
-    for item in {**found, **parts}:
+    for (text, item), found in _verified(index, low, cut).items():
+        own = low[cut[text] : cut[text + 1]]
         taken: list[tuple[int, int, int]] = []
-        _apart(sorted(found.get(item, [])), taken)
-        rest = [h for h in parts.get(item, []) if all(h[1] <= s or h[0] >= e for _, s, e in taken)]
-        _apart(_passages(index, item, rest, low), taken)
-        out += [(index.ids[item], start, end, edits) for edits, start, end in taken]
+        _apart(sorted(h[:3] for h in found if not index.is_part[h[3]]), taken)
+        parts = {(start, end, int(index.start[p]), edits) for edits, start, end, p in found if index.is_part[p]}
+        parts = [h for h in parts if all(h[1] <= s or h[0] >= e for _, s, e in taken)]
+        _apart(_passages(index, item, parts, own), taken)
+        out += [(text, index.ids[item], start, end, edits) for edits, start, end in taken]
     return out
 
 
+def _finds(block: Index, column: pa.Array) -> Iterator[tuple[int, int, int, int, int]]:
+    """(row, item id, start, end, edits) of a column of texts, in code points of the text."""
+    for first, points, bounds in texts_of(column, _PIECE):
+        low, at, cut = normal(points, bounds)
+        for d, item, start, end, edits in sorted(_matches(block, low, cut)):
+            yield first + d, item, int(at[cut[d] + start] - bounds[d] - 1), int(at[cut[d] + end - 1] - bounds[d]), edits
+
+
 def _search(index):
     def run(batches):
-        block = index.value
         for batch in batches:
-            rows, items, starts, ends, edits = [], [], [], [], []
-            for first, points, bounds in texts_of(batch.column(1)):
-                low, at, cut = normal(points, bounds)
-                hashes = _gram_hashes(low, block.q)
-                seen = np.flatnonzero(block.filter[(hashes >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
-                near = np.searchsorted(seen, cut)
-                # A text needs as many hits as the least bound of any item.
-                least = int(block.bound.min()) if len(block.ids) else len(low) + 1
-                for d in np.flatnonzero(np.diff(near) >= least):
-                    own = low[cut[d] : cut[d + 1]]
-                    for item, start, end, n in sorted(_matches(block, own)):
-                        rows.append(first + int(d))
-                        items.append(item)
-                        starts.append(int(at[cut[d] + start] - bounds[d] - 1))
-                        ends.append(int(at[cut[d] + end - 1] - bounds[d]))
-                        edits.append(n)
+            found = list(zip(*_finds(index.value, batch.column(1)))) or [[]] * 5
             yield pa.record_batch(
-                [
-                    batch.column(0).take(pa.array(rows, pa.int64())),
-                    *[pa.array(x, pa.int64()) for x in (items, starts, ends, edits)],
-                ],
+                [batch.column(0).take(pa.array(found[0], pa.int64())), *[pa.array(x, pa.int64()) for x in found[1:]]],
                 names=[batch.schema.names[0], "item_id", "start", "end", "edits"],
             )
 
     return run
 
 
+def _clean(index):
+    def run(batches):
+        for batch in batches:
+            held = np.ones(batch.num_rows, dtype=bool)
+            held[[row for row, *_ in _finds(index.value, batch.column(batch.num_columns - 1))]] = False
+            yield batch.filter(pa.array(held))
+
+    return run
+
+
+def _indexes(
+    spark: SparkSession, benchmark: DataFrame, item_col: str, item_text_col: str, q: int, rate: float, block_chars: int, window: int | None
+) -> Iterator:
+    """The benchmark's index, as broadcasts of blocks."""
+    items = benchmark.select(
+        F.col(item_col).cast("long").alias("item"), F.col(item_text_col).cast("string").alias("text")
+    ).filter("item IS NOT NULL AND text IS NOT NULL").distinct()
+    items = stored(items, "items")
+    if window is not None and edits_allowed(window, rate, q) < 0:
+        raise ValueError(f"a window of {window} characters holds no {q}-gram")
+    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    blocks = max(1, -(-chars // block_chars))
+    for block in range(blocks):
+        # Bounded: a block has about ``block_chars`` characters, whatever the benchmark's size.
+        own = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).orderBy("item", "text").collect()
+        yield spark.sparkContext.broadcast(Index([tuple(r) for r in own], q, rate, window))
+
+
 def find_benchmark(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -315,22 +553,27 @@ def find_benchmark(
     """
     spark = docs.sparkSession
     small_batches(spark)
-    items = benchmark.select(
-        F.col(item_col).cast("long").alias("item"), F.col(item_text_col).cast("string").alias("text")
-    ).filter("item IS NOT NULL AND text IS NOT NULL").distinct()
-    items = stored(items, "items")
-    if window is not None and edits_allowed(window, rate, q) < 0:
-        raise ValueError(f"a window of {window} characters holds no {q}-gram")
-    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    if window is not None:
-        chars += chars * -(-window // STEP)  # each character stands in so many windows too
-    blocks = max(1, -(-chars // block_chars))
     rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_scanned"))
     schema = f"`{id_col}` {rows.schema[id_col].dataType.simpleString()}, item_id long, start long, end long, edits long"
-    found = []
-    for block in range(blocks):
-        # Bounded: a block has about ``block_chars`` characters, whatever the benchmark's size.
-        own = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).orderBy("item", "text").collect()
-        index = spark.sparkContext.broadcast(Index([tuple(r) for r in own], q, rate, window))
-        found.append(rows.mapInArrow(_search(index), schema))
-    return reduce(DataFrame.union, found)
+    blocks = _indexes(spark, benchmark, item_col, item_text_col, q, rate, block_chars, window)
+    return reduce(DataFrame.union, [rows.mapInArrow(_search(index), schema) for index in blocks])
+
+
+def without_benchmark(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    *,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    q: int = Q,
+    rate: float = RATE,
+    block_chars: int = BLOCK_CHARS,
+    window: int | None = None,
+) -> DataFrame:
+    """The rows of ``docs`` in whose text :func:`find_benchmark` finds nothing; each row goes by its own text."""
+    small_batches(docs.sparkSession)
+    left = docs.withColumn("_scanned", F.col(text_col).cast("string"))
+    for index in _indexes(docs.sparkSession, benchmark, item_col, item_text_col, q, rate, block_chars, window):
+        left = left.mapInArrow(_clean(index), left.schema)
+    return left.drop("_scanned")

@@ -2,7 +2,7 @@
 
 Every stage works on all rows its predecessor kept and returns the columns of
 ``documents``; the last adds ``copy``, the number of a repetition.  Rows with a null id
-pass every stage by their own text.  An empty table gives empty tables.
+go by their own text in every stage.  An empty table gives empty tables.
 """
 
 from __future__ import annotations
@@ -10,10 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnspark.scratch import materialize
+from txnspark.scratch import broadcast_if_small, materialize
 
 from . import langid
-from .decontaminate import WINDOW, find_benchmark
+from .decontaminate import WINDOW, without_benchmark
 from .minhash import near_duplicates
 from .mixing import mix
 from .secret_scan import redact, scan_secrets
@@ -22,16 +22,6 @@ from .store import stored
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Probability that the best language must have.
 LEAST_SCORE = 0.5
-#: Ids of 8 bytes that may be broadcast to drop rows; more are joined by a shuffle.
-BROADCAST_IDS = 1_000_000
-
-
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose doc_id is among ``ids``."""
-    ids, n = materialize(ids.distinct(), "dropped")
-    if not n:
-        return docs
-    return docs.join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, "doc_id", "left_anti")
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,30 +38,26 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked by 80 % of shingles of five words, the row with the least id stays.
 
-    Of repeated rows with that id one stays: the least by all columns.
+    Rows are told apart by a number of their own, so rows with one id, or none, go by their texts;
+    a null id comes after all others, and of rows with equal ids the least by all columns stays.
     """
-    groups = stored(near_duplicates(docs, width=5).select("doc_id", "kept"), "groups")
-    left = _without(docs.select(*COLUMNS), groups.filter("NOT kept").select("doc_id"))
-    known = groups.filter("kept AND doc_id IS NOT NULL")
-    repeated = known.groupBy("doc_id").count().filter("count > 1")
-    if repeated.isEmpty():
-        return left
-    again = left.join(repeated.select("doc_id"), "doc_id", "left_semi").select(F.struct(*COLUMNS).alias("row"))
-    one = again.groupBy("row.doc_id").agg(F.min("row").alias("row")).select("row.*")
-    return _without(left, repeated.select("doc_id")).select(*COLUMNS).union(one.select(*COLUMNS))
+    rows = stored(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")), "rows")
+    groups = near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), width=5)
+    groups = stored(groups.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group")), "groups")
+    # Rows without a partner, nearly all of them, need no comparison.
+    paired, n = materialize(groups.groupBy("_group").count().filter("count > 1").select("_group"), "paired")
+    if not n:
+        return rows.drop("_row")
+    members = groups.join(broadcast_if_small(paired), "_group", "left_semi")
+    order = F.struct(F.col("doc_id").isNull(), *COLUMNS, "_row")
+    best = rows.join(members, "_row").groupBy("_group").agg(F.min(order).alias("best"))
+    gone = stored(members.join(best.select("best._row"), "_row", "left_anti").select("_row"), "gone")
+    return rows.join(broadcast_if_small(gone), "_row", "left_anti").drop("_row")
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a passage of the benchmark, or a part of one, go; a row without an id goes by its text."""
-    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    named, nameless = docs.filter("doc_id IS NOT NULL"), docs.filter("doc_id IS NULL")
-    left = _without(named.select(*COLUMNS), find_benchmark(named, benchmark, window=WINDOW).select("doc_id"))
-    if nameless.isEmpty():
-        return left.select(*COLUMNS)
-    hashed = nameless.select(F.xxhash64("text").alias("doc_id"), "text", "lang", "source", "n_chars")
-    clean = _without(hashed, find_benchmark(hashed, benchmark, window=WINDOW).select("doc_id"))
-    clean = clean.withColumn("doc_id", F.lit(None).cast(docs.schema["doc_id"].dataType))
-    return left.select(*COLUMNS).union(clean.select(*COLUMNS))
+    """Rows whose text holds a passage of the benchmark, or a part of one, go."""
+    return without_benchmark(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), window=WINDOW)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
