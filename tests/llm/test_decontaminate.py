@@ -122,3 +122,106 @@ def test_quotation_of_a_window_and_a_step(spark, words):
     texts = dict(docs)
     for r in found:
         assert distance(squeeze(texts[r.doc_id][r.start : r.end]), squeeze(item)) <= r.edits
+
+
+def contaminated(items, text):
+    """Items of which the text holds the whole or a window within the edits allowed, by plain distances."""
+    own, out = squeeze(text or ""), set()
+    for i, item in items:
+        item = squeeze(item)
+        if len(item) < D.Q:
+            continue
+        spans = [(0, len(item))]
+        if len(item) > D.WINDOW:
+            spans += [(a, a + D.WINDOW) for a in {*range(0, len(item) - D.WINDOW, D.STEP), len(item) - D.WINDOW}]
+        if any(distance(item[a:b], own) <= D.edits_allowed(b - a, D.RATE, D.Q) for a, b in spans):
+            out.add(i)
+    return out
+
+
+@pytest.fixture
+def marked(words):
+    """Items of all lengths, and texts that hold them whole, cut, edited around the allowed rate, or not at all."""
+    rng = random.Random(12)
+    items = [(k, " ".join(words(4000 + k, n, 60))) for k, n in enumerate([2, 4, 9, 15, 22, 35, 50, 60])]
+    docs = []
+    for k in range(70):
+        text = " ".join(words(k, rng.randint(0, 70), 60))
+        if k % 5:
+            item = items[rng.randrange(len(items))][1]
+            a = rng.randrange(max(1, len(item) - 90))
+            part = item if rng.random() < 0.4 else item[a : a + rng.randint(70, 130)]
+            part = edited(rng, part, int(rng.choice([0, 0.08, 0.13, 0.15, 0.17, 0.2, 0.3]) * len(part))) if len(part) > 4 else part
+            at = rng.randint(0, len(text))
+            text = text[:at] + rng.choice([" ", "", "\n"]) + part + rng.choice([" ", ""]) + text[at:]
+        docs.append((k, text))
+    return items, docs
+
+
+@pytest.mark.parametrize("hits, piece, block", [(D._HITS, D._PIECE, D.BLOCK_CHARS), (40, 300, 500)])
+def test_windows_against_brute_force(spark, marked, monkeypatch, hits, piece, block):
+    """The registered mode finds exactly the texts that hold an item or a window of one, however the work is cut."""
+    monkeypatch.setattr(D, "_HITS", hits)
+    monkeypatch.setattr(D, "_PIECE", piece)
+    items, docs = marked
+    want = {(d, i) for d, t in docs for i in contaminated(items, t)}
+    assert 25 < len(want) and len({d for d, _ in want}) < len(docs) - 10
+    df, marks = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = D.find_benchmark(df, marks, window=D.WINDOW, block_chars=block).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == want
+    texts, known = dict(docs), dict(items)
+    for r in found:
+        # What is found is within the edits of some part of the item.
+        assert distance(squeeze(texts[r.doc_id][r.start : r.end]), squeeze(known[r.item_id])) <= r.edits
+    left = D.without_benchmark(df, marks, window=D.WINDOW, block_chars=block).collect()
+    assert {r.doc_id for r in left} == {d for d, _ in docs} - {d for d, _ in want}
+
+
+def test_skipping_loses_nothing(spark, marked, monkeypatch):
+    items, docs = marked
+    df, marks = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = []
+    for share in (0.0, 0.5, 0.9):
+        monkeypatch.setattr(D, "SKIP", share)
+        found.append(sorted(map(tuple, D.find_benchmark(df, marks, window=D.WINDOW).collect())))
+    assert found[0] == found[1] == found[2] and found[0]
+
+
+def test_batched_alignment_is_the_single_one():
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        lengths, wides, edits = (rng.integers(a, b, 12) for a, b in ((3, 30), (1, 25), (0, 8)))
+        texts = [rng.integers(0, 3, int(rng.integers(0, 40))).astype(np.uint32) for _ in range(12)]
+        begins = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        patterns = rng.integers(0, 3, (12, int(lengths.max()))).astype(np.int32)
+        first = rng.integers(-15, 30, 12)
+        joined = np.concatenate([*texts, np.zeros(1, np.uint32)])
+        found = D.align_many(patterns, lengths, joined, begins[:-1], np.diff(begins), first, wides, edits)
+        got = {int(c): (int(k), int(a), int(b)) for c, k, a, b in zip(*found)}
+        for c in range(12):
+            own = patterns[c, : lengths[c]]
+            k, _, _ = D.align(own, texts[c], int(first[c]), int(first[c] + wides[c]) - 1)
+            assert (k <= edits[c]) == (c in got)
+            if c in got:
+                assert got[c][0] == k
+                part = texts[c][got[c][1] : got[c][2]]
+                assert D.align(own, part, -len(own), len(part))[0] <= k
+
+
+def test_odd_rows_with_windows(spark, words):
+    long = " ".join(words(1, 60))
+    items = [(1, long), (1, long), (2, long), (None, long), (3, None), (4, ""), (5, "abc"), (6, "exact words here"), (7, "  ")]
+    docs = [(1, long), (1, long), (None, long[:200]), (2, None), (3, ""), (4, " \n"), (5, "abc"), (6, "the EXACT   words\there it is"), (7, "é漢😀" * 3000)]
+    df = spark.createDataFrame([(d, t, "a", 2, 3) for d, t in docs], "doc_id long, text string, start string, item_id int, _scanned int").drop("_scanned")
+    marks = spark.createDataFrame([(i, t, "z") for i, t in items], "item_id long, text string, doc_id string")
+    found = D.find_benchmark(df, marks, window=D.WINDOW).collect()
+    assert sorted({(r.doc_id, r.item_id) for r in found}, key=str) == sorted([(1, 1), (1, 2), (None, 1), (None, 2), (6, 6)], key=str)
+    assert sum(r.doc_id == 1 and r.item_id == 1 for r in found) == 2  # each of two equal rows reports it
+    (six,) = [r for r in found if r.doc_id == 6]
+    assert docs[7][1][six.start : six.end] == "EXACT   words\there" and six.edits == 0
+    left = D.without_benchmark(df, marks, window=D.WINDOW)
+    assert left.columns == df.columns and sorted(r.doc_id for r in left.collect()) == [2, 3, 4, 5, 7]
+    assert D.without_benchmark(df, marks.limit(0), window=D.WINDOW).count() == len(docs)
+    assert D.without_benchmark(df.limit(0), marks, window=D.WINDOW).collect() == []
+    assert D.find_benchmark(df.limit(0), marks, window=D.WINDOW).collect() == []
+    assert D.find_benchmark(df, marks.filter("item_id IN (3, 4, 5, 7)"), window=D.WINDOW).collect() == []

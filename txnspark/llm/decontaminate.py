@@ -43,17 +43,17 @@ RATE = 0.15
 WINDOW, STEP = 80, 20
 BLOCK_CHARS = 4_000_000
 #: Share of a pattern's bound up to which its commonest q-grams are skipped.
-SKIP = 0.5
+SKIP = 0.4
 #: Hits expanded at once.
-_HITS = 1 << 18
+_HITS = 1 << 17
 #: Code points of texts worked through at once.
 _PIECE = 1 << 20
 _FILTER_BITS = 20
 #: Rows of an alignment between looks at its costs, and cells of alignments worked on at once.
 _ROWS, _ALIGNED = 8, 1 << 19
 #: Diagonals of a cell: 2 to this power.
-_CELL = 4
-#: Counts of cells that go on in 16 bits: the sums of neighbours stay below 65,536, or cover any bound.
+_CELL = 2
+#: Largest count of a cell that is told from larger ones; bounds above it are met by it.
 _MOST = 1 << 10
 
 _WHITE = np.array([9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288])
@@ -209,9 +209,11 @@ def _near(index: Index, part: int, entry: np.ndarray, counts: np.ndarray, cell:
     own = index.edits[index.is_part == bool(part)]
     if not len(own):
         return np.zeros(0, dtype=np.int64)
-    # A band of a pattern is as wide as its width and edits together.
-    run = (int(3 * own.max()) + 2 + (1 << _CELL) - 2 >> _CELL) + 1
+    # The diagonals of an occurrence are at most its edits apart.
+    run = (int(own.max()) + (1 << _CELL) - 1 >> _CELL) + 1
     around = np.concatenate([counts[-run:], counts, counts[:run]])
+    if run * _MOST >= 1 << 16:
+        around = around.astype(np.uint32)
     for combine in (np.add, np.maximum):  # sums of ``run`` cells from each cell on, then the largest that covers a cell
         width = 1
         while width < run:
@@ -220,7 +222,7 @@ def _near(index: Index, part: int, entry: np.ndarray, counts: np.ndarray, cell:
             width += step
     if index.lowest[part] == _MOST:
         return np.arange(len(entry))
-    near = np.flatnonzero((around[1:] >= index.lowest[part])[cell])
+    near = np.flatnonzero((around[1:] >= index.lowest[part]).take(cell))
     if index.lowest[part] == index.highest[part]:
         return near
     return near[around[cell[near] + 1] >= index.small[part][index.of[entry[near]]]]
@@ -244,16 +246,15 @@ def _candidates(index: Index, hashes: np.ndarray, cut: np.ndarray) -> np.ndarray
         last = max(last, int(np.searchsorted(at, at[first] + 2 * widest)))
         n = count[first:last]
         end = np.cumsum(n)
-        entry = np.repeat(left[first:last] - (end - n), n) + np.arange(end[-1])
+        entry = np.repeat((left[first:last] - (end - n)).astype(np.int32), n)
+        entry += np.arange(len(entry), dtype=np.int32)
         # Cells are folded to a table of counts; what falls together only makes them larger.
-        bits = min(max(16, int(2 * len(entry)).bit_length()), 32 - _CELL)
-        at_text = np.repeat(spread[first:last], n)
-        cell = at_text.astype(np.uint32)
+        bits = min(max(14, int(2 * len(entry) - 1).bit_length()), 32 - _CELL)
+        cell = np.repeat(spread[first:last].astype(np.uint32), n)
         cell += index.shift[entry]
         cell >>= np.uint32(_CELL)
         cell &= np.uint32((1 << bits) - 1)
-        cell = cell.astype(np.int64)
-        counts = np.bincount(cell, minlength=1 << bits)
+        counts = np.bincount(cell.view(np.int32), minlength=1 << bits)
         if counts.max() > _MOST:
             counts = np.minimum(counts, _MOST)
         counts = counts.astype(np.uint16)
@@ -261,7 +262,8 @@ def _candidates(index: Index, hashes: np.ndarray, cut: np.ndarray) -> np.ndarray
             near = _near(index, part, entry, counts, cell)
             if len(near):
                 item, place = index.of[entry[near]], index.place[entry[near]]
-                held.append(_reached(index, part, item, place, at_text[near] - place))
+                diagonal = spread[first + np.searchsorted(end, near, side="right")] - place
+                held.append(_reached(index, part, item, place, diagonal))
         first = len(at) if last >= len(at) else int(np.searchsorted(at, at[last] - widest))
     found = np.unique(np.concatenate(held), axis=0)
     begins = cut[:-1] + np.arange(1, len(cut)) * gap
@@ -300,53 +302,68 @@ def _reached(index: Index, part: int, item: np.ndarray, place: np.ndarray, diago
 
 
 def align_many(
-    patterns: np.ndarray, texts: np.ndarray, begins: np.ndarray, sizes: np.ndarray, first: np.ndarray, wide: int, edits: int
+    patterns: np.ndarray,
+    lengths: np.ndarray,
+    texts: np.ndarray,
+    begins: np.ndarray,
+    sizes: np.ndarray,
+    first: np.ndarray,
+    wides: np.ndarray,
+    edits: np.ndarray,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(which, edits, start, end) of those of many patterns of one length that stand in their texts within ``edits``.
+    """(which, edits, start, end) of those of many patterns that stand in their texts within their ``edits``.
 
-    Row c of ``patterns`` is aligned with ``sizes[c]`` places of ``texts`` from ``begins[c]`` on, on the ``wide``
-    diagonals from ``first[c]`` on.  Of equal alignments, the one that starts first; places are the text's own.
+    The first ``lengths[c]`` codes of row c of ``patterns`` are aligned with ``sizes[c]`` places of ``texts`` from
+    ``begins[c]`` on, on the ``wides[c]`` diagonals from ``first[c]`` on.  Of equal alignments, the one that
+    starts first; places are the text's own.
     """
-    m = patterns.shape[1]
+    m, wide = patterns.shape[1], int(wides.max(initial=1))
     which = np.arange(len(patterns))
     # A cell holds edits and, below them, the diagonal at which its alignment starts.
-    bits = int(wide).bit_length()
+    bits = wide.bit_length()
     kind = np.int32 if (m + wide + 4) << bits < 1 << 30 else np.int64
     one, huge = kind(1 << bits), kind((m + wide + 2) << bits)
     lane = np.arange(wide, dtype=kind)
+    beyond = lane >= wides[:, None]
     j = first[:, None] + lane
-    cost = np.where((j >= 0) & (j <= sizes[:, None]), lane, huge).astype(kind)
+    cost = np.where((j >= 0) & (j <= sizes[:, None]) & ~beyond, lane, huge).astype(kind)
     low, high = -first, sizes - first  # diagonals of the text's ends in row 0
     places = first[:, None] + np.arange(m + wide)
     inside = (places >= 0) & (places < sizes[:, None])
     codes = texts[np.where(inside, begins[:, None] + places, 0)].astype(np.int32)
     codes[~inside] = -1
+    found = [[np.zeros(0, dtype=np.int64)] * 4]
     for i in range(1, m + 1):
+        if not len(which):
+            break
         now = cost + one * (codes[:, i - 1 : i - 1 + wide] != patterns[:, i - 1 : i])
         now[:, :-1] = np.minimum(now[:, :-1], cost[:, 1:] + one)  # the item's character has no partner
-        outside = (lane < (low - i + 1)[:, None]) | (lane > (high - i)[:, None])
-        # In the column before the text's first character only the item's characters go.
-        edge = lane == (low - i)[:, None]
-        if edge.any():
+        outside = beyond | (lane > (high - i)[:, None])
+        if (low >= i).any():  # diagonals that begin before the text
+            outside |= lane < (low - i)[:, None]
+            # In the column before the text's first character only the item's characters go.
+            edge = lane == (low - i)[:, None]
             up = np.concatenate([cost[:, 1:] + one, np.full((len(cost), 1), huge, dtype=kind)], axis=1)
             now = np.where(edge, up, now)
-            outside &= ~edge
         now[outside] = huge
         # The text's character has no partner: the least from the left, one edit a step.
         now = np.minimum.accumulate(now - one * lane, axis=1) + one * lane
         now[outside] = huge
         cost = now
-        if i % _ROWS == 0 or i == m:
-            alive = cost.min(axis=1) < one * (edits + 1)
-            if not alive.all():
-                which, cost, codes, patterns, low, high, first = (x[alive] for x in (which, cost, codes, patterns, low, high, first))
-            if not len(which):
-                break
-    if not len(which):
-        return which, which, which, which
-    best = cost.argmin(axis=1)
-    value = cost[np.arange(len(which)), best]
-    return which, value >> bits, first + (value & (one - 1)), first + best + m
+        done = lengths == i
+        if done.any() or i % _ROWS == 0:
+            good = cost.min(axis=1) >> bits <= edits
+            ends = np.flatnonzero(done & good)
+            if len(ends):
+                best = cost[ends].argmin(axis=1)
+                value = cost[ends, best]
+                found.append([which[ends], value >> bits, first[ends] + (value & (one - 1)), first[ends] + best + i])
+            go = good & ~done
+            if not go.all():
+                which, cost, codes, patterns, lengths, low, high, first, beyond, edits = (
+                    x[go] for x in (which, cost, codes, patterns, lengths, low, high, first, beyond, edits)
+                )
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def align(item: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[int, int, int]:
@@ -442,24 +459,30 @@ def _verified(index: Index, low: np.ndarray, cut: np.ndarray) -> dict[tuple[int,
     grams = (hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32)
     out: dict[tuple[int, int], set] = {}
     length = index.end[rows[:, 0]] - index.start[rows[:, 0]]
+    kept = [rows[:0]]
     for m in np.unique(length):
         own = rows[length == m]
-        k, width, n = int(index.edits[own[0, 0]]), int(index.width[own[0, 0]]), int(m) - index.q + 1
+        diagonals, n = int(index.width[own[0, 0]] + index.edits[own[0, 0]]), int(m) - index.q + 1
         many = max(1, _ALIGNED // n)
-        shared = [
-            _shared(index, grams, pattern, first + cut[text], n, width + k)
-            for pattern, first, text in (own[part : part + many].T for part in range(0, len(own), many))
-        ]
-        own = own[np.concatenate(shared) >= index.full[own[:, 0]]]
-        wide = width + 3 * k + 1
-        many = max(1, _ALIGNED // wide)
         for part in range(0, len(own), many):
             pattern, first, text = own[part : part + many].T
-            letters = index.letters[(index.at[index.item[pattern]] + index.start[pattern])[:, None] + np.arange(m)]
-            found = align_many(letters, low, cut[text], cut[text + 1] - cut[text], first - k, wide, k)
-            for c, edits, start, end in zip(*[x.tolist() for x in found]):
-                p = int(pattern[c])
-                out.setdefault((int(text[c]), int(index.item[p])), set()).add((edits, start, end, p))
+            shared = _shared(index, grams, pattern, first + cut[text], n, diagonals)
+            kept.append(own[part : part + many][shared >= index.full[pattern]])
+    # Patterns of about one length together, so many as fit the cells.
+    rows = np.concatenate(kept)
+    wide = index.width[rows[:, 0]] + 3 * index.edits[rows[:, 0]] + 1
+    last = 0
+    while last < len(rows):
+        start, last = last, last + max(1, int(np.searchsorted(np.maximum.accumulate(wide[last:]) * np.arange(1, len(rows) - last + 1), _ALIGNED)))
+        pattern, first, text = rows[start:last].T
+        m = index.end[pattern] - index.start[pattern]
+        places = (index.at[index.item[pattern]] + index.start[pattern])[:, None] + np.arange(m.max())
+        letters = index.letters[np.minimum(places, len(index.letters) - 1)]
+        k = index.edits[pattern]
+        found = align_many(letters, m, low, cut[text], cut[text + 1] - cut[text], first - k, wide[start:last], k)
+        for c, edits, begin, end in zip(*[x.tolist() for x in found]):
+            p = int(pattern[c])
+            out.setdefault((int(text[c]), int(index.item[p])), set()).add((edits, begin, end, p))
     return out
 
 
