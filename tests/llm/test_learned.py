@@ -1,13 +1,16 @@
 """Language, toxicity and quality: held-out accuracy and odd rows."""
 
+import math
 import random
 import zlib
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from txnspark.llm import langid
+from txnspark.llm import toxicity as T
 from txnspark.llm.chars import texts_of
 from txnspark.llm.langid import identify_held_out
 from txnspark.llm.quality import sample, score_quality
@@ -156,3 +159,102 @@ def test_quality_of_rows_under_one_id(spark):
     labels = spark.createDataFrame([(one, 1)], "doc_id long, quality int")
     got = score_quality(docs, labels, positives=50, unlabelled=80).collect()
     assert len({round(r.score, 6) for r in got}) > 2
+
+
+def plain_word_evidence(known, texts, discount=None):
+    """Sums over words and pairs by Kneser-Ney models in plain Python; known are (text, label)."""
+
+    def symbols(text):
+        own = (text or "").lower().split()
+        return ["<", *own, ">"] if own else []
+
+    pairs = {}
+    for text, label in known:
+        own = symbols(text)
+        for a, b in zip(own, own[1:]):
+            pairs.setdefault((a, b), [0, 0])[label] += 1
+
+    def taken(counts):
+        ones, twos = counts.count(1), counts.count(2)
+        return ones / (ones + 2 * twos) if ones and twos else 0.5
+
+    words, contexts = sorted({b for _, b in pairs}), sorted({a for a, _ in pairs})
+    before = {w: [sum(n[c] > 0 for (_, b), n in pairs.items() if b == w) for c in (0, 1)] for w in words}
+    both = {w: sum(b == w for _, b in pairs) for w in words}
+    d1 = [taken([before[w][c] for w in words]) for c in (0, 1)]
+    every = [sum(before[w][c] for w in words) for c in (0, 1)]
+    left = [d1[c] * sum(before[w][c] > 0 for w in words) / every[c] if every[c] else 1.0 for c in (0, 1)]
+    p = {w: [max(before[w][c] - d1[c], 0) / (every[c] or 1) + left[c] * both[w] / len(pairs) for c in (0, 1)] for w in words}
+    for c in (0, 1):
+        assert abs(sum(p[w][c] for w in words) - 1) < 1e-9  # a distribution
+    d2 = [taken([n[c] for n in pairs.values()]) for c in (0, 1)]
+    kept = {k: n for k, n in pairs.items() if sum(n) >= T.CUTOFF}
+    rest, of = {}, {}
+    for a in contexts:
+        own = [n for (x, _), n in pairs.items() if x == a]
+        few = [n for n in own if sum(n) < T.CUTOFF]
+        of[a] = [sum(n[c] for n in own) for c in (0, 1)]
+        rest[a] = [
+            (d2[c] * (sum(n[c] > 0 for n in own) - sum(n[c] > 0 for n in few)) + sum(n[c] for n in few)) / of[a][c] if of[a][c] else 1.0
+            for c in (0, 1)
+        ]
+
+    def probability(a, b, c):
+        seen = kept.get((a, b), [0, 0])[c]
+        return max(seen - d2[c], 0) / max(of[a][c], 1) + rest[a][c] * p[b][c]
+
+    for a in contexts:
+        for c in (0, 1):
+            if of[a][c]:
+                assert abs(sum(probability(a, b, c) for b in words) - 1) < 1e-9
+
+    def steep(x):
+        return x + T.WEIGHT * max(x - T.CLEAR, 0)
+
+    base = math.log(left[1]) - math.log(left[0])
+    out = []
+    for text in texts:
+        own, total = symbols(text), 0.0
+        for a, b in zip(own, own[1:]):
+            if (a, b) in kept:
+                total += steep(math.log(probability(a, b, 1)) - math.log(probability(a, b, 0))) - base
+                continue
+            if a in rest:
+                total += math.log(rest[a][1]) - math.log(rest[a][0])
+            if b in p:
+                total += steep(math.log(p[b][1]) - math.log(p[b][0])) - base
+        out.append(total)
+    return out
+
+
+def test_word_evidence_against_plain_kneser_ney(spark, words):
+    rng = random.Random(21)
+    known = []
+    for k in range(50):
+        label = int(k % 3 == 0)
+        own = words(k % 25, rng.randint(0, 30), 40) + ["badword", "very", "badword"] * label * rng.randint(0, 2)
+        known.append((" ".join(own), label))
+    known += [("", 0), (None, 1), ("one", 0), known[3], known[3]]
+    texts = [t for t, _ in known[:50]] + ["never seen words", "badword", "", None, "BADWORD very very"]
+    df = spark.createDataFrame(known, "text string, _label int")
+    weights = T.word_weights(df)
+    model = T._sent(spark, weights).value
+    assert (np.diff(model[0].astype(object)) > 0).all()
+    got = []
+    for _, points, bounds in T.texts_of(pa.array(texts, pa.string())):
+        got += T._summed(model, points, bounds)[0].tolist()
+    want = plain_word_evidence(known, texts)
+    assert np.allclose(got, want, atol=1e-4) and np.ptp(want) > 5
+
+
+def test_toxicity_is_the_same_by_join(spark, words, monkeypatch):
+    """A table of weights that is too large to be sent gives the same scores."""
+    rng = random.Random(22)
+    rows = [(k, " ".join(words(k % 60, rng.randint(0, 40), 80) + ["foul", "play"] * (k % 4 == 0))) for k in range(300)] + [(7, "x"), (None, "foul play"), (301, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(280)], "doc_id long, toxic int")
+    sent = sorted(map(tuple, T.score_toxicity(docs, labels).collect()), key=str)
+    monkeypatch.setattr(T, "MODEL_BYTES", 0)
+    joined = sorted(map(tuple, T.score_toxicity(docs, labels).collect()), key=str)
+    assert [r[:2] + r[3:] for r in sent] == [r[:2] + r[3:] for r in joined]
+    assert np.allclose([r[2] for r in sent], [r[2] for r in joined], atol=1e-4)

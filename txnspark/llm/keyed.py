@@ -1,4 +1,4 @@
-"""Lookups in a table with one row per key that hold up when one key owns much of the other side."""
+"""Lookups by key and numbers of copies that hold up when one key owns much of a table."""
 
 from __future__ import annotations
 
@@ -29,3 +29,25 @@ def lookup(left: DataFrame, right: DataFrame, keys: Sequence[str], rows: int) ->
     hot_rows = left.join(broadcast_if_small(hot), keys)
     cold = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
     return cold.join(right, keys, "left").unionByName(hot_rows)
+
+
+def repeated_names(records: DataFrame, name: str) -> DataFrame:
+    """Stored values of column ``name`` that more than one row has."""
+    return stored(records.groupBy(name).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(name), "repeated")
+
+
+def number_copies(copies: DataFrame, name: str, number: str) -> DataFrame:
+    """``copies`` with the number, from 0, of each row among those of its name.
+
+    ``copies`` is a stored table with ``_row``, a number that grows within each part it was written in.
+    Copies are counted by part first, so that no task gets all rows of a name.
+    """
+    copies = copies.withColumn("_part", F.shiftright("_row", 33))
+    before = copies.groupBy(name, "_part").agg(F.count(F.lit(1)).alias("_n")).selectExpr(
+        name,
+        "_part",
+        f"coalesce(sum(_n) OVER (PARTITION BY {name} ORDER BY _part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _before",
+    )
+    inside = copies.selectExpr("*", f"row_number() OVER (PARTITION BY {name}, _part ORDER BY _row) - 1 AS _in")
+    out = inside.join(before, [name, "_part"]).withColumn(number, F.col("_before") + F.col("_in"))
+    return out.drop("_before", "_in", "_part", "_row")

@@ -16,8 +16,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnspark.scratch import materialize
+from txnspark.scratch import broadcast_if_small, materialize
 
+from .keyed import number_copies, repeated_names
 from .store import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -101,17 +102,30 @@ def mix(
 
     ``copies`` says how often the mix takes the row, ``taken`` is copies * size: the words it takes.
     Sources are weighed in code point order, a null source last and as a source of its
-    own.  Null, empty and blank texts have size 0 and are not taken.  Rows with equal ids share a hash and
-    are taken alike; a null id counts as an empty one.  Columns of ``docs`` named like a
-    result are replaced.
+    own.  Null, empty and blank texts have size 0 and are not taken.  The order of the fractional
+    repetition is by a hash of source, id and text and of a row's number among equal ones, so that it may end
+    among copies; a null id counts as an empty one.  Columns of ``docs`` named like a result are replaced.
     """
     names = ["size", "source_size", "target", "copies", "taken"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in names]
-    key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit(""))).cast("binary"))
-    rows = stored(
-        docs.select(F.col(source_col).cast("string").alias("source"), n_words(F.col(text_col)).alias("size"), key.alias("hash")),
-        "sizes",
-    )
+    source, text = F.col(source_col).cast("string"), F.col(text_col).cast("string").cast("binary")
+    parts = [F.coalesce(c, F.lit("")) for c in (source, F.col(id_col).cast("string"), F.md5(text))]
+    name = F.concat_ws("|", *parts, source.isNull().cast("string"))
+    read = docs.select(source.alias("source"), n_words(F.col(text_col)).alias("size"), name.alias("_name"))
+    read = stored(read.withColumn("_row", F.monotonically_increasing_id()), "sizes")
+    repeated = repeated_names(read, "_name")
+    few, several = broadcast_if_small(repeated), not repeated.isEmpty()
+
+    def hashed(df: DataFrame, to: str) -> DataFrame:
+        """Rows with their place in the order; ``_row`` is there for copies to be numbered."""
+        numbered = df.withColumn("_number", F.lit(0).cast("long")).drop("_row")
+        if several:
+            copies = number_copies(stored(df.join(few, "_name", "left_semi"), "copies"), "_name", "_number")
+            numbered = numbered.join(few, "_name", "left_anti").unionByName(copies)
+        place = F.md5(F.concat_ws("|", F.lit(seed), "_name", F.col("_number").cast("string")).cast("binary"))
+        return numbered.withColumn(to, place).drop("_name", "_number")
+
+    rows = stored(hashed(read, "hash"), "places") if several else hashed(read, "hash")
     targets, n = materialize(plan(rows, weights, epochs), "plan")
     targets = targets.select(
         F.col("source").alias("_source"),
@@ -121,20 +135,24 @@ def mix(
         F.col("last").alias("_last"),
     )
     # ``docs`` is read again, so that no text was written; its sizes are counted once more.
-    full = docs.select(*keep, F.col(source_col).cast("string").alias("_from"), n_words(F.col(text_col)).alias("size"), key.alias("_hash"))
+    own = [F.col(c).alias(f"_k{k}") for k, c in enumerate(keep)]
+    full = docs.select(*own, source.alias("_from"), n_words(F.col(text_col)).alias("size"), name.alias("_name"))
+    full = hashed(full.withColumn("_row", F.monotonically_increasing_id()), "_hash")
     full = full.join(
         F.broadcast(targets) if n <= BROADCAST_SOURCES else targets, F.col("_from").eqNullSafe(F.col("_source")), "left"
     )
     times = F.col("_whole") + F.coalesce((F.col("_hash") <= F.col("_last")).cast("long"), F.lit(0))
     full = full.withColumn("copies", F.when(F.col("size") > 0, times).otherwise(0))
-    return full.withColumn("taken", F.col("size") * F.col("copies")).select(*keep, *names)
+    full = full.withColumn("taken", F.col("size") * F.col("copies"))
+    return full.select(*[F.col(f"_k{k}").alias(c) for k, c in enumerate(keep)], *names)
 
 
 ORACLE = f"""
-WITH d AS (
+WITH d AS MATERIALIZED (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
-         md5('{SEED}:' || coalesce(doc_id::VARCHAR, '')) AS h
-  FROM documents),
+         md5('{SEED}|' || name || '|' || (row_number() OVER (PARTITION BY name) - 1)) AS h
+  FROM (SELECT *, coalesce(source, '') || '|' || coalesce(doc_id::VARCHAR, '') || '|' || coalesce(md5(text), '') || '|' || (source IS NULL) AS name
+        FROM documents)),
 s AS (
   SELECT source, sum(size)::BIGINT AS size,
          [{", ".join(map(str, WEIGHTS))}][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(WEIGHTS)} + 1]::BIGINT AS w

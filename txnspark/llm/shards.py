@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from txnspark.scratch import broadcast_if_small, scratch_path
 
+from .keyed import number_copies, repeated_names
 from .store import stored
 
 SLOTS = 4096
@@ -52,21 +53,10 @@ def place_records(
             F.monotonically_increasing_id().alias("_row"),
         ),
         "records",
-    ).withColumn("_part", F.shiftright("_row", 33))
-    repeated = records.groupBy("_name").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_name")
-    repeated = broadcast_if_small(stored(repeated, "repeated"))
-    # Numbers of copies are counted by part of the table first, so that no task gets all copies.
-    copies = records.join(repeated, "_name", "left_semi")
-    before = copies.groupBy("_name", "_part").agg(F.count(F.lit(1)).alias("_n")).selectExpr(
-        "_name",
-        "_part",
-        "coalesce(sum(_n) OVER (PARTITION BY _name ORDER BY _part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _before",
     )
-    numbered = copies.selectExpr("*", "row_number() OVER (PARTITION BY _name, _part ORDER BY _row) - 1 AS _in").join(
-        before, ["_name", "_part"]
-    )
-    numbered = numbered.withColumn("_number", F.col("_before") + F.col("_in")).drop("_before", "_in")
-    single = records.join(repeated, "_name", "left_anti").withColumn("_number", F.lit(0).cast("long"))
+    repeated = broadcast_if_small(repeated_names(records, "_name"))
+    numbered = number_copies(records.join(repeated, "_name", "left_semi"), "_name", "_number")
+    single = records.join(repeated, "_name", "left_anti").withColumn("_number", F.lit(0).cast("long")).drop("_row")
     placed = single.unionByName(numbered).withColumn("place", _place(F.col("_name"), F.col("_number")))
     slot = F.pmod(F.conv(F.substring("place", 1, 8), 16, 10).cast("long"), F.lit(slots)).cast("int")
     return stored(

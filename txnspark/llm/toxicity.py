@@ -1,12 +1,13 @@
 """Toxicity by class-conditional Kneser-Ney models of word and character n-grams.
 
-Words, with their letters, marks and digits as they are, are counted in runs of up to
-``WORDS``; signs, and characters of scripts without blanks, are words of their own.  All
-n-grams of all learning rows go into a stored table, which grows with them.  Each class
-has its own counts, for lower orders the number of contexts it was seen in; the lowest
-order backs off to contexts counted over both classes.  What an n-gram adds to the
-difference of the two log-likelihoods is one weight per n-gram, so a text is scored by
-joining its distinct n-grams to the table.
+Words, with their letters, marks and digits as they are, are counted alone and in pairs; signs,
+and characters of scripts without blanks, are words of their own.  Pairs have counts by class,
+words the number of contexts they were seen in, by class too; these back off to contexts counted over
+both classes.  Pairs seen once in all learning rows are left to the backoff, which gets their
+share of the probability.  What a pair or a word adds to the difference of the two
+log-likelihoods is one weight; the stored table of weights grows with the learning rows.  It is
+sent to the tasks that read the texts while it has at most ``MODEL_BYTES``, and is joined by
+each text's distinct n-grams beyond.
 
 Beside them, letters are folded to an alphabet of 32 symbols, whose n-grams of order 4
 are a closed set of about a million: obfuscated spellings share most of theirs with the
@@ -21,13 +22,15 @@ labelled rows that the counts have not seen, turns both into a score.
 
 from __future__ import annotations
 
-from functools import reduce
+import math
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from txnspark.scratch import broadcast_if_small
+
 from .chars import folded, lower_letters, texts_of, word_kinds
 from .langid import fold
 from .store import stored
@@ -40,8 +43,12 @@ CLEAR, WEIGHT = 2.0, 4.0
 BROADCAST_LABELS = 2_000_000
 #: The curve is fitted on a histogram of the evidence with so many bins.
 BINS, SPAN = 2048, 4.0
-#: Longest run of words that is counted.
-WORDS = 3
+#: Longest run of words that is counted, and occurrences below which a pair is left to the backoff.
+WORDS, CUTOFF = 2, 2
+#: Bytes of weights (12 each) that may be sent to every task.
+MODEL_BYTES = 64 << 20
+#: Code points of texts whose pairs are counted at once.
+_PIECE = 1 << 19
 _BEGIN, _END, _CHAIN = np.uint64(0x5BD1E995), np.uint64(0xC2B2AE35), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -107,7 +114,7 @@ def log_ratios(counts: np.ndarray) -> np.ndarray:
 
 
 def _grams(points: np.ndarray, bounds: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Hashes of the runs of 1 to ``WORDS`` words that end at each place, bounds of places by text, words by text.
+    """Hashes of the word and of the pair of words that end at each place, bounds of places by text, words by text.
 
     A text with words stands between ``WORDS`` - 1 marks of its beginning and one of its end.
     """
@@ -127,87 +134,141 @@ def _grams(points: np.ndarray, bounds: np.ndarray) -> tuple[list[np.ndarray], np
         prefix_hashes(low), starts, ends
     )
     symbols[cut[1:][words > 0] - 1] = _END
-    grams = [mix(symbols)]
-    for k in range(1, WORDS):
-        # An n-gram's hash follows from that of its context and the last word.
-        before = np.concatenate([np.zeros(1, np.uint64), grams[-1][:-1]])[: len(symbols)]
-        grams.append(mix(before * _CHAIN + symbols))
+    word = mix(symbols)
+    before = np.concatenate([np.zeros(1, np.uint64), word[:-1]])[: len(word)]
+    grams = [word, _pair(before, word)]
     return grams, cut, words
 
 
 def _count_words(batches):
-    """Distinct longest n-grams of a piece: hashes of all orders (g), of their contexts (c), and counts by class."""
+    """(word, context, n0, n1): distinct pairs of a piece, by the hashes of both words, with counts by class."""
     for batch in batches:
         label = batch.column(1).to_numpy()
-        for first, points, bounds in texts_of(batch.column(0)):
-            grams, cut, words = _grams(points, bounds)
+        for first, points, bounds in texts_of(batch.column(0), _PIECE):
+            (word, pair), cut, words = _grams(points, bounds)
             place = np.arange(cut[-1]) - np.repeat(cut[:-1], np.diff(cut))
-            at = np.flatnonzero(place >= WORDS - 1)
+            at = np.flatnonzero(place >= 1)
             one = np.repeat(label[first : first + len(words)] == 1, np.diff(cut))[at]
-            _, where, group = np.unique(grams[-1][at], return_index=True, return_inverse=True)
+            _, where, group = np.unique(pair[at], return_index=True, return_inverse=True)
             ones, every = np.bincount(group, weights=one, minlength=len(where)), np.bincount(group, minlength=len(where))
             at = at[where]
-            columns = [g[at].view(np.int64) for g in grams] + [g[at - 1].view(np.int64) for g in grams[:-1]]
-            counts = [(every - ones).astype(np.int64), ones.astype(np.int64)]
-            yield pa.record_batch([pa.array(c) for c in columns + counts], names=_names(WORDS) + ["n0", "n1"])
+            counts = [(every - ones).astype(np.int32), ones.astype(np.int32)]
+            yield pa.record_batch(
+                [pa.array(word[at].view(np.int64)), pa.array(word[at - 1].view(np.int64)), *map(pa.array, counts)],
+                names=["word", "context", "n0", "n1"],
+            )
+
+
+def _pair_keys(batches):
+    """The hash of each pair, as texts have it, in front of its weight."""
+    for batch in batches:
+        word, context = (batch.column(k).to_numpy().view(np.uint64) for k in (0, 1))
+        yield pa.record_batch([pa.array(_pair(context, word).view(np.int64)), batch.column(2)], names=["key", "weight"])
 
 
-def _names(order: int) -> list[str]:
-    """Columns of n-grams up to an order and of their contexts, which from order 2 on are n-grams too."""
-    return [f"g{k}" for k in range(1, order + 1)] + [f"c{k}" for k in range(2, order + 1)]
+def _pair(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return mix(context * _CHAIN + word)
 
 
 def _steep(x):
     return x + WEIGHT * F.greatest(x - CLEAR, F.lit(0.0))
 
 
+def _discounts(row) -> list[float]:
+    """What is taken from each count of either class, by how many counts are 1 and 2."""
+    out = []
+    for c in (0, 1):
+        ones, twos = row[f"one{c}"] or 0, row[f"two{c}"] or 0
+        out.append(ones / (ones + 2 * twos) if ones and twos else 0.5)
+    return out
+
+
 def word_weights(rows: DataFrame) -> DataFrame:
-    """(key, weight) of every n-gram in rows (text, _label): what an occurrence adds to a text's evidence.
+    """Stored (key, weight) of words and pairs in rows (text, _label): what an occurrence adds to a text's evidence.
 
-    An unseen n-gram is worth what its context and the shorter n-gram say, so the weight of
-    a seen one is its own log-ratio less these, and more as the context of what follows.
+    An unseen pair is worth what its context and its word say, so the weight of a seen one is
+    its own log-ratio less these, and a word's is more by what it says as the context of the next.
     """
-    schema = ", ".join(f"{c} long" for c in _names(WORDS) + ["n0", "n1"])
-    raw = rows.select("text", "_label").mapInArrow(_count_words, schema)
-    levels: dict[int, DataFrame] = {}
-    for k in range(WORDS, 0, -1):
-        source = raw if k == WORDS else levels[k + 1]
-        rest = [F.first(c).alias(c) for c in _names(k) if c != f"g{k}"]
-        counts = [F.sum(c) if k == WORDS else F.sum((F.col(c) > 0).cast("long")) for c in ("n0", "n1")]
-        counted = source.groupBy(f"g{k}").agg(*rest, counts[0].alias("n0"), counts[1].alias("n1"), F.count("*").alias("both"))
-        levels[k] = stored(counted, f"words{k}")
-    totals = [F.coalesce(F.sum(f"n{c}"), F.lit(0)).alias(f"a{c}") for c in (0, 1)]
-    totals += [F.coalesce(F.sum((F.col(f"n{c}") > 0).cast("long")), F.lit(0)).alias(f"t{c}") for c in (0, 1)]
-    out, lower = [], None
-    for k in range(1, WORDS + 1):
-        own = levels[k]
-        few = [F.coalesce(F.sum((F.col(f"n{c}") == n).cast("long")), F.lit(0)) for c in (0, 1) for n in (1, 2)]
-        few = own.agg(*few).first()
-        d = [few[2 * c] / (few[2 * c] + 2 * few[2 * c + 1]) if few[2 * c] and few[2 * c + 1] else 0.5 for c in (0, 1)]
-        if k == 1:
-            every = own.agg(*totals, F.coalesce(F.sum("both"), F.lit(0)).alias("all")).first()
-            joined = own.withColumns({x: F.lit(every[x]) for x in ("a0", "a1", "t0", "t1")})
-            joined = joined.withColumns({f"p{c}": F.col("both") / F.lit(float(every["all"] or 1)) for c in (0, 1)})
-            joined = joined.withColumn("low", F.lit(0.0))
-        else:
-            contexts = own.groupBy(f"c{k}").agg(*totals)
-            joined = own.join(contexts, f"c{k}").join(lower, f"g{k - 1}")
-        left = [F.when(F.col(f"a{c}") > 0, d[c] * F.col(f"t{c}") / F.greatest(f"a{c}", F.lit(1))).otherwise(1.0) for c in (0, 1)]
-        seen = [
-            F.when(F.col(f"a{c}") > 0, F.greatest(F.col(f"n{c}") - d[c], F.lit(0.0)) / F.greatest(f"a{c}", F.lit(1))).otherwise(0.0)
-            for c in (0, 1)
-        ]
-        probability = [seen[c] + left[c] * F.col(f"p{c}") for c in (0, 1)]
-        joined = joined.withColumn("back", F.log(left[1]) - F.log(left[0]))
-        joined = joined.withColumns({"q0": probability[0], "q1": probability[1]})
-        joined = joined.withColumn("value", _steep(F.log("q1") - F.log("q0")))
-        joined = stored(joined.select(*[f"g{k}", *([f"c{k}"] if k > 1 else [])], "q0", "q1", "value", "back", "low"), f"level{k}")
-        out.append(joined.select(F.col(f"g{k}").alias("key"), (F.col("value") - F.col("back") - F.col("low")).alias("weight")))
-        if k > 1:
-            out.append(joined.groupBy(F.col(f"c{k}").alias("key")).agg(F.first("back").alias("weight")))
-        lower = joined.select(f"g{k}", F.col("q0").alias("p0"), F.col("q1").alias("p1"), F.col("value").alias("low"))
-    every = reduce(DataFrame.unionByName, out)
-    return stored(every.groupBy("key").agg(F.sum("weight").alias("weight")), "weights")
+    raw = rows.select("text", "_label").mapInArrow(_count_words, "word long, context long, n0 int, n1 int")
+    pairs = raw.groupBy("word", "context").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    # Three readings of one shuffle, written together: pairs are too many to be stored.
+    few = F.col("n0") + F.col("n1") < CUTOFF
+    number = lambda x: F.sum(x.cast("long"))
+    contexts = pairs.groupBy("context").agg(
+        *[F.sum(f"n{c}").alias(f"n{c}") for c in (0, 1)],
+        *[number(F.col(f"n{c}") > 0).alias(f"types{c}") for c in (0, 1)],
+        *[number(few & (F.col(f"n{c}") > 0)).alias(f"left{c}") for c in (0, 1)],
+        *[number(F.col(f"n{c}") == n).alias(f"{name}{c}") for c in (0, 1) for n, name in ((1, "one"), (2, "two"))],
+    )
+    words = pairs.groupBy("word").agg(*[number(F.col(f"n{c}") > 0).alias(f"n{c}") for c in (0, 1)], F.count(F.lit(1)).alias("types0"))
+    every = words.withColumn("kind", F.lit(1)).unionByName(contexts.withColumn("kind", F.lit(2)), allowMissingColumns=True)
+    every = stored(every.unionByName(pairs.filter(~few).withColumn("kind", F.lit(3)), allowMissingColumns=True), "counts")
+
+    words = every.filter("kind = 1").select("word", "n0", "n1", F.col("types0").alias("both"))
+    told = words.agg(
+        *[F.coalesce(F.sum(f"n{c}"), F.lit(0)).alias(f"all{c}") for c in (0, 1)],
+        *[number(F.col(f"n{c}") > 0).alias(f"types{c}") for c in (0, 1)],
+        *[number(F.col(f"n{c}") == n).alias(f"{name}{c}") for c in (0, 1) for n, name in ((1, "one"), (2, "two"))],
+        F.coalesce(F.sum("both"), F.lit(0)).alias("all"),
+    ).first()
+    d = _discounts(told)
+    left = [d[c] * (told[f"types{c}"] or 0) / told[f"all{c}"] if told[f"all{c}"] else 1.0 for c in (0, 1)]
+    shared = F.col("both") / F.lit(float(told["all"] or 1))
+    low = [F.greatest(F.col(f"n{c}") - d[c], F.lit(0.0)) / float(told[f"all{c}"] or 1) + left[c] * shared for c in (0, 1)]
+    words = words.select("word", *[x.alias(f"p{c}") for c, x in enumerate(low)])
+    words = stored(words.withColumn("low", _steep(F.log("p1") - F.log("p0"))), "words")
+
+    contexts = every.filter("kind = 2")
+    d2 = _discounts(contexts.agg(*[F.sum(f"{n}{c}").alias(f"{n}{c}") for n in ("one", "two") for c in (0, 1)]).first())
+    rest = [
+        F.when(F.col(f"n{c}") > 0, (d2[c] * (F.col(f"types{c}") - F.col(f"left{c}")) + F.col(f"left{c}")) / F.greatest(f"n{c}", F.lit(1)))
+        .otherwise(1.0)
+        .alias(f"rest{c}")
+        for c in (0, 1)
+    ]
+    contexts = contexts.select("context", *rest, *[F.col(f"n{c}").alias(f"of{c}") for c in (0, 1)])
+    contexts = stored(contexts.withColumn("back", F.log("rest1") - F.log("rest0")), "contexts")
+
+    kept = every.filter("kind = 3").select("word", "context", "n0", "n1")
+    kept = kept.join(broadcast_if_small(contexts), "context").join(broadcast_if_small(words), "word")
+    seen = [
+        F.greatest(F.col(f"n{c}") - d2[c], F.lit(0.0)) / F.greatest(f"of{c}", F.lit(1)) + F.col(f"rest{c}") * F.col(f"p{c}") for c in (0, 1)
+    ]
+    value = _steep(F.log(seen[1]) - F.log(seen[0])) - F.col("back") - F.col("low")
+    kept = kept.select("word", "context", value.alias("weight")).mapInArrow(_pair_keys, "key long, weight double")
+    base = math.log(left[1]) - math.log(left[0]) if min(left) > 0 else 0.0
+    single = words.select(F.col("word").alias("key"), (F.col("low") - base).alias("weight"))
+    single = single.unionByName(contexts.select(F.col("context").alias("key"), F.col("back").alias("weight")))
+    single = single.groupBy("key").agg(F.sum("weight").alias("weight"))
+    return stored(single.unionByName(kept), "weights")
+
+
+def _sent(spark, weights: DataFrame):
+    """The table of weights as a broadcast of sorted keys and weights, or None if it is too large."""
+    if weights.count() * 12 > MODEL_BYTES:
+        return None
+    got = weights.toArrow()
+    keys = got["key"].to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    return spark.sparkContext.broadcast((keys[order], got["weight"].to_numpy()[order].astype(np.float32)))
+
+
+def _summed(model: tuple[np.ndarray, np.ndarray], points: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the weights of each text's words and pairs, and its number of words."""
+    keys, weights = model
+    grams, cut, words = _grams(points, bounds)
+    text = np.repeat(np.arange(len(words)), np.diff(cut))
+    place = np.arange(cut[-1]) - cut[text]
+    total = np.zeros(len(words))
+    for k, gram in enumerate(grams):
+        at = np.flatnonzero(place >= k)
+        if not len(at) or not len(keys):
+            continue
+        own, group = np.unique(gram[at], return_inverse=True)
+        where = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+        value = np.where(keys[where] == own, weights[where], 0.0)
+        total += np.bincount(text[at], weights=value[group], minlength=len(words))
+    return total, words
 
 
 def _text_grams(batches):
@@ -218,8 +279,8 @@ def _text_grams(batches):
             grams, cut, words = _grams(points, bounds)
             text = np.repeat(np.arange(len(words)), np.diff(cut))
             place = np.arange(cut[-1]) - cut[text]
-            # Of the marks of the beginning only the last is a context, alone and with those before.
-            at = [np.flatnonzero(place >= WORDS - 1 - (k < WORDS - 1)) for k in range(WORDS)]
+            # The mark of the beginning is a context.
+            at = [np.flatnonzero(place >= k) for k in range(WORDS)]
             keys, text = np.concatenate([g[a] for g, a in zip(grams, at)]), np.concatenate([text[a] for a in at])
             order = np.lexsort((keys, text))
             keys, text = keys[order], text[order]
@@ -242,8 +303,8 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str, label_col: str) ->
     return docs.join(known, docs[id_col] == known["_lid"], "left").drop("_lid")
 
 
-def _evidence(ratios):
-    """Evidence of the characters per symbol, and the number of words, in place of the last column."""
+def _evidence(ratios, model):
+    """Evidence of the characters per symbol, sum of the words' weights (if sent) and number of words, in place of the last column."""
 
     def run(batches):
         table = ratios.value
@@ -253,10 +314,10 @@ def _evidence(ratios):
                 sums = np.concatenate([[0.0], np.cumsum(table[cells], dtype=np.float64)])
                 size = np.diff(cut)
                 value = (sums[cut[1:]] - sums[cut[:-1]]) / np.maximum(size, 1)
-                words = _grams(points, bounds)[2]
+                total, words = _summed(model.value, points, bounds) if model else (np.zeros(len(size)), _grams(points, bounds)[2])
                 yield pa.record_batch(
-                    [*[c.slice(first, len(size)) for c in batch.columns[:-1]], pa.array(value), pa.array(words)],
-                    names=[*batch.schema.names[:-1], "letters", "words"],
+                    [*[c.slice(first, len(size)) for c in batch.columns[:-1]], pa.array(value), pa.array(total), pa.array(words)],
+                    names=[*batch.schema.names[:-1], "letters", "total", "words"],
                 )
 
     return run
@@ -330,15 +391,20 @@ def score_toxicity(
     counted = known.filter("_part > 1 AND _label IS NOT NULL")
     shared = spark.sparkContext.broadcast(letter_ratios(counted))
     weights = word_weights(counted)
-    # Equal texts share their sums: each copy adds as much to the evidence as to the words it is divided by.
-    grams = rows.select("digest", "text").mapInArrow(_text_grams, "digest long, key long, n int")
-    worded = grams.join(weights, "key").groupBy("digest").agg(F.sum(F.col("n") * F.col("weight")).alias("sum"))
+    model = _sent(spark, weights)
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, _part long, digest long, _label int, letters double, words long"
-    seen = stored(known.select("doc_id", "_part", "digest", "_label", "text").mapInArrow(_evidence(shared), schema), "letters")
-    sizes = seen.groupBy("digest").agg(F.sum(F.col("words") + 1).alias("size"))
-    worded = worded.join(sizes, "digest").select("digest", (F.col("sum") / F.col("size")).alias("worded"))
-    seen = stored(seen.join(worded, "digest", "left").fillna(0.0, ["worded"]), "evidence")
+    schema = f"doc_id {id_type}, _part long, digest long, _label int, letters double, total double, words long"
+    texts = known.select("doc_id", "_part", "digest", "_label", "text")
+    seen = stored(texts.mapInArrow(_evidence(shared, model), schema), "evidence")
+    if model is None:
+        # Equal texts share their sums: each copy adds as much to the evidence as to the words it is divided by.
+        grams = rows.select("digest", "text").mapInArrow(_text_grams, "digest long, key long, n int")
+        worded = grams.join(weights, "key").groupBy("digest").agg(F.sum(F.col("n") * F.col("weight")).alias("sum"))
+        sizes = seen.groupBy("digest").agg(F.sum(F.col("words") + 1).alias("size"))
+        worded = worded.join(sizes, "digest").select("digest", (F.col("sum") / F.col("size")).alias("worded"))
+        seen = stored(seen.join(worded, "digest", "left").fillna(0.0, ["worded"]), "evidence")
+    else:
+        seen = seen.withColumn("worded", F.col("total") / (F.col("words") + 1))
     curve = fit_curve(seen.filter("_part = 1 AND _label IS NOT NULL"))
     power = curve[0] * F.col("letters") + curve[1] * F.col("worded") + curve[2]
     scored = seen.select(
