@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 from datetime import datetime, timezone
 
 from pathlib import Path
@@ -23,7 +24,7 @@ from txnspark.operators.normalize import (
 from txnspark.plans import cli, jobs
 from txnspark.schemas import BEHAVIORAL, IDENTITIES, TABLES, TRANSACTIONS, ensure_tables
 from txnspark.settings import EVENT_EPOCH, EVENT_EPOCH_SECONDS, Lake
-from txnspark.sources.files import file_inventory, load_raw, raw_schema, read_csv, require_files
+from txnspark.sources.files import file_inventory, first_in_files, load_raw, raw_schema, read_csv, require_files
 from txnspark.sources.tables import overwrite_table, upsert_table, write_features
 
 HEADER = (
@@ -202,6 +203,27 @@ def test_csv_types_follow_names(spark, raw_dir):
         read_csv(spark, f"{raw_dir}/absent.csv")
 
 
+@pytest.mark.parametrize("top_rows", [100_000, 50])
+def test_first_rows_in_the_order_of_files(spark, tmp_path, top_rows):
+    """Files by name, lines by place, also where a file is read in parts by several tasks."""
+    rng, want = random.Random(2), []
+    for k, n in enumerate([900, 3, 0, 1200]):
+        ids = rng.sample(range(100_000), n)
+        (tmp_path / f"part-{k}.csv").write_text("TransactionID,M1\n" + "".join(f"{i},{'x' * (i % 40)}\n" for i in ids))
+        want += ids
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        df = read_csv(spark, str(tmp_path))
+        assert df.rdd.getNumPartitions() > 8
+        for n in (0, 1, 899, 1000, 2103, 9999):
+            got = first_in_files(df, n, top_rows=top_rows).select("TransactionID").collect()
+            assert sorted(r[0] for r in got) == sorted(want[:n])
+        assert first_in_files(df, -1).count() == first_in_files(df, None).count() == 2103
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_limit_applies_before_the_join(spark, raw_dir):
     out = merged(spark, raw_dir, limit=1).collect()
     assert [(r["TransactionID"], r["id_30"]) for r in out] == [(2987000, "Windows 10")]

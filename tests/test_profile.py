@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
@@ -216,6 +217,7 @@ def test_ks(df, pdf, limit):
     row = drift.ks_two_sample(left, right, "V1", one_task_rows=limit).first()
     x, y = (list(p["V1"].dropna().astype(float)) for p in (a, b))
     assert math.isclose(row["statistic"], ks_direct(x, y)) and (row["n_left"], row["n_right"]) == (len(x), len(y))
+    row = drift.ks_two_sample(left, right, "V1", exact_rows=10, one_task_rows=limit).first()
     lam = math.sqrt(len(x) * len(y) / (len(x) + len(y))) * row["statistic"]
     tail = 2 * sum((-1) ** (k - 1) * math.exp(-2 * k * k * lam * lam) for k in range(1, 200))
     assert math.isclose(row["p_value"], min(1, tail), abs_tol=1e-9)
@@ -226,6 +228,32 @@ def test_ks(df, pdf, limit):
     assert apart["statistic"] == 1.0 and apart["p_value"] < 1e-9
 
 
+def test_exact_ks_tail_equals_enumeration():
+    """Over all orders of two samples, for all sizes up to 8 by 8 and all gaps."""
+    for m in range(1, 9):
+        for n in range(1, 9):
+            gaps, total = {}, math.comb(m + n, m)
+            for left in itertools.combinations(range(m + n), m):
+                a = b = most = 0
+                for k in range(m + n):
+                    a, b = (a + 1, b) if k in left else (a, b + 1)
+                    most = max(most, abs(a * n - b * m))
+                gaps[most] = gaps.get(most, 0) + 1
+            for gap in range(m * n + 2):
+                want = sum(c for g, c in gaps.items() if g >= gap) / total
+                assert math.isclose(drift.exact_tail(m, n, gap), want, rel_tol=1e-9, abs_tol=1e-15), (m, n, gap)
+    # Far out there is one path on either side; large samples come near the limit.
+    assert math.isclose(drift.exact_tail(40, 60, 40 * 60), 2 / math.comb(100, 40), rel_tol=1e-9)
+    assert abs(drift.exact_tail(900, 800, 900 * 800 // 15) - drift.kolmogorov_tail(math.sqrt(900 * 800 / 1700) / 15)) < 0.01
+
+
+def test_ks_without_values(spark):
+    rows = spark.createDataFrame([(1.0,), (None,)], "v double")
+    none = drift.ks_two_sample(rows, rows.filter("v > 5"), "v").first()
+    assert (none["statistic"], none["p_value"], none["n_left"]) == (None, None, 1)
+    assert tuple(drift.ks_two_sample(rows, rows, "v").first()) == ("v", 0.0, 1.0, 1, 1)
+
+
 def test_shares_and_missing_drift(df, pdf):
     left, right = df.filter("TransactionID < 300"), df.filter("TransactionID >= 300 and coalesce(ProductCD, '') <> 'W'")
     got = {r["value"]: (r["left_share"], r["right_share"]) for r in drift.share_comparison(left, right, "ProductCD", top_n=2).collect()}

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+import numpy as np
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,23 +14,55 @@ from txnspark.operators.ordered import ONE_TASK_ROWS, running_totals
 from txnspark.operators.profile import missing_by_group, value_counts
 
 _TERMS = 100
+# Values of a side up to which the p-value is exact: the driver walks sides squared steps.
+EXACT_ROWS = 1_000
 
 
-def _kolmogorov_tail(x: Column) -> Column:
+def kolmogorov_tail(x: float) -> float:
     """P(K > x) of the limiting distribution: 2 * sum (-1)^(k-1) exp(-2 k^2 x^2)."""
-    terms = F.transform(
-        F.sequence(F.lit(1), F.lit(_TERMS)),
-        lambda k: F.when(k % 2 == 1, 1.0).otherwise(-1.0) * F.exp(-2.0 * k * k * x * x),
-    )
-    total = F.aggregate(terms, F.lit(0.0), lambda a, b: a + b) * 2.0
-    # Below 0.2 the series has not converged and the tail is 1 to six digits.
-    return F.when(x < 0.2, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), total)))
+    if x < 0.2:  # the series has not converged, and the tail is 1 to six digits
+        return 1.0
+    total = 2 * sum((1 if k % 2 else -1) * math.exp(-2 * k * k * x * x) for k in range(1, _TERMS + 1))
+    return min(1.0, max(0.0, total))
+
+
+def exact_tail(left: int, right: int, gap: int) -> float:
+    """P(a gap of at least ``gap`` / (left * right)) between the samples if all orders of their values are alike.
+
+    An order is a path through a lattice of ``left`` by ``right`` steps.  The probability of the paths that
+    have kept below the gap goes from one diagonal of the lattice to the next; what leaves there is added up,
+    so that small tails lose no digits.
+    """
+    if gap <= 0:
+        return 1.0
+    at = np.arange(left + 1, dtype=np.int64)
+    inside, gone = np.zeros(left + 1), 0.0
+    inside[0] = 1.0
+    for step in range(1, left + right + 1):
+        rest = left + right - step + 1
+        other = step - at
+        now = inside * np.clip(right - other + 1, 0, None) / rest
+        now[1:] += inside[:-1] * (left - at[1:] + 1) / rest
+        now[(other < 0) | (other > right)] = 0.0
+        out = np.abs(at * right - other * left) >= gap
+        gone += now[out].sum()
+        now[out] = 0.0
+        inside = now
+    return min(1.0, float(gone))
 
 
 def ks_two_sample(
-    left: DataFrame, right: DataFrame, column: str, *, one_task_rows: int = ONE_TASK_ROWS
+    left: DataFrame,
+    right: DataFrame,
+    column: str,
+    *,
+    exact_rows: int = EXACT_ROWS,
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov statistic and its asymptotic p-value, one row.
+    """Two-sample Kolmogorov-Smirnov statistic and its p-value, one row.
+
+    The p-value is exact while neither side has more than ``exact_rows`` values, as if these were
+    all different, and asymptotic above.  Only the largest gap and the sizes reach the driver.
 
     Numbers compare as doubles with missing values left out; text compares as text
     with a missing value as the level ``nan``.  Both sides are counted per value
@@ -53,18 +88,21 @@ def ks_two_sample(
         totals={"n_left": "_a", "n_right": "_b"},
         one_task_rows=one_task_rows,
     )
-    gap = F.abs(F.try_divide(F.col("_ca"), F.col("n_left")) - F.try_divide(F.col("_cb"), F.col("n_right")))
-    one = placed.agg(
-        F.max(gap).alias("statistic"), F.max("n_left").alias("n_left"), F.max("n_right").alias("n_right")
-    )
-    scale = F.sqrt(F.try_divide(F.col("n_left") * F.col("n_right"), F.col("n_left") + F.col("n_right")))
-    return one.select(
-        F.lit(column).alias("column"),
-        "statistic",
-        F.when(F.col("statistic").isNotNull(), _kolmogorov_tail(scale * F.col("statistic"))).alias("p_value"),
-        "n_left",
-        "n_right",
-    )
+    # The gap as a whole number, over left * right.
+    whole = {c: F.col(c).cast("decimal(19,0)") for c in ("_ca", "_cb", "n_left", "n_right")}
+    gap = F.abs(whole["_ca"] * whole["n_right"] - whole["_cb"] * whole["n_left"])
+    one = placed.agg(F.max(gap).alias("gap"), F.max("n_left").alias("m"), F.max("n_right").alias("n")).first()
+    statistic = p_value = None
+    m, n = one["m"], one["n"]
+    if m and n:
+        most = int(one["gap"])
+        statistic = most / (m * n)
+        if max(m, n) <= exact_rows:
+            p_value = exact_tail(m, n, most)
+        else:
+            p_value = kolmogorov_tail(math.sqrt(m * n / (m + n)) * statistic)
+    row = (column, statistic, p_value, m, n)
+    return left.sparkSession.createDataFrame([row], "column string, statistic double, p_value double, n_left long, n_right long")
 
 
 def share_comparison(left: DataFrame, right: DataFrame, column: str, *, top_n: int = 6) -> DataFrame:

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from txnspark.operators.joins import left_join
-from txnspark.operators.ordered import first_rows
+from txnspark.operators.ordered import TOP_ROWS, first_rows
+from txnspark.scratch import materialize
 
 KEY = "TransactionID"
 # Raw columns by type; everything else is a double.
@@ -57,8 +58,29 @@ def read_csv(
     return reader.schema(schema).csv(path)
 
 
+def first_in_files(df: DataFrame, n: int | None, *, top_rows: int = TOP_ROWS) -> DataFrame:
+    """First ``n`` rows of scanned files in the order of the files: by path, place in the file, and line.
+
+    ``df`` is a scan, or columns of one.  None or a negative number keeps all.  A few rows are a top-n in
+    every task; more are cut by looking up the n-th place in a stored copy.
+    """
+    if n is None or n < 0:
+        return df
+    # Lines of one part of a file are read by one task, in order.
+    place = {
+        "_file": F.col("_metadata.file_path"),
+        "_block": F.col("_metadata.file_block_start"),
+        "_line": F.monotonically_increasing_id(),
+    }
+    placed = df.select("*", *[c.alias(k) for k, c in place.items()])
+    if n <= top_rows:
+        return placed.orderBy(*place).limit(n).drop(*place)
+    kept, _ = materialize(placed, "raw")
+    return first_rows(kept, n, list(place), one_task_rows=top_rows).drop(*place)
+
+
 def merge_raw(transactions: DataFrame, identities: DataFrame, *, limit: int | None = None) -> DataFrame:
-    """Raw transactions, cut to the first ``limit`` ids, with their identity row if any.
+    """Raw transactions, cut to the first ``limit`` by id, with their identity row if any.
 
     The identity side keeps its own columns; names present on both sides get ``_id``.
     """
@@ -76,12 +98,11 @@ def load_raw(
     infer: bool = False,
     schemas: Mapping[str, T.StructType] | None = None,
 ) -> DataFrame:
-    """Scan the raw pair and merge it."""
+    """Scan the raw pair and merge it; ``limit`` keeps the first transactions in the order of the file."""
     schemas = schemas or {}
+    transactions = read_csv(spark, transaction_path, schemas.get("transaction"), infer=infer)
     return merge_raw(
-        read_csv(spark, transaction_path, schemas.get("transaction"), infer=infer),
-        read_csv(spark, identity_path, schemas.get("identity"), infer=infer),
-        limit=limit,
+        first_in_files(transactions, limit), read_csv(spark, identity_path, schemas.get("identity"), infer=infer)
     )
 
 

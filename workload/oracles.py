@@ -148,6 +148,8 @@ ORACLES |= {
         SELECT TransactionID, strftime({_AT}, '%Y-%m-%d %H:%M:%S') AS transaction_at FROM raw""",
     "raw_left_join": f"WITH {MERGED_CTE} SELECT TransactionID, TransactionAmt, id_01, id_30, DeviceInfo FROM merged",
     "normalize_transactions": f"WITH {MERGED_CTE} {_TRANSACTIONS} FROM merged",
+    "raw_first_n": f"""WITH {MERGED_CTE} SELECT TransactionID, TransactionAmt, id_30 FROM merged
+        ORDER BY TransactionAmt DESC, TransactionID LIMIT 700""",
     "normalize_identities": f"WITH {MERGED_CTE} {_IDENTITIES}",
     "ingest_silver_transactions": f"WITH {MERGED_CTE} {_TRANSACTIONS} FROM merged",
     "ingest_wide_features": f"""WITH {MERGED_CTE} SELECT {_STATIC.replace("V1,", "CASE WHEN card4 <> 'O' THEN V1 + 1 ELSE V1 END AS V1,")}
@@ -312,8 +314,9 @@ def _ks(column: str) -> str:
         d AS (SELECT max(abs(ca / CAST(na AS DOUBLE) - cb / CAST(nb AS DOUBLE))) AS d, any_value(na) AS na, any_value(nb) AS nb FROM c),
         x AS (SELECT *, sqrt(CAST(na AS DOUBLE) * nb / (na + nb)) * d AS x FROM d)
         SELECT '{column}' AS "column", round(d, 6) AS statistic, CAST(na AS BIGINT) AS n_left, CAST(nb AS BIGINT) AS n_right,
-            round(CASE WHEN x < 0.2 THEN 1.0 ELSE least(1.0, greatest(0.0, 2 * (SELECT
-                sum(CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END * exp(-2.0 * k * k * x * x)) FROM range(1, 101) r(k)))) END, 6) AS p_value
+            -- the distribution function by its other series, which converges where the tail's does not
+            round(CASE WHEN x < 0.05 THEN 1.0 ELSE greatest(0.0, 1 - sqrt(2 * pi()) / x * (SELECT
+                sum(exp(-(2 * k - 1) * (2 * k - 1) * pi() * pi() / (8 * x * x))) FROM range(1, 101) r(k))) END, 6) AS p_value
         FROM x"""
 
 
@@ -402,6 +405,14 @@ ORACLES |= {
             count(*) FILTER (WHERE k NOT IN (SELECT k FROM o)) = 0 AS is_subset FROM l
         UNION ALL SELECT 'orders in lines', count(*), count(*) FILTER (WHERE k NOT IN (SELECT k FROM l)),
             count(*) FILTER (WHERE k NOT IN (SELECT k FROM l)) = 0 FROM o""",
+    "id_set_members": """SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
+        WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT')""",
+    "id_set_others": """SELECT c_custkey, c_name FROM customer
+        WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey <> 1)""",
+    "id_set_containment": """WITH l AS (SELECT DISTINCT l_orderkey AS k FROM lineitem), o AS (SELECT DISTINCT o_orderkey AS k FROM orders),
+        c AS (SELECT 'lines in orders' AS name, count(*) AS distinct_keys, count(*) FILTER (WHERE k NOT IN (SELECT k FROM o)) AS lacking_keys FROM l
+        UNION ALL SELECT 'orders in lines', count(*), count(*) FILTER (WHERE k NOT IN (SELECT k FROM l)) FROM o)
+        SELECT *, lacking_keys = 0 AS is_subset FROM c""",
     "schema_diff": " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", '{s}' AS side, {n} AS "rows\""""
         for c, s, n in [

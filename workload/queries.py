@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnspark.functions.columns import entity_id, event_day, event_time, log_amount
-from txnspark.operators import dataset, drift, encode, joins, metrics, normalize, profile
+from txnspark.operators import dataset, drift, encode, idsets, joins, metrics, normalize, profile
 from txnspark.operators import model as trees
 from txnspark.operators.ordered import first_rows, with_position
 from txnspark.operators.rolling import (
@@ -263,6 +263,16 @@ def raw_left_join(spark, sf):
     return _merged(spark, sf).select("TransactionID", "TransactionAmt", "id_01", "id_30", "DeviceInfo")
 
 
+@query
+def raw_first_n(spark, sf):
+    """First rows of raw files whose order is not that of the ids, with their identity."""
+    folder = scratch_path(spark, "raw")
+    raw(spark, sf).orderBy(F.desc("TransactionAmt"), "TransactionID").write.option("header", True).csv(f"{folder}/tx")
+    side(spark, sf).write.option("header", True).csv(f"{folder}/id")
+    out = files.load_raw(spark, f"{folder}/tx", f"{folder}/id", limit=700)
+    return out.select("TransactionID", "TransactionAmt", "id_30")
+
+
 @query
 def normalize_transactions(spark, sf):
     out = normalize.normalize_transactions(_merged(spark, sf))
@@ -732,6 +742,30 @@ def subset_check(spark, sf):
     )
 
 
+@query
+def id_set_members(spark, sf):
+    """Lines of urgent orders, by bitmaps of their ids."""
+    wanted = table(spark, sf, "orders").filter("o_orderpriority = '1-URGENT'")
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    return idsets.members(lines, "l_orderkey", idsets.id_set(wanted, "o_orderkey"))
+
+
+@query
+def id_set_others(spark, sf):
+    """Customers without an order, by bitmaps of the ids of those who have one; a missing id is none."""
+    buyers = idsets.id_set(table(spark, sf, "orders").select(F.nullif("o_custkey", F.lit(1)).alias("k")), "k")
+    return idsets.members(table(spark, sf, "customer").select("c_custkey", "c_name"), "c_custkey", buyers, negate=True)
+
+
+@query
+def id_set_containment(spark, sf):
+    """Whether one table's ids are among another's, both ways."""
+    lines = idsets.id_set(table(spark, sf, "lineitem"), "l_orderkey")
+    placed = idsets.id_set(table(spark, sf, "orders"), "o_orderkey")
+    one = idsets.containment(lines, placed).withColumn("name", F.lit("lines in orders"))
+    return one.unionByName(idsets.containment(placed, lines).withColumn("name", F.lit("orders in lines")))
+
+
 @query
 def schema_diff(spark, sf):
     """Columns of the raw pair, counted with the rows of the side that has them."""
