@@ -50,8 +50,7 @@ def texts(words):
     return rows + rows[:30]
 
 
-@pytest.mark.parametrize("budget", [P.BUDGET, 500, 20])
-@pytest.mark.parametrize("row_leaves", [P._ROW_LEAVES, 7])
+@pytest.mark.parametrize("budget, row_leaves", [(P.BUDGET, P._ROW_LEAVES), (500, P._ROW_LEAVES), (20, 7)])
 def test_against_plain_counting(spark, texts, budget, row_leaves, monkeypatch):
     monkeypatch.setattr(P, "_ROW_LEAVES", row_leaves)
     df = spark.createDataFrame([(t, g, 1, "w") for t, g in texts], "text string, lang string, n long, word string").repartition(6)

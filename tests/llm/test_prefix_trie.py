@@ -80,7 +80,7 @@ def talk():
     return rows
 
 
-@pytest.mark.parametrize("block", [1, 2, 4, 7])
+@pytest.mark.parametrize("block", [1, 4])
 def test_trie_of_rebuilt_conversations(spark, talk, block):
     assert got(P.rebuilt_trie(frame(spark, talk), block=block)) == plain(rebuilt(conversations(talk)))
 

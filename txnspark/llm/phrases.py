@@ -28,14 +28,14 @@ from .text import LOWER, mix, pieces, prefix_hashes, runs, small_batches, span_h
 
 DEPTH = 3
 #: Suffixes of one group, and suffixes that a task counts before it sends them on.
-BUDGET = 1_000_000
+BUDGET = 500_000
 #: Groups for each shuffle partition at least, so that all tasks get some.
 GROUPS = 4
 LEAST, SHARE, TOP = 10, 50, 2000
 UNKNOWN = "und"
 #: Leaves in one shuffled row: 500 rows fit a worker.
 _ROW_LEAVES = 1_024
-_PIECE = 1 << 20
+_PIECE = 1 << 19
 
 _CUT = np.zeros(256, dtype=bool)
 _CUT[[ord(c) for c in ".,;:!?"] + list(range(0x0A, 0x0E))] = True
