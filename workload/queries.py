@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from txnspark.functions.columns import entity_id, event_day, event_time, log_amount
 from txnspark.operators import dataset, drift, encode, idsets, joins, metrics, normalize, profile
 from txnspark.operators import model as trees
-from txnspark.operators.ordered import first_rows, with_position
+from txnspark.operators.ordered import with_position
 from txnspark.operators.rolling import (
     BEHAVIORAL_SPECS,
     RollingSpec,
