@@ -28,7 +28,7 @@ from .text import LOWER, mix, pieces, prefix_hashes, runs, small_batches, span_h
 
 DEPTH = 3
 #: Suffixes of one group, and suffixes that a task counts before it sends them on.
-BUDGET = 500_000
+BUDGET, COUNTED = 2_000_000, 500_000
 #: Groups for each shuffle partition at least, so that all tasks get some.
 GROUPS = 4
 LEAST, SHARE, TOP = 10, 50, 2000
@@ -130,7 +130,7 @@ def _count_extended(hot, budget):
     """(k1, k2, n): counts of two words in a row whose first is a prefix to extend."""
 
     def run(batches):
-        for (first, second, _), counts in _chunks(batches, budget):
+        for (first, second, _), counts in _chunks(batches, min(budget, COUNTED)):
             keep = np.isin(first, hot.value) & (second > 0)
             (first, second), counts = _counted([first[keep], second[keep]], counts[keep])
             yield pa.record_batch(
@@ -145,7 +145,7 @@ def _deal(plan, groups, budget):
 
     def run(batches):
         words, pairs = plan.value
-        for (a, b, c), counts in _chunks(batches, budget):
+        for (a, b, c), counts in _chunks(batches, min(budget, COUNTED)):
             prefix = a.copy()
             more = np.isin(a, words)
             prefix[more] = _pair(a[more], b[more])
