@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from txnspark.functions.columns import entity_id, event_time
+from txnspark.operators import joins
 from txnspark.operators.joins import duplicate_keys, is_subset, keep_ids, latest_per_key, left_join, upsert
 from txnspark.operators.normalize import (
     conform_identities,
@@ -280,6 +281,31 @@ def test_overwrites_leave_no_old_files(spark, lake):
     assert {"transactions", "train_features"} <= {p.name for p in root.parent.iterdir()}
 
 
+@pytest.mark.parametrize("listed", [None, ["k", "v"]])
+def test_a_large_upsert_is_dealt_to_more_tasks(spark, rows, monkeypatch, listed):
+    """Also hot and NULL keys, a key that only the source has, and columns that are not listed."""
+    target = spark.range(900).selectExpr("CASE WHEN id % 3 = 0 THEN 7 WHEN id % 50 = 1 THEN NULL ELSE id * 2 END AS k", "id AS v", "id % 4 AS w")
+    source = spark.range(600).selectExpr("CASE WHEN id % 40 = 39 THEN NULL ELSE id * 3 + 1 END AS k", "IF(id % 5 = 0, NULL, -id) AS v", "-1L AS w")
+    want = rows(upsert(target, source, "k", listed))
+    monkeypatch.setattr(joins, "UPSERT_ROWS", 100)
+    monkeypatch.setattr(joins, "UPSERT_TASK_ROWS", 100)
+    monkeypatch.setattr(joins, "broadcast_if_small", lambda df: df)
+    out = upsert(target, source, "k", listed)
+    assert rows(out) == want
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(sizes) > 12 and max(sizes) <= 250  # the hot key alone has 300 rows
+    empty = source.limit(0)
+    assert rows(upsert(target, empty, "k", listed)) == rows(target) and rows(upsert(target.limit(0), source, "k")) == rows(source)
+
+
+def test_a_small_batch_leaves_a_large_target_where_it_is(spark, rows, monkeypatch):
+    target = spark.range(900).selectExpr("id AS k", "id AS v")
+    source = spark.range(800, 1000).selectExpr("id AS k", "-id AS v")
+    want = rows(upsert(target, source, "k"))
+    monkeypatch.setattr(joins, "UPSERT_ROWS", 100)
+    assert rows(upsert(target, source, "k")) == want
+
+
 def test_upsert_table(spark, lake, rows):
     ensure_tables(spark, lake, ["bronze"])
     name = lake.table("bronze", "train_features")
