@@ -235,3 +235,20 @@ def test_doubles_as_numbers(spark):
     for v, n in df.select("x", number.alias("n")).collect():
         bits = struct.unpack("<q", struct.pack("<d", abs(v)))[0]
         assert n == (0x7FF0000000000001 if math.isnan(v) else bits if v >= 0 else -bits), v
+
+
+def test_a_chunk_is_a_tasks_own(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "CHUNK_ROWS", 50)
+    df = spark.range(1500).selectExpr("id % 3 = 0 AS g", "id AS x", "id % 7 AS v")
+    out = running_totals(df, group=["g"], order=["x"], sums={"s": "v"}, one_task_rows=100)
+    rows = sorted((r["g"], r["x"], r["s"]) for r in out.collect())
+    want = []
+    for g in (False, True):
+        total = 0
+        for x in range(1500):
+            if (x % 3 == 0) == g:
+                total += x % 7
+                want.append((g, x, total))
+    assert rows == want
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert max(sizes) <= 120 and len(sizes) >= 15
