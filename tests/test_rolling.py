@@ -9,6 +9,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from txnspark.operators import ordered, rolling
 from txnspark.operators.rolling import (
     BEHAVIORAL_SPECS,
     RollingSpec,
@@ -303,3 +304,49 @@ def test_odd_amounts_and_null_ids_have_one_answer(spark, strategy, hot_rows):
         ]
         assert r.velocity_1h == len(amounts)
         assert r.cumulative_spend_24h == pytest.approx(sum(v for v in amounts if v is not None), abs=1e-8)
+
+
+def _most_rows_in_a_task(df):
+    return df.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+
+
+def many_entities(n=1200):
+    rng = random.Random(8)
+    return [(i, f"u{rng.randrange(200)}", T + timedelta(minutes=rng.randrange(5_000)), rng.choice([None, 1.5, 7.0])) for i in range(n)]
+
+
+@pytest.mark.parametrize("strategy", ["auto", "sweep"])
+def test_a_larger_table_is_swept_in_more_tasks(spark, monkeypatch, strategy):
+    monkeypatch.setattr(rolling, "SWEEP_ROWS", 50)
+    data = many_entities()
+    out = rolling_features(frame(spark, data), strategy=strategy)
+    got, want = by_id(out), brute(data)
+    assert got.keys() == want.keys() and all(same(got[k], want[k]) for k in want)
+    assert _most_rows_in_a_task(out) <= 150  # a quarter of all, 300, when dealt by Spark's default
+
+
+def test_hot_entities_are_joined_in_more_tasks(spark, monkeypatch):
+    monkeypatch.setattr(rolling, "SWEEP_ROWS", 50)
+    monkeypatch.setattr(ordered, "CHUNK_ROWS", 100)
+    data = [(i if i % 7 else None, "hot" if i % 2 else u, at, amt) for i, u, at, amt in many_entities()]
+    numbered = frame(spark, data).withColumn("row", F.monotonically_increasing_id())
+    out = rolling_features(numbered, hot_rows=300, one_task_rows=100)
+    plain = rolling_features(numbered, strategy="sweep")
+    got, want = by_id(out, "row"), by_id(plain, "row")
+    assert len(got) == len(data) and all(same(got[k], want[k]) for k in want)
+    assert _most_rows_in_a_task(out) <= 150
+
+
+@pytest.mark.parametrize("ids", [True, False])
+def test_more_requests_are_scored_in_more_tasks(spark, monkeypatch, ids):
+    monkeypatch.setattr(rolling, "SWEEP_ROWS", 100)
+    data = many_entities()
+    later = [(i, u, at + timedelta(minutes=30), amt) for i, u, at, amt in data]
+    requests = frame(spark, later).withColumn("request_id", F.col("transaction_id"))
+    requests = requests if ids else requests.drop("transaction_id")
+    out = score_requests(requests, frame(spark, data))
+    asked = later if ids else [(None, *r[1:]) for r in later]
+    got = by_id(out, "request_id")
+    want = {i: brute(data, requests=[r])[r[0]] for i, r in enumerate(asked)}
+    assert got.keys() == want.keys() and all(same(got[k], want[k]) for k in want)
+    assert _most_rows_in_a_task(out) <= 150
