@@ -13,7 +13,16 @@ from pyspark.sql import functions as F
 
 from txnspark.functions.columns import entity_id, event_time
 from txnspark.operators import joins
-from txnspark.operators.joins import duplicate_keys, is_subset, keep_ids, latest_per_key, left_join, upsert
+from txnspark.operators.joins import (
+    duplicate_keys,
+    frequent_keys,
+    is_subset,
+    keep_ids,
+    latest_per_key,
+    left_join,
+    left_join_by_size,
+    upsert,
+)
 from txnspark.operators.normalize import (
     conform_identities,
     conform_transactions,
@@ -25,7 +34,7 @@ from txnspark.operators.normalize import (
 from txnspark.plans import cli, jobs
 from txnspark.schemas import BEHAVIORAL, IDENTITIES, TABLES, TRANSACTIONS, ensure_tables
 from txnspark.settings import EVENT_EPOCH, EVENT_EPOCH_SECONDS, Lake
-from txnspark.sources.files import file_inventory, first_in_files, load_raw, raw_schema, read_csv, require_files
+from txnspark.sources.files import file_inventory, first_in_files, load_raw, merge_raw, raw_schema, read_csv, require_files
 from txnspark.sources.tables import overwrite_table, upsert_table, write_features
 
 HEADER = (
@@ -160,6 +169,72 @@ def test_left_join_spreads_null_keys(spark, rows):
     assert rows(left_join(left, right, "k")) == want == rows(left_join(left, right, "k", spread_nulls=False))
 
 
+@pytest.fixture
+def small_tasks(monkeypatch):
+    monkeypatch.setattr(joins, "JOIN_ROWS", 100)
+    monkeypatch.setattr(joins, "JOIN_TASK_ROWS", 100)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+
+
+def sizes(df):
+    return [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+
+
+def test_a_large_left_join_is_dealt_to_more_tasks(spark, rows, small_tasks):
+    """Also hot and NULL keys, and keys that come several times on the right side."""
+    left = spark.range(900).selectExpr("id AS v", "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 50 = 1 THEN NULL ELSE id * 2 END AS k")
+    right = spark.range(600).selectExpr("CASE WHEN id % 40 = 39 THEN NULL WHEN id < 2 THEN 7 ELSE id - id % 4 END AS k", "-id AS w")
+    out = left_join_by_size(left, right, "k")
+    assert out.columns == ["v", "k", "w"]
+    want = rows(left_join(left, right, "k"))
+    assert rows(out) == want and rows(left_join_by_size(left, right, "k", left_rows=10**9)) == want
+    assert len(sizes(out)) > 12 and max(sizes(out)) <= 250  # the hot key alone has 600 rows
+    once = right.dropDuplicates(["k"])
+    cold = left.withColumn("k", F.col("v"))
+    assert rows(left_join_by_size(cold, once, "k")) == rows(left_join(cold, once, "k"))
+    empty = right.limit(0)
+    assert rows(left_join_by_size(left, empty, "k")) == rows(left_join(left, empty, "k"))
+    assert rows(left_join_by_size(left.limit(0), right, "k")) == []
+
+
+def test_a_large_raw_pair_is_merged_in_more_tasks(spark, rows, small_tasks):
+    transactions = spark.range(800).selectExpr("id AS TransactionID", "id % 2 AS isFraud")
+    identities = spark.range(0, 1600, 3).selectExpr("id AS TransactionID", "id AS id_01", "0L AS isFraud")
+    out = merge_raw(transactions, identities)
+    assert rows(out) == sorted(((i, i % 2, None if i % 3 else i, None if i % 3 else 0) for i in range(800)), key=lambda r: tuple((v is None, str(v)) for v in r))
+    assert max(sizes(out)) <= 120  # a quarter of all, 200, when dealt by Spark's default
+    few = merge_raw(transactions, identities, limit=5)
+    assert rows(few, "TransactionID", "id_01") == [(0, 0), (1, None), (2, None), (3, 3), (4, None)]
+
+
+def test_many_keys_are_searched_for_copies_in_more_tasks(spark, rows, small_tasks):
+    df = spark.range(2000).selectExpr("CASE WHEN id % 5 = 0 THEN -1 WHEN id % 50 = 1 THEN NULL WHEN id > 1990 THEN 2 ELSE id END AS k")
+    want = rows(duplicate_keys(df, "k"))
+    assert want == [(-1, 400), (2, 9)]
+    found = duplicate_keys(df, "k", rows=2000)
+    assert rows(found) == want and found.columns == ["k", "copies"]
+    unique = spark.range(2000).withColumnRenamed("id", "k")
+    assert duplicate_keys(unique, "k", rows=2000).rdd.getNumPartitions() == 20
+    assert rows(duplicate_keys(unique, "k", rows=2000)) == []
+
+
+def test_frequent_keys_are_counted_without_the_others(spark, rows, monkeypatch):
+    df = spark.range(5000).selectExpr("CASE WHEN id % 4 = 0 THEN 'a' WHEN id % 9 = 1 THEN 'b' WHEN id % 9 = 2 THEN NULL ELSE CAST(id AS STRING) END AS k")
+    counted = dict(df.groupBy("k").count().collect())
+    grouped, store = [], joins.materialize
+
+    def stored(out, label):
+        if label == "hot":
+            grouped.append(out._jdf.queryExecution().optimizedPlan().toString())
+        return store(out, label)
+
+    monkeypatch.setattr(joins, "materialize", stored)
+    assert rows(frequent_keys(df, "k", 5000, 400)) == [("a", 1250), ("b", counted["b"])]
+    assert frequent_keys(df, "k", 5000, 1250) is None and frequent_keys(df, "k", 5000, 5000) is None
+    assert all("LeftSemi" in plan for plan in grouped) and len(grouped) == 2
+    assert rows(frequent_keys(df, "k", 10**9, 400)) == [("a", 1250), ("b", counted["b"])]  # too small a share
+
+
 def test_upsert_rules(spark, rows):
     target = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0), (None, "n", 9.0)], "k int, s string, extra double")
     source = spark.createDataFrame([(2, None), (3, "new"), (None, "null key")], "k int, s string")

@@ -9,7 +9,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from txnspark.operators import ordered, rolling
+from txnspark.operators import joins, ordered, rolling
 from txnspark.operators.rolling import (
     BEHAVIORAL_SPECS,
     RollingSpec,
@@ -150,6 +150,12 @@ def test_hot_entity_is_split_off(spark):
     assert [k for k in want if not same(got[k], want[k])] == []
 
 
+def test_entities_of_a_small_history_are_not_grouped(spark, monkeypatch):
+    monkeypatch.setattr(joins, "materialize", None)  # what would store the grouped entities
+    df = frame(spark, random_history())
+    assert rolling._entity_sizes(df, "derived_user_id", df.count()) == (None, 0, df.count())
+
+
 @pytest.mark.parametrize("strategy", STRATEGIES)
 def test_copies_of_a_row_do_not_see_each_other(spark, strategy):
     data = [(1, A, T, 5.0)] * 3 + [(2, A, T + timedelta(minutes=1), 8.0)]

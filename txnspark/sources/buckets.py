@@ -95,7 +95,7 @@ def upsert_bucketed(source: DataFrame, table: str, columns: Sequence[str] | None
     if not rows:
         return 0
     key = bucket_rule(spark, table).key
-    if copies := duplicate_keys(batch, key).limit(5).collect():
+    if copies := duplicate_keys(batch, key, rows=rows).limit(5).collect():
         raise ValueError(f"source has duplicate keys in {key}: {[r[key] for r in copies]}")
     merged, touched = merged_buckets(batch, table, columns)
     details = table_details(spark, table)

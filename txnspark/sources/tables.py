@@ -156,7 +156,7 @@ def upsert_table(
     if rows == 0:
         return 0
     if keep_latest_by is None:
-        copies = duplicate_keys(batch, key).limit(5).collect()
+        copies = duplicate_keys(batch, key, rows=rows).limit(5).collect()
         if copies:
             raise ValueError(f"source has duplicate keys in {key}: {[r[key] for r in copies]}")
     provider = table_details(spark, table)["Provider"].lower()
@@ -187,7 +187,7 @@ def append_first(source: DataFrame, table: str, key: str, *, stored: bool = Fals
     batch, rows = (source, source.count()) if stored else materialize(source, "append")
     if not rows:
         return 0
-    copies = duplicate_keys(batch, key).limit(5).collect()
+    copies = duplicate_keys(batch, key, rows=rows).limit(5).collect()
     if copies:
         raise ValueError(f"source has duplicate keys in {key}: {[r[key] for r in copies]}")
     known = [F.lit(None).cast(f.dataType).alias(f.name) for f in source.sparkSession.table(table).schema if f.name not in batch.columns]
