@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+from concurrent.futures import ThreadPoolExecutor
 from types import SimpleNamespace
 
 import pytest
@@ -32,3 +34,20 @@ def test_materialize_counts_its_rows(spark):
         stored, rows = scratch.materialize(spark.range(n))
         assert rows == n == stored.count()
     assert scratch.scratch_path(spark) != scratch.scratch_path(spark)
+
+
+def test_passing_tables_are_deleted_and_others_stay(spark):
+    with ThreadPoolExecutor(1) as other:
+        with scratch.passing(spark):
+            inside = scratch.materialize(spark.range(3))[0].inputFiles()[0]
+            with scratch.passing(spark):
+                nested = scratch.materialize(spark.range(3))[0].inputFiles()[0]
+            assert not os.path.exists(nested.removeprefix("file://")) and os.path.exists(inside.removeprefix("file://"))
+            beside = other.submit(lambda: scratch.materialize(spark.range(3))[0].inputFiles()[0]).result()
+    after = scratch.materialize(spark.range(3))[0].inputFiles()[0]
+    assert not os.path.exists(inside.removeprefix("file://"))
+    assert all(os.path.exists(p.removeprefix("file://")) for p in (beside, after))
+    with pytest.raises(ValueError), scratch.passing(spark):
+        failed = scratch.materialize(spark.range(3))[0].inputFiles()[0]
+        raise ValueError
+    assert not os.path.exists(failed.removeprefix("file://"))
